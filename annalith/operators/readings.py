@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..session import small
+from ..session import cut, small
 
 STUCK_RUN = 8
 SPIKE_SCALE = 10.0
@@ -73,10 +73,12 @@ def faults(rows: DataFrame, variables: DataFrame) -> DataFrame:
     """
     readings = bounded(rows, variables)
     series = steps(readings)
-    impossible = readings.filter("not inside").select("row_id", F.lit("impossible").alias("fault"))
-    spikes = readings.filter("inside").join(robust_level(series), list(SERIES)).filter(F.abs(F.col("x") - F.col("level")) > SPIKE_SCALE * F.col("scale")).select("row_id", F.lit("spike").alias("fault"))
-    stuck = readings.join(stuck_steps(series), [*SERIES, "seq_nbr"], "left_semi").select("row_id", F.lit("stuck").alias("fault"))
-    return impossible.unionByName(spikes).unionByName(stuck)
+    levels = small(cut(robust_level(series)))
+    stuck = stuck_steps(series).withColumn("stuck", F.lit("stuck"))
+    far = F.col("inside") & (F.abs(F.col("x") - F.col("level")) > SPIKE_SCALE * F.col("scale"))
+    judged = readings.join(levels, list(SERIES), "left").join(stuck, [*SERIES, "seq_nbr"], "left")
+    kinds = F.array_compact(F.array(F.when(~F.col("inside"), "impossible"), F.when(far, "spike"), F.col("stuck")))
+    return judged.select("row_id", F.explode(kinds).alias("fault"))
 
 
 def p6_found(rows: DataFrame, variables: DataFrame) -> DataFrame:
