@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from ..session import table
-from . import leaks
+from . import fusion, leaks, mixing
 
 QUERIES = {
+    "p5_found": lambda s, d: fusion.p5_found(table(s, d, "fact_lab_raw"), table(s, d, "source_sites")),
+    "p5_fused": lambda s, d: fusion.fuse(table(s, d, "fact_lab_raw"), table(s, d, "source_sites")),
+    "p5_source_accuracy": lambda s, d: fusion.source_accuracy(table(s, d, "fact_lab_raw"), table(s, d, "source_sites")),
     "p8_found": lambda s, d: leaks.p8_found(table(s, d, "documents"), table(s, d, "eval_items")),
     "p8_leaked_items": lambda s, d: leaks.leaked_items(table(s, d, "documents"), table(s, d, "eval_items")),
+    "p9_found": lambda s, d: mixing.p9_found(table(s, d, "documents"), table(s, d, "mix_targets")),
+    "p9_shares": lambda s, d: mixing.shares(table(s, d, "documents"), table(s, d, "mix_targets")),
+    "p9_mix": lambda s, d: mixing.mix(table(s, d, "documents"), table(s, d, "mix_targets")),
 }
 SQL: dict[str, str] = {}
