@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import map_arrow
+
 RUN = 15
 SHINGLE = 5
 PASSAGE, STRIDE = 45, 30
@@ -217,7 +219,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                 hits = shared.value.leaked(texts)
                 yield pa.RecordBatch.from_arrays([pa.array([ids[d] for d, _ in hits], pa.int64()), pa.array([i for _, i in hits], pa.int64())], names=["doc_id", "item_id"])
 
-        part = rows.mapInArrow(run, "doc_id bigint, item_id bigint")
+        part = map_arrow(rows, run, "doc_id bigint, item_id bigint")
         found = part if found is None else found.unionByName(part)
     return found
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import table
-from . import fusion, leaks, mixing
+from . import fusion, leaks, mixing, truncation
 
 QUERIES = {
     "p5_found": lambda s, d: fusion.p5_found(table(s, d, "fact_lab_raw"), table(s, d, "source_sites")),
@@ -14,5 +14,8 @@ QUERIES = {
     "p9_found": lambda s, d: mixing.p9_found(table(s, d, "documents"), table(s, d, "mix_targets")),
     "p9_shares": lambda s, d: mixing.shares(table(s, d, "documents"), table(s, d, "mix_targets")),
     "p9_mix": lambda s, d: mixing.mix(table(s, d, "documents"), table(s, d, "mix_targets")),
+    "p10_found": lambda s, d: truncation.p10_found(table(s, d, "documents")),
+    "p10_rates": lambda s, d: truncation.rates(table(s, d, "documents")),
+    "p10_limits": lambda s, d: truncation.hidden_limits(table(s, d, "documents")),
 }
 SQL: dict[str, str] = {}

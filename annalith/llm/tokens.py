@@ -16,6 +16,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from ..session import map_arrow
+
 VOCABULARY = os.environ.get("ANNALITH_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Fixed value: the split pattern of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -70,4 +72,4 @@ def with_tokens(rows: DataFrame, text: str = "text", out: str = "n_tokens", voca
             keep = [f.name for f in schema.fields[:-1]]
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(n, pa.int64())], names=[*keep, out])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
