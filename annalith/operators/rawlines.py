@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.fsm import tokenize
-from ..session import small
+from ..session import map_arrow, small
 
 SEPARATOR, QUOTE = "|", '"'
 
@@ -52,7 +52,7 @@ def tokenized(rows: DataFrame, line: str = "raw_line", separator: str = SEPARATO
             fields, fault = _fields_of(b.column(b.schema.get_field_index(line)), sep, q)
             yield pa.RecordBatch.from_arrays([*b.columns, fields, fault], names=[*b.schema.names, "fields", "quoting_at"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def value_fits(value: Column, kind: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,3 +52,23 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise into the shared checkpoint folder, so a lost executor does not replay the lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per application, so that Python stages run wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_annalith_shipped", False):
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="annalith-")) / "annalith.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._annalith_shipped = True
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
