@@ -4,15 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import instants, ledger, rawlines, readings, snapshots, units
+from ..operators import instants, ledger, rawlines, readings, snapshots, unit_switches, units
 from ..session import table
 
 QUERIES = {
     "p1_found": lambda s, d: ledger.p1_found(table(s, d, "profile_feed")),
+    "p1_ledger": lambda s, d: ledger.ledger(ledger.assertions(table(s, d, "profile_feed"))),
     "p2_found": lambda s, d: instants.p2_found(table(s, d, "fact_flowsheets"), table(s, d, "source_sites")),
+    "p2_zones": lambda s, d: instants.zones_by_alignment(table(s, d, "fact_flowsheets"), table(s, d, "source_sites")),
     "p3_found": lambda s, d: rawlines.p3_found(table(s, d, "fact_lines"), table(s, d, "line_layout")),
+    "p3_rejects": lambda s, d: rawlines.rejects(table(s, d, "fact_lines"), table(s, d, "line_layout")),
+    "p3_loaded": lambda s, d: rawlines.loaded(table(s, d, "fact_lines"), table(s, d, "line_layout")).withColumn("row", F.to_json("row")),
     "p4_found": lambda s, d: snapshots.p4_found(table(s, d, "fact_map_snapshots")),
+    "p4_changed_values": lambda s, d: snapshots.changed_values(snapshots.latest_rows(table(s, d, "fact_map_snapshots"))),
     "p6_found": lambda s, d: readings.p6_found(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables")),
     "p7_found": lambda s, d: units.p7_found(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables"), table(s, d, "unit_factors"), table(s, d, "source_sites")),
+    "p7_inferred": lambda s, d: unit_switches.inferred_units(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables"), table(s, d, "unit_factors"), table(s, d, "source_sites")),
+}
+
+TIDY = "nullif(lower(trim({0})), '')"
+_STATE = " || chr(31) || ".join(f"coalesce('=' || {TIDY.format(a)}, '~')" for a in ledger.ATTRIBUTES)
+_ASSERTED = f"""SELECT nullif(trim(patient_dk), '') AS k, round(version::double * 1000)::bigint AS v, incr_counter AS r, CASE WHEN lower(trim(record_state)) = 'd' THEN 'D' ELSE {_STATE} END AS state, received_dtm, feed_row_id FROM profile_feed WHERE nullif(trim(patient_dk), '') IS NOT NULL"""
+_VERSION = "CASE WHEN {0} = 0 THEN '0.0' ELSE ({0} // 1000)::varchar || '.' || lpad(({0} % 1000)::varchar, 3, '0') END"
+
+SQL: dict[str, str] = {
+    "p1_found": f"""WITH a AS ({_ASSERTED}), w AS (SELECT k, v, state FROM a QUALIFY row_number() OVER (PARTITION BY k, v ORDER BY r DESC, received_dtm DESC, feed_row_id DESC) = 1),
+t AS (SELECT * FROM (SELECT *, lag(state) OVER (PARTITION BY k ORDER BY v) AS b FROM w) WHERE state IS DISTINCT FROM b), p AS (SELECT k, v, state, coalesce(lead(v) OVER (PARTITION BY k ORDER BY v), 0) AS u FROM t)
+SELECT k AS patient_dk, {_VERSION.format("v")} AS version, {_VERSION.format("u")} AS updated_by FROM p WHERE state <> 'D'""",
+    "p4_found": f"""WITH r AS (SELECT lower(trim(key_hash)) AS k, round(version::double * 1000)::bigint AS v, map_fact_id, fact_guid, coalesce(round(try_cast(trim(map_updated_by) AS double) * 1000)::bigint, 0) AS u, loaded_dtm FROM fact_map_snapshots WHERE trim(key_hash) <> ''),
+l AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k, v ORDER BY loaded_dtm DESC, map_fact_id DESC, fact_guid DESC, u DESC) = 1), o AS (SELECT v, lead(v) OVER (ORDER BY v) AS nx FROM (SELECT DISTINCT v FROM l)),
+a AS (SELECT k, nx AS v, map_fact_id, fact_guid, u FROM l JOIN o USING (v) WHERE nx IS NOT NULL), n AS (SELECT k, v, map_fact_id, fact_guid, u FROM l WHERE v > (SELECT min(v) FROM o)),
+j AS (SELECT coalesce(a.k, n.k) AS k, coalesce(a.v, n.v) AS v, CASE WHEN a.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' WHEN (a.map_fact_id, a.fact_guid, a.u) IS DISTINCT FROM (n.map_fact_id, n.fact_guid, n.u) THEN 'changed' END AS change_kind FROM a FULL JOIN n ON a.k = n.k AND a.v = n.v)
+SELECT {_VERSION.format("v")} AS version, k AS key_hash, change_kind FROM j WHERE change_kind IS NOT NULL""",
+    "p6_found": """WITH r AS (SELECT row_id, device_id, flowsheet_row_name_dk AS var, seq_nbr AS q, derived_value AS x, coalesce(x >= CASE WHEN NOT isnan(range_min) THEN range_min END, true) AND coalesce(x <= CASE WHEN NOT isnan(range_max) THEN range_max END, true) AS inside
+ FROM fact_flowsheets LEFT JOIN rule_variables USING (flowsheet_row_name_dk) WHERE derived_value IS NOT NULL AND NOT isnan(derived_value)),
+s AS (SELECT device_id, var, q, min_by(x, row_id) AS x, min_by(inside, row_id) AS inside FROM r WHERE device_id IS NOT NULL AND var IS NOT NULL AND q IS NOT NULL GROUP BY 1, 2, 3),
+m AS (SELECT device_id, var, median(x) AS m FROM s WHERE inside GROUP BY 1, 2), d AS (SELECT device_id, var, m, median(abs(x - m)) AS mad FROM s JOIN m USING (device_id, var) WHERE inside GROUP BY ALL),
+g AS (SELECT *, CASE WHEN x = lag(x) OVER w THEN 0 ELSE 1 END AS b FROM s WINDOW w AS (PARTITION BY device_id, var ORDER BY q)), h AS (SELECT *, sum(b) OVER (PARTITION BY device_id, var ORDER BY q) AS run FROM g),
+k AS (SELECT * FROM h QUALIFY count(*) OVER (PARTITION BY device_id, var, run) >= 8)
+SELECT row_id, 'impossible' AS fault FROM r WHERE NOT inside UNION ALL SELECT row_id, 'spike' FROM r JOIN d USING (device_id, var) WHERE inside AND abs(x - m) > 10 * mad UNION ALL SELECT row_id, 'stuck' FROM r SEMI JOIN k USING (device_id, var, q)""",
 }
-SQL: dict[str, str] = {}
