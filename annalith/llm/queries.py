@@ -18,4 +18,10 @@ QUERIES = {
     "p10_rates": lambda s, d: truncation.rates(table(s, d, "documents")),
     "p10_limits": lambda s, d: truncation.hidden_limits(table(s, d, "documents")),
 }
-SQL: dict[str, str] = {}
+STAND_INS = ", ".join(f"'{x}'" for x in ("", *fusion.STAND_INS))
+
+SQL: dict[str, str] = {
+    "p5_found": f"""WITH r AS (SELECT lower(trim(key_hash)) AS k, row_id, coalesce(trust_rank, 2147483647) AS trust, incr_counter, received_dtm, result_txt, unit_of_measure_txt, normal_range_txt, specimen_txt FROM fact_lab_raw LEFT JOIN source_sites USING (site_code) WHERE trim(key_hash) <> ''),
+m AS (SELECT k FROM r GROUP BY 1 HAVING count(*) >= 2), u AS (UNPIVOT r ON {", ".join(fusion.FIELDS)} INTO NAME field_name VALUE v)
+SELECT k AS key_hash, field_name, row_id FROM u SEMI JOIN m USING (k) WHERE lower(trim(v)) NOT IN ({STAND_INS}) QUALIFY row_number() OVER (PARTITION BY k, field_name ORDER BY trust, incr_counter DESC, received_dtm DESC, row_id DESC) = 1""",
+}

@@ -217,7 +217,7 @@ def judged(documents: DataFrame) -> DataFrame:
     expected = F.col("inner_n") * n_docs / n_inner
     rarely = F.col("final_n") > EXCESS * (expected + F.sqrt(expected) + 1)
     fragment = F.col("word").isNotNull() & F.col("known").isNull() & ~sentence
-    odd = F.col("shape").isin("open", "blank", "short row") | never | (rarely & ~sentence) | fragment | (F.col("shape") == "prose ...")
+    odd = F.col("shape").isin("open", "blank", "short row") | ((never | rarely) & ~sentence) | fragment | (F.col("shape") == "prose ...")
     truncated = F.when(whole | closing_line, False).when(at_limit & ~sentence, True).otherwise(odd)
     return joined.select("doc_id", "source", F.col("shape").alias("ending"), at_limit.alias("at_limit"), truncated.alias("truncated"))
 
