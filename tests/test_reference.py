@@ -7,14 +7,14 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from annalith.operators import derive, ids, joins, keys, quality, sequences, versioning
-from annalith.plans import history, scalars, summaries, training
+from annalith.plans import history, jobs, scalars, summaries, training
 from annalith.sources import readers, sinks
 from annalith.streaming import events as streams
 
 from .oracle import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
-SQL = {n: (m.QUERIES[n], q) for m in (scalars, history, summaries, training) for n, q in m.SQL.items()}
+SQL = {n: (m.QUERIES[n], q) for m in (scalars, history, summaries, jobs, training) for n, q in m.SQL.items()}
 
 
 @pytest.fixture(scope="module")
