@@ -49,6 +49,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 LAST_WORD = re.compile(r"[^\W\d_]+$")
 NUMBER = re.compile(r"\d+(\.\d+)?$")
 WORD_LENGTH = 20
+SHORT_WORD = 3
+"""Words up to this length are known only if they also end an inner block: names in code are often so short."""
 
 
 def shape(kind: str, line: str) -> str:
@@ -149,18 +151,19 @@ SCHEMA = "doc_id bigint, source string, text_hash bigint, lengths array<bigint>,
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """One row per text ('text': its lengths and ending), and per slice the counts of shapes of inner ends ('shape') and of words ('word')."""
+    """One row per text ('text': its lengths and ending), and per slice the counts of shapes of inner ends ('shape'), of words ('word') and of short words that end inner blocks ('end')."""
     rows = documents.select("doc_id", "text", source_key(F.col("source")).alias("source"), F.xxhash64("text").alias("text_hash")).filter("text is not null")
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts, more in slices(batches):
-            inner, words, out = Counter(), Counter(), []
+            inner, words, last_words, out = Counter(), Counter(), Counter(), []
             for doc_id, text, (source, text_hash) in zip(ids, texts, more):
                 ends, kind, line, before = read_blocks(text)
                 inner.update(shape(k, x) for k, x in ends)
-                found = LETTERS.findall(text.lower())
+                last_words.update(m.group().lower() for _, x in ends if (m := LAST_WORD.search(x.rstrip(". "))) and len(m.group()) <= SHORT_WORD)
+                found = LETTERS.findall(IMAGE.sub(" ", text).lower())
                 last = LAST_WORD.search(line.rstrip("."))
                 words.update(found)
                 word = last.group().lower() if last else None
@@ -180,6 +183,7 @@ def scan(documents: DataFrame) -> DataFrame:
                 out.append((doc_id, source, text_hash, lengths(text), form, word, t if kind == "prose" and t and not t[-1].isalnum() and len(t) <= CLOSING_LENGTH else None, "text", 1))
             out += [(None, None, None, None, s, None, None, "shape", n) for s, n in inner.items()]
             out += [(None, None, None, None, None, w, None, "word", n) for w, n in words.items() if n > 0 and len(w) <= WORD_LENGTH]
+            out += [(None, None, None, None, None, w, None, "end", n) for w, n in last_words.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     return map_arrow(rows, run, SCHEMA)
@@ -205,7 +209,9 @@ def judged(documents: DataFrame) -> DataFrame:
     closing = texts.filter("line is not null").groupBy("line").agg(F.count("*").alias("line_n"))
     totals = texts.agg(F.count("*").alias("docs")).collect()[0][0], scanned.filter("what = 'shape'").agg(F.sum("n")).collect()[0][0] or 1
     n_docs, n_inner = totals
-    known = words.filter(F.col("word_n") >= max(WORD_TIMES, WORD_SHARE * n_docs)).select("word", F.lit(True).alias("known"))
+    ending_words = scanned.filter("what = 'end'").select("word").distinct().withColumn("ends", F.lit(True))
+    usual = words.filter(F.col("word_n") >= max(WORD_TIMES, WORD_SHARE * n_docs)).join(ending_words, "word", "left")
+    known = usual.filter((F.length("word") > SHORT_WORD) | F.col("ends")).select("word", F.lit(True).alias("known"))
     closes = closing.filter(F.col("line_n") >= max(CLOSING_LINES, CLOSING_SHARE * n_docs)).select("line", F.lit(True).alias("closes"))
     rates = finals.join(inner, "shape", "left").select("shape", F.coalesce("inner_n", F.lit(0)).alias("inner_n"), "final_n")
     joined = texts.join(small(limits(texts)).drop("n_texts"), "source", "left").join(rates, "shape").join(known, "word", "left").join(closes, "line", "left")
