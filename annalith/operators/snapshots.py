@@ -48,10 +48,10 @@ def ranks(indexed: DataFrame) -> DataFrame:
     return indexed.select("snapshot").distinct().withColumns({"rank": F.row_number().over(by), "next_snapshot": F.lead("snapshot").over(by)})
 
 
-def probe(indexed: DataFrame) -> DataFrame:
-    """(key, version, change_kind) for each snapshot against the one before."""
+def probe(indexed: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """(key, version, change_kind) for each snapshot against the one before; ``order`` are its ranks, if known from a cheaper table."""
     bucket = W.partitionBy("key").orderBy("snapshot")
-    steps = indexed.join(small(ranks(indexed)), "snapshot").withColumns({"old_rank": F.lag("rank").over(bucket), "old_hash": F.lag("hash").over(bucket), "next_rank": F.lead("rank").over(bucket)})
+    steps = indexed.join(small(ranks(indexed) if order is None else order), "snapshot").withColumns({"old_rank": F.lag("rank").over(bucket), "old_hash": F.lag("hash").over(bucket), "next_rank": F.lead("rank").over(bucket)})
     met = F.col("old_rank") == F.col("rank") - 1
     kind: Column = F.when(F.col("rank") == 1, None).when(~F.coalesce(met, F.lit(False)), "added").when(F.col("old_hash") != F.col("hash"), "changed")
     gone = F.when(F.col("next_snapshot").isNotNull() & ~(F.col("next_rank") == F.col("rank") + 1).eqNullSafe(True), "removed")
@@ -69,4 +69,6 @@ def changed_values(rows: DataFrame) -> DataFrame:
 
 
 def p4_found(snapshots: DataFrame) -> DataFrame:
-    return probe(index(latest_rows(snapshots))).select(version_text(F.col("version")).alias("version"), F.col("key").alias("key_hash"), "change_kind")
+    # the versions come from a scan of their own column, not from the folded rows
+    given = snapshots.filter(folded(F.col("key_hash")).isNotNull()).select(version_milli(F.col("version")).alias("snapshot")).filter("snapshot is not null")
+    return probe(index(latest_rows(snapshots)), ranks(given)).select(version_text(F.col("version")).alias("version"), F.col("key").alias("key_hash"), "change_kind")
