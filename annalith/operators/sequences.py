@@ -60,13 +60,25 @@ def episodes(df: DataFrame, entity: str, at: str, tag: str, source: str, primary
     far = F.when(F.col(at) - F.lag(at).over(w) > split_days * DAY, 1).otherwise(0)
     chunks = df.select(F.col(entity).alias("entity"), F.col(at).cast("bigint").alias("at"), F.col(tag).cast("int").alias("tag"), F.col(source).alias("source"), far.alias("far")).withColumn("chunk", F.sum("far").over(W.partitionBy("entity").orderBy("at", "source", "tag").rowsBetween(W.unboundedPreceding, 0)))
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["at", "source", "tag"])
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
         cycles = find_cycles(rows["at"].tolist(), rows["tag"].tolist(), rows["source"].tolist(), primary)
-        return pd.DataFrame([(key[0], key[1], *c) for c in cycles], columns=["entity", "chunk", "number", "days", "start_ts", "end_ts"])
+        return pd.DataFrame([(rows["entity"].iat[0], rows["chunk"].iat[0], *c) for c in cycles], columns=["entity", "chunk", "number", "days", "start_ts", "end_ts"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # the last chunk of a batch may go on in the next
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if len(batch):
+                groups = [g for _, g in batch.groupby(["entity", "chunk"], sort=False)]
+                rest = groups.pop()
+                if groups:
+                    yield pd.concat(map(one, groups), ignore_index=True)
+        if rest is not None:
+            yield one(rest)
 
     ship(df.sparkSession)
-    found = chunks.groupBy("entity", "chunk").applyInPandas(run, "entity bigint, chunk bigint, number bigint, days bigint, start_ts bigint, end_ts bigint")
+    ordered = chunks.filter("entity is not null and at is not null").repartition("entity", "chunk").sortWithinPartitions("entity", "chunk", "at", "source", "tag")
+    found = ordered.mapInPandas(run, "entity bigint, chunk bigint, number bigint, days bigint, start_ts bigint, end_ts bigint")
     cycle = F.row_number().over(W.partitionBy("entity").orderBy("chunk", "number")).cast("bigint")
     return found.select(F.col("entity").alias(entity), cycle.alias("cycle"), "days", "start_ts", "end_ts")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedupe, derive, ids, quality, versioning
 from ..operators.keys import bucket_id, key_hash
-from ..session import table
+from ..session import cut, table
 from .registry import Plans
 
 P = Plans()
@@ -90,7 +90,7 @@ def _facts(s, d):
     none = s.createDataFrame([], "key_hash string, entity_id bigint, key_id bigint, fact_id bigint, fact_key_id bigint, valid_from bigint, superseded_by bigint")
     nobody = s.createDataFrame([], "key_id bigint")
     first = orders.filter("o_orderkey % 10 <> 3").select("key_hash", (F.col("o_custkey") % 100).alias("entity_id"), F.col("o_custkey").alias("key_id"))
-    known = versioning.stamp_facts(first, none, nobody, 1, 5).drop("guid")
+    known = cut(versioning.stamp_facts(first, none, nobody, 1, 5).drop("guid"))  # the stored map of version 1
     delta = orders.filter("o_orderkey % 10 in (3, 5)").select("key_hash", entity.alias("entity_id"), F.col("o_custkey").alias("key_id"))
     return versioning.stamp_facts(delta, known, known.filter("key_id % 97 = 0").select("key_id"), 2, 5)
 
