@@ -1,18 +1,21 @@
 """Units of quantities that name none: a hidden Markov model per source and variable (problem 7).
 
 The unit is the hidden state. What is seen is the logarithm of the bare number; in unit u it lies around
-the source's usual level, shifted by the logarithm of u's factor. Units tend to stay, and change rarely.
-Viterbi decoding finds the likeliest units in time order. The level is the robust centre of the
-source's values whose unit is told, in common units; it needs no window over single rows.
-
-Rows are decoded in blocks of BLOCK_DAYS days of ingestion, each block starting afresh with even odds:
-a source may hold a third of all rows, and no task then holds more than a block of one variable.
+the source's level at that time, shifted by the logarithm of u's factor. Units tend to stay, and change
+rarely. Viterbi decoding finds the likeliest units of the whole chain in time order. The level follows the
+source's values whose unit is told, in common units: medians of blocks, smoothed over neighbouring blocks
+and drawn to the source's level, and that to the variable's, where few are told.
+
+A source may hold a third of all rows, so no task holds a chain, only a block of BLOCK_DAYS days of one.
+The first pass reduces every block to a max-plus matrix: the best score of a path through it by the state
+before it and its last state. These are scanned over the blocks of a chain, which fixes the states at all
+boundaries, and the second pass decodes every block between its own. That is exact.
 TESTDATA gives no row to a quantity without a unit, so this never feeds p7_found.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,16 +27,32 @@ from .units import amounts, conversions
 STAY = 0.98
 """Chance that the unit of the next reading is the same."""
 BLOCK_DAYS = 30
+UNTIMED_ROWS = 1 << 16
+"""Readings without a time come before the others, in blocks of so many row ids."""
+LEVEL_REACH, LEVEL_PRIOR = 2.0, 5.0
+"""Blocks over which the weight of a block's level falls to 1/e, and the readings that the wider level counts as."""
 LEAST_SPREAD = 0.05
 
 
-def viterbi(logs: np.ndarray, stay: float = STAY) -> np.ndarray:
-    """Likeliest states for log-likelihoods of shape (times, states)."""
+def arrivals(best: np.ndarray, stay: float) -> np.ndarray:
+    """The best scores of being in every state one step after ``best`` (states last), before what is seen there."""
+    k = best.shape[-1]
+    if k == 1:
+        return best
+    return np.maximum(best + np.log(stay), best.max(axis=-1, keepdims=True) + np.log((1 - stay) / (k - 1)))
+
+
+def entered(state: int, k: int, stay: float) -> np.ndarray:
+    return arrivals(np.where(np.arange(k) == state, 0.0, -np.inf), stay)
+
+
+def viterbi(logs: np.ndarray, stay: float = STAY, before: int | None = None, last: int | None = None) -> np.ndarray:
+    """Likeliest states for log-likelihoods of shape (times, states), given the state before and the last one where they are known."""
     n, k = logs.shape
     if k == 1:
         return np.zeros(n, int)
     move, hold = np.log((1 - stay) / (k - 1)), np.log(stay)
-    best, back = logs[0].copy(), np.zeros((n, k), int)
+    best, back = logs[0] + (0.0 if before is None else entered(before, k, stay)), np.zeros((n, k), int)
     for t in range(1, n):
         top = int(best.argmax())
         other = best[top] + move
@@ -41,14 +60,49 @@ def viterbi(logs: np.ndarray, stay: float = STAY) -> np.ndarray:
         back[t] = np.where(kept >= other, np.arange(k), top)
         best = np.maximum(kept, other) + logs[t]
     path = np.empty(n, int)
-    path[-1] = int(best.argmax())
+    path[-1] = int(best.argmax()) if last is None else last
     for t in range(n - 1, 0, -1):
         path[t - 1] = back[t, path[t]]
     return path
 
 
-def decode(values: Sequence[float], told: Sequence[str | None], units: Sequence[tuple[str, float, float]], level: float, spread: float) -> list[str]:
-    """The unit of every value; a told unit is certain. units: (code, pre_add, factor)."""
+def transfer(logs: np.ndarray, stay: float = STAY) -> np.ndarray:
+    """Best scores of paths through a block, by last state: in row 0 of those that start with it, in row 1 + i of those that come from state i."""
+    k = logs.shape[1]
+    best = np.vstack([np.zeros(k), *(entered(i, k, stay) for i in range(k))]) + logs[0]
+    for seen in logs[1:]:
+        best = arrivals(best, stay) + seen
+    return best
+
+
+def boundaries(blocks: Sequence[np.ndarray]) -> list[tuple[int | None, int]]:
+    """(state before, last state) of every block on the best path through a chain's blocks, from their ``transfer``."""
+    best, back = blocks[0][0], []
+    for block in blocks[1:]:
+        scores = best[:, None] + block[1:]
+        back.append(scores.argmax(axis=0))
+        best = scores.max(axis=0)
+    ends = [int(best.argmax())]
+    for came in reversed(back):
+        ends.append(int(came[ends[-1]]))
+    ends.reverse()
+    return list(zip([None, *ends], ends))
+
+
+def smoothed(blocks: Sequence[int], medians: Sequence[float], counts: Sequence[float], usual: float) -> np.ndarray:
+    """A source's level in each of its blocks, from the medians and numbers of told readings there (0 where none) and the variable's usual level."""
+    at, n = np.asarray(blocks, float), np.asarray(counts, float)
+    x = np.where(n > 0, np.nan_to_num(np.asarray(medians, float)), 0.0)
+    source = (n @ x + LEVEL_PRIOR * usual) / (n.sum() + LEVEL_PRIOR)
+    out = np.empty(len(at))
+    for i, b in enumerate(at):
+        w = n * np.exp(-abs(at - b) / LEVEL_REACH)
+        out[i] = (w @ x + LEVEL_PRIOR * source) / (w.sum() + LEVEL_PRIOR)
+    return out
+
+
+def emissions(values: Sequence[float], told: Sequence[str | None], units: Sequence[tuple[str, float, float]], level: float, spread: float) -> np.ndarray:
+    """Log-likelihoods (values, units); a told unit is certain. units: (code, pre_add, factor)."""
     x = np.asarray(values, float)
     logs = np.empty((len(x), len(units)))
     for j, (_, pre, factor) in enumerate(units):
@@ -60,32 +114,18 @@ def decode(values: Sequence[float], told: Sequence[str | None], units: Sequence[
         if unit in codes:
             logs[t] = -1e6
             logs[t, codes.index(unit)] = 0.0
-    return [codes[j] for j in viterbi(logs)]
+    return logs
 
 
-def inferred_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
-    """(row_id, unit, common_milli) of rows with a single amount but no unit, for variables whose level is known from told units."""
-    marks = sites.filter("site_code is not null").groupBy("site_code").agg(F.min("decimal_mark").alias("decimal_mark"))
-    kept = rows.filter("derived_value is null and flowsheet_result_txt is not null").select("row_id", "site_code", "flowsheet_row_name_dk", "received_dtm", "flowsheet_result_txt", "flowsheet_unit_of_measure_txt")
-    read = amounts(kept.join(small(marks), "site_code", "left")).select("row_id", F.coalesce("site_code", F.lit("")).alias("site"), F.col("flowsheet_row_name_dk").alias("variable"), "received_dtm", "amount", "unit")
-    known = conversions(variables, factors).withColumnRenamed("flowsheet_row_name_dk", "variable")
-    common = F.log((F.col("amount") + F.col("pre_add")) * F.col("factor"))
-    told = read.join(small(known), ["variable", "unit"]).select("variable", common.alias("x")).filter("x is not null and not isnan(x)")
-    level = cut(told.groupBy("variable").agg(F.expr("percentile_approx(x, 0.5)").alias("level"), (F.expr("percentile_approx(x, 0.84) - percentile_approx(x, 0.16)") / 2).alias("spread")))
-    units = known.groupBy("variable").agg(F.array_sort(F.collect_list(F.struct("unit", "pre_add", "factor"))).alias("units")).join(level, "variable")
-    block = F.floor(F.unix_micros(F.col("received_dtm").cast("timestamp")) / (BLOCK_DAYS * 86_400_000_000))
-    work = read.withColumn("block", F.coalesce(block, F.lit(-1))).join(small(units), "variable")
+def decode(values: Sequence[float], told: Sequence[str | None], units: Sequence[tuple[str, float, float]], level: float, spread: float, before: int | None = None, last: int | None = None) -> list[str]:
+    """The unit of every value; a told unit is certain. units: (code, pre_add, factor)."""
+    return [units[j][0] for j in viterbi(emissions(values, told, units, level, spread), STAY, before, last)]
 
-    key = ["site", "variable", "block"]
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        options = [(u["unit"], u["pre_add"], u["factor"]) for u in pdf["units"].iloc[0]]
-        decoded = decode(pdf["amount"].tolist(), pdf["unit"].where(pdf["unit"].notna(), None).tolist(), options, pdf["level"].iloc[0], pdf["spread"].iloc[0])
-        by = {u[0]: u for u in options}
-        rows = [(i, u, round(1000 * (a + by[u][1]) * by[u][2])) for i, a, u, told in zip(pdf["row_id"], pdf["amount"], decoded, pdf["unit"].notna()) if not told]
-        return pd.DataFrame(rows, columns=["row_id", "unit", "common_milli"])
+def grouped(key: list[str], one: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """``one`` over every group of batches that are sorted by ``key``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None  # the last group of a batch may go on in the next
         for batch in batches:
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
@@ -96,6 +136,58 @@ def inferred_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, si
         if rest is not None:
             yield one(rest)
 
+    return run
+
+
+def inferred_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
+    """(row_id, unit, common_milli) of rows with a single amount but no unit, for variables whose level is known from told units."""
+    chain, key = ["site", "variable"], ["site", "variable", "block"]
+    marks = sites.filter("site_code is not null").groupBy("site_code").agg(F.min("decimal_mark").alias("decimal_mark"))
+    known = conversions(variables, factors).withColumnRenamed("flowsheet_row_name_dk", "variable")
+    kept = rows.filter("derived_value is null and flowsheet_result_txt is not null").select("row_id", "site_code", F.col("flowsheet_row_name_dk").alias("variable"), "received_dtm", "flowsheet_result_txt", "flowsheet_unit_of_measure_txt")
+    kept = kept.join(small(known.select("variable").distinct()), "variable", "left_semi")
+    block = F.floor(F.unix_micros(F.col("received_dtm").cast("timestamp")) / (BLOCK_DAYS * 86_400_000_000))
+    untimed = F.lit(-(1 << 62)) + F.floor(F.col("row_id") / UNTIMED_ROWS)
+    read = amounts(kept.join(small(marks), "site_code", "left")).select("row_id", F.coalesce("site_code", F.lit("")).alias("site"), "variable", F.coalesce(block, untimed).alias("block"), "received_dtm", "amount", "unit")
+    read = cut(read)  # it is read for the levels, the blocks' matrices and their decoding
+    common = F.log((F.col("amount") + F.col("pre_add")) * F.col("factor"))
+    told = read.join(small(known), ["variable", "unit"]).select(*key, common.alias("x")).filter("x is not null and not isnan(x)")
+    usual = told.groupBy("variable").agg(F.expr("percentile_approx(x, 0.5)").alias("usual"))
+    medians = told.groupBy(*key).agg(F.expr("percentile_approx(x, 0.5)").alias("median"), F.count("*").alias("n"))
+
+    def level_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[key].assign(level=smoothed(pdf["block"], pdf["median"], pdf["n"], pdf["usual"].iloc[0]))
+
     ship(rows.sparkSession)
-    ordered = work.repartition(*key).sortWithinPartitions(*key, "received_dtm", "row_id")
-    return ordered.mapInPandas(run, "row_id bigint, unit string, common_milli bigint")
+    fields = f"site string, variable {dict(read.dtypes)['variable']}, block bigint"
+    spans = read.select(*key).distinct().join(medians, key, "left").fillna(0, ["n"]).join(small(usual), "variable")
+    level = cut(spans.groupBy(*chain).applyInPandas(level_of, f"{fields}, level double"))
+    spread = told.join(small(level), key).groupBy("variable").agg((F.expr("percentile_approx(x - level, 0.84) - percentile_approx(x - level, 0.16)") / 2).alias("spread"))
+    units = known.groupBy("variable").agg(F.array_sort(F.collect_list(F.struct("unit", "pre_add", "factor"))).alias("units")).join(spread, "variable")
+    work = cut(read.join(small(level), key).join(small(units), "variable"))
+
+    def seen(pdf: pd.DataFrame) -> tuple[list[float], list[str | None], list[tuple[str, float, float]], float, float]:
+        options = [(u["unit"], u["pre_add"], u["factor"]) for u in pdf["units"].iloc[0]]
+        return pdf["amount"].tolist(), [u if isinstance(u, str) else None for u in pdf["unit"]], options, pdf["level"].iloc[0], pdf["spread"].iloc[0]
+
+    def matrix(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[key].head(1).assign(scores=[transfer(emissions(*seen(pdf))).ravel()])
+
+    def bounds(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        k = int(len(pdf["scores"].iloc[0]) ** 0.5)  # k * (k + 1) scores
+        found = boundaries([np.asarray(s).reshape(k + 1, k) for s in pdf["scores"]])
+        return pdf[key].assign(before=[-1 if b is None else b for b, _ in found], last=[x for _, x in found])
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        amount, told, options, level, spread = seen(pdf)
+        before = int(pdf["before"].iloc[0])
+        decoded = decode(amount, told, options, level, spread, None if before < 0 else before, int(pdf["last"].iloc[0]))
+        by = {u[0]: u for u in options}
+        rows = [(i, u, round(1000 * (a + by[u][1]) * by[u][2])) for i, a, u, t in zip(pdf["row_id"], amount, decoded, told) if t is None]
+        return pd.DataFrame(rows, columns=["row_id", "unit", "common_milli"])
+
+    in_order = lambda df: df.repartition(*key).sortWithinPartitions(*key, "received_dtm", "row_id")
+    matrices = in_order(work).mapInPandas(grouped(key, matrix), f"{fields}, scores array<double>")
+    ends = cut(matrices.groupBy(*chain).applyInPandas(bounds, f"{fields}, before int, last int"))
+    return in_order(work.join(small(ends), key)).mapInPandas(grouped(key, one), "row_id bigint, unit string, common_milli bigint")

@@ -187,3 +187,36 @@ def test_unit_switches_are_decoded():
     assert np.mean([a == b for a, b in zip(got, truth)]) > 0.97
     told = unit_switches.decode(values[:3], ["lb", None, None], [("kg", 0.0, 1.0), ("lb", 0.0, 0.45359237)], 4.3, 0.08)
     assert told[0] == "lb"
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_blocks_decode_as_the_whole_chain(seed):
+    rng = np.random.default_rng(seed)
+    for k in (1, 2, 3, 4):
+        logs = -0.5 * rng.normal(0, 2, (80, k)) ** 2
+        cuts = sorted(rng.choice(np.arange(1, 80), 12, replace=False))
+        parts = np.split(logs, cuts)
+        ends = unit_switches.boundaries([unit_switches.transfer(x) for x in parts])
+        got = np.concatenate([unit_switches.viterbi(x, before=b, last=e) for x, (b, e) in zip(parts, ends)])
+        assert (got == unit_switches.viterbi(logs)).all()
+
+
+def test_unit_is_kept_over_block_ends_and_levels_are_the_sources(spark):
+    """One told reading in January, then a reading without a unit in each later month that alone would be kg; and a source far from its variable's level."""
+    variables = spark.createDataFrame([("v", "V"), ("v", "W")], "variable_id string, flowsheet_row_name_dk string")
+    factors = spark.createDataFrame([("v", "kg", 0.0, 1.0), ("v", "lb", 0.0, 0.45359237)], "variable_id string, unit_code string, pre_add double, factor double")
+    site = spark.createDataFrame([("A", "."), ("B", "."), ("C", ".")], "site_code string, decimal_mark string")
+    rng, given = np.random.default_rng(4), []
+    for m in range(1, 13):
+        for x in np.exp(rng.normal(3.6, 0.5, 12)):
+            given.append((len(given), "B", "V", None, f"{x:.2f} kg", None, datetime(2024, m, 3, tzinfo=timezone.utc)))
+    given.append((1000, "A", "V", None, "47 lb", None, datetime(2024, 1, 5, tzinfo=timezone.utc)))
+    given += [(1000 + m, "A", "V", None, "47", None, datetime(2024, m, 5, tzinfo=timezone.utc)) for m in range(2, 13)]
+    given.append((1100, "A", "V", None, "47", None, None))
+    given += [(2000 + i, "C" if i < 100 else "B", "W", None, f"{100 + i % 5 if i < 100 else 44 + i % 5} kg", None, datetime(2024, 6, 1 + i % 20, tzinfo=timezone.utc)) for i in range(250)]
+    given += [(3000, "C", "W", None, "101", None, datetime(2024, 6, 25, tzinfo=timezone.utc))]
+    df = spark.createDataFrame(given, "row_id long, site_code string, flowsheet_row_name_dk string, derived_value double, flowsheet_result_txt string, flowsheet_unit_of_measure_txt string, received_dtm timestamp")
+    got = {r.row_id: (r.unit, r.common_milli) for r in unit_switches.inferred_units(df, variables, factors, site).collect()}
+    assert {i: u for i, (u, _) in got.items() if 1000 < i < 1100} == {1000 + m: "lb" for m in range(2, 13)}
+    assert got[1002][1] == round(47_000 * 0.45359237) and got[3000] == ("kg", 101_000) and 1100 in got
+    assert unit_switches.smoothed([0, 1, 50], [1.0, np.nan, 3.0], [100, 0, 100], 0.0) == pytest.approx([1.04, 1.1, 2.95], abs=0.1)
