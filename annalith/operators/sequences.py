@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..session import ship
+from ..session import cut, ship
 
 DAY = 86_400
 
@@ -20,7 +20,10 @@ def gap_cycles(df: DataFrame, entity: str, at: str, gap: int = DAY) -> DataFrame
     return cycles.groupBy(entity, "cycle").agg((F.floor((F.max(at) - F.min(at)) / DAY) + 1).cast("bigint").alias("days"), F.min(at).alias("start_ts"), F.max(at).alias("end_ts"))
 
 
-def find_cycles(times: Sequence[int], tags: Sequence[int], sources: Sequence[str], primary: str, reach: int = 2 * DAY, restart: int = 30) -> list[tuple[int, int, int, int]]:
+Cycle = tuple[int, int, int, int]
+
+
+def find_cycles(times: Sequence[int], tags: Sequence[int], sources: Sequence[str], primary: str, reach: int = 2 * DAY, restart: int = 30) -> list[Cycle]:
     """Episodes of one entity's events in time order: (number, days, start, end).
 
     Tag 1 starts an episode, or replaces a start that isn't of the primary source or lies more than
@@ -28,18 +31,18 @@ def find_cycles(times: Sequence[int], tags: Sequence[int], sources: Sequence[str
     starts and stays, and on over ends and stays, that follow within ``reach``. Episodes that touch the last
     one extend it.
     """
+    return scan_cycles(times, tags, sources, primary, reach, restart)[0]
+
+
+def scan_cycles(times: Sequence[int], tags: Sequence[int], sources: Sequence[str], primary: str, reach: int = 2 * DAY, restart: int = 30) -> tuple[list[Cycle], tuple[str, int] | None]:
+    """The episodes, and the source of the start that is still open at the end with the time it reaches back to."""
     found: list[list[int]] = []
     start = None
     for i, (t, tag) in enumerate(zip(times, tags)):
         if tag == 1 and (start is None or sources[start] != primary or (t - times[start]) // DAY > restart):
             start = i
         elif tag == -1 and start is not None and sources[start] == sources[i]:
-            first, last = start, i
-            while first > 0 and times[first] - times[first - 1] <= reach and tags[first - 1] in (0, 1):
-                first -= 1
-            while last + 1 < len(times) and times[last + 1] - times[last] <= reach and tags[last + 1] in (0, -1):
-                last += 1
-            begin, end = times[first], times[last]
+            begin, end = reach_back(times, tags, start, reach), reach_on(times, tags, i, reach)
             if (end - begin) // DAY + 1 > 0:
                 if found and begin <= found[-1][3]:
                     found[-1][3] = end
@@ -47,22 +50,57 @@ def find_cycles(times: Sequence[int], tags: Sequence[int], sources: Sequence[str
                 else:
                     found.append([len(found) + 1, (end - begin) // DAY + 1, begin, end])
             start = None
-    return [tuple(c) for c in found]
+    return [tuple(c) for c in found], None if start is None else (sources[start], reach_back(times, tags, start, reach))
+
+
+def reach_back(times: Sequence[int], tags: Sequence[int], first: int, reach: int) -> int:
+    while first > 0 and times[first] - times[first - 1] <= reach and tags[first - 1] in (0, 1):
+        first -= 1
+    return times[first]
+
+
+def reach_on(times: Sequence[int], tags: Sequence[int], last: int, reach: int) -> int:
+    while last + 1 < len(times) and times[last + 1] - times[last] <= reach and tags[last + 1] in (0, -1):
+        last += 1
+    return times[last]
+
+
+def first_ends(times: Sequence[int], tags: Sequence[int], sources: Sequence[str], reach: int = 2 * DAY) -> dict[str, int]:
+    """By source the end of an episode that was open before the first event: its first tag -1 ahead of any tag 1."""
+    ends: dict[str, int] = {}
+    for i, tag in enumerate(tags):
+        if tag == 1:
+            break
+        if tag == -1 and sources[i] not in ends:
+            ends[sources[i]] = reach_on(times, tags, i, reach)
+    return ends
 
 
 def episodes(df: DataFrame, entity: str, at: str, tag: str, source: str, primary: str, split_days: int = 90) -> DataFrame:
     """Episodes of every entity by the state machine above.
 
-    An entity's events are first split where more than ``split_days`` pass without any: no rule reaches over
-    such a gap, if it is longer than the restart window, so a chunk and not an entity is what a task holds.
+    An entity's events are first split where more than ``split_days`` pass without any, so a chunk and not
+    an entity is what a task holds. Longer than the restart window and the reach, such a gap has a start
+    that is open before it replaced by the next tag 1, if no tag -1 of its source comes first. So all that
+    goes from chunk to chunk is the open start's source and where it reaches back to; it meets the ends
+    ahead of the first tag 1 in later chunks, in windows over one row per chunk.
     """
+    if split_days <= 30:
+        raise ValueError("chunks must lie further apart than the restart window")
     w = W.partitionBy(entity).orderBy(at, source, tag)
     far = F.when(F.col(at) - F.lag(at).over(w) > split_days * DAY, 1).otherwise(0)
     chunks = df.select(F.col(entity).alias("entity"), F.col(at).cast("bigint").alias("at"), F.col(tag).cast("int").alias("tag"), F.col(source).alias("source"), far.alias("far")).withColumn("chunk", F.sum("far").over(W.partitionBy("entity").orderBy("at", "source", "tag").rowsBetween(W.unboundedPreceding, 0)))
+    names = ["entity", "chunk", "what", "source", "start_ts", "end_ts", "number"]
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        cycles = find_cycles(rows["at"].tolist(), rows["tag"].tolist(), rows["source"].tolist(), primary)
-        return pd.DataFrame([(rows["entity"].iat[0], rows["chunk"].iat[0], *c) for c in cycles], columns=["entity", "chunk", "number", "days", "start_ts", "end_ts"])
+        times, tags, sources = rows["at"].tolist(), rows["tag"].tolist(), [s if isinstance(s, str) else None for s in rows["source"]]
+        cycles, left = scan_cycles(times, tags, sources, primary)
+        out = [("cycle", None, begin, end, number) for number, _, begin, end in cycles]
+        out += [("end", s, None, end, None) for s, end in first_ends(times, tags, sources).items()]
+        if 1 in tags:  # whatever was open before is open no longer
+            out.append(("left", *left, None, 1) if left else ("left", None, None, None, 0))
+        made = pd.DataFrame([(rows["entity"].iat[0], rows["chunk"].iat[0], *x) for x in out], columns=names)
+        return made.astype({c: "Int64" for c in ("start_ts", "end_ts", "number")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None  # the last chunk of a batch may go on in the next
@@ -78,9 +116,19 @@ def episodes(df: DataFrame, entity: str, at: str, tag: str, source: str, primary
 
     ship(df.sparkSession)
     ordered = chunks.filter("entity is not null and at is not null").repartition("entity", "chunk").sortWithinPartitions("entity", "chunk", "at", "source", "tag")
-    found = ordered.mapInPandas(run, "entity bigint, chunk bigint, number bigint, days bigint, start_ts bigint, end_ts bigint")
-    cycle = F.row_number().over(W.partitionBy("entity").orderBy("chunk", "number")).cast("bigint")
-    return found.select(F.col("entity").alias(entity), cycle.alias("cycle"), "days", "start_ts", "end_ts")
+    found = cut(ordered.mapInPandas(run, "entity bigint, chunk bigint, what string, source string, start_ts bigint, end_ts bigint, number bigint"))
+    by_chunk = found.filter("what != 'cycle'").groupBy("entity", "chunk").agg(F.max(F.when(F.col("what") == "left", F.struct("number", "source", "start_ts", "chunk"))).alias("left"), F.collect_list(F.when(F.col("what") == "end", F.struct("source", "end_ts"))).alias("ends"))
+    earlier = W.partitionBy("entity").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    open_before = by_chunk.withColumn("open", F.last("left", ignorenulls=True).over(earlier)).filter("open.number = 1")
+    met = open_before.select("entity", "chunk", "open", F.inline("ends").alias("source", "end_ts")).filter(F.col("source").eqNullSafe(F.col("open.source")))
+    crossing = met.groupBy("entity", "open").agg(F.min(F.struct("chunk", "end_ts")).alias("first")).select("entity", "first.chunk", F.lit(0).cast("bigint").alias("number"), "open.start_ts", "first.end_ts")
+    both = found.filter("what = 'cycle'").select("entity", "chunk", "number", "start_ts", "end_ts").unionByName(crossing)
+    order = W.partitionBy("entity").orderBy("chunk", "number")
+    apart = F.when(F.col("start_ts") <= F.lag("end_ts").over(order), 0).otherwise(1)
+    numbered = both.withColumn("apart", apart).withColumn("cycle", F.sum("apart").over(order))
+    whole = numbered.groupBy("entity", "cycle").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"))
+    days = (F.floor((F.col("end_ts") - F.col("start_ts")) / DAY) + 1).cast("bigint")
+    return whole.select(F.col("entity").alias(entity), "cycle", days.alias("days"), "start_ts", "end_ts")
 
 
 def doses(df: DataFrame, entity: str, at: str, code: str, name: str, needed: str, wait: int = 14 * DAY) -> DataFrame:

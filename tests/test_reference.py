@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import __spark_entry__ as entry
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -78,6 +80,24 @@ def test_episodes(spark):
     assert sorted(tuple(r) for r in sequences.episodes(df, "e", "t", "tag", "s", "h").collect()) == [(1, 1, 5, 0, 4 * day), (1, 2, 2, 60 * day, 61 * day)]
 
 
+def test_episodes_over_long_gaps(spark):
+    day, rng = sequences.DAY, random.Random(2)
+    given = [(0, 0, 1, "primary"), (0, 100 * day, -1, "primary")]
+    for e in range(1, 150):
+        at = 0
+        for _ in range(rng.randrange(1, 25)):
+            at += rng.choice((day // 2, day, 5 * day, 40 * day, 95 * day, 200 * day))
+            given.append((e, at, rng.choice((1, 0, -1)), rng.choice(("primary", "other", None))))
+    want = set()
+    for e in range(150):
+        own = [x for x in given if x[0] == e]
+        want |= {(e, *c) for c in sequences.find_cycles([x[1] for x in own], [x[2] for x in own], [x[3] for x in own], "primary")}
+    df = spark.createDataFrame(given, "e bigint, t bigint, tag int, s string")
+    got = [tuple(r) for r in sequences.episodes(df, "e", "t", "tag", "s", "primary").collect()]
+    assert (0, 1, 101, 0, 100 * day) in got and len(got) == len(want) and set(got) == want
+
+
+
 def test_formulas_divide_and_multiply(spark):
     df = spark.createDataFrame([(4.0, "_value * 0.5"), (4.0, "_value / 0.5"), (4.0, "_value"), (4.0, None), (4.0, "_value/0")], "x double, f string")
     from annalith.operators.normalize import apply_formula
