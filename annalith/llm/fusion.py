@@ -6,21 +6,24 @@ fixes that order, so the posterior below can't decide p5_found.
 ``fuse`` is Bayesian fusion with copy detection. Every key and field is an item on which sources vote
 for values. How trustworthy a source is, and whether two sources copy from each other, depends only on
 which sources agree on an item and which don't, not on the values. So all items fold map-side into vote
-patterns with counts; their number is bounded by the ways to part the sources, not by the rows. The
-accuracies and dependences are estimated on the patterns by iteration, and the posterior of each
-pattern's groups goes back to the items by a join on the pattern.
+patterns with counts: the item's voter sets and the true number of values of each. As these numbers are
+as many as the data makes them, the patterns stay in Spark. Every round of the estimation folds them into
+sums per source and per pair of sources, and only these reach the driver. The posterior of each pattern's
+groups goes back to the items by a join on the pattern.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import clean, folded
-from ..session import small
+from ..session import cut, ship, small
 
 FIELDS = ("result_txt", "unit_of_measure_txt", "normal_range_txt", "specimen_txt")
 #: Stand-ins for "no value", lower case.
@@ -28,8 +31,8 @@ STAND_INS = ("n/a", "na", "null", "none", "nil", "unk", "unknown", "?", "??", "-
 LAST = (1 << 31) - 1
 START = 0.9
 """Accuracy that every source starts with."""
-SAME = 3
-"""Values of one voter set that a pattern counts apart; more count as so many. It bounds the number of patterns."""
+FALSE_VALUES, COPY_RATE, PRIOR = 20, 0.8, 0.1
+"""False values that an item can have, the share of values that a copier copies, and the chance that two sources are dependent."""
 Pattern = tuple[tuple[int, int], ...]
 
 
@@ -77,87 +80,128 @@ def claims(rows: DataFrame, sources: list[str]) -> DataFrame:
 
 
 def patterns_of(voted: DataFrame) -> DataFrame:
-    """(key, field_name, pattern, n_values): the item's distinct voter sets, each with the number of its values up to SAME.
+    """(key, field_name, pattern, n_values): the item's distinct voter sets, each with the number of its values.
 
     Values are counted per voter set first, so an item of any number of values has at most one entry per
     set of sources.
     """
     sets = voted.groupBy("key", "field_name", "voters").agg(F.count("*").alias("n"))
-    entry = F.struct("voters", F.least("n", F.lit(SAME)).alias("n"))
-    return sets.groupBy("key", "field_name").agg(F.sort_array(F.collect_list(entry)).alias("pattern"), F.sum("n").alias("n_values"))
-
-
-def pattern_counts(items: DataFrame) -> dict[Pattern, int]:
-    return {tuple((e[0], e[1]) for e in r[0]): r[1] for r in items.groupBy("pattern").agg(F.count("*")).collect()}
+    return sets.groupBy("key", "field_name").agg(F.sort_array(F.collect_list(F.struct("voters", "n"))).alias("pattern"), F.sum("n").alias("n_values"))
 
 
 def _chance(log_odds: float) -> float:
     return 1 / (1 + math.exp(-max(-50.0, min(50.0, log_odds))))
 
 
-def estimate(patterns: dict[Pattern, int], n_sources: int, rounds: int = 8, false_values: int = 20, copy_rate: float = 0.8, prior: float = 0.1) -> tuple[list[float], dict[tuple[int, int], float], dict[Pattern, list[float]]]:
-    """(accuracy by source, probability of dependence by pair, posterior by pattern of a value of each voter set).
-
-    Two sources that share more false values than independent ones would are taken to copy; a voter's
-    weight is discounted by the chance that it copied from one counted before it.
+def members(voters: int) -> list[int]:
+    return [s for s in range(voters.bit_length()) if voters >> s & 1]
+
+
+class Model:
+    """Accuracies of the sources and dependences of pairs, and what follows from them for the values of a pattern."""
+
+    def __init__(self, accuracy: list[float], copies: dict[tuple[int, int], float]):
+        self.accuracy, self.copies, self.scores = accuracy, copies, {}
+
+    def score(self, voters: int) -> float:
+        """A voter's weight is discounted by the chance that it copied from one counted before it."""
+        if voters not in self.scores:
+            total, counted = 0.0, []
+            for s in sorted(members(voters), key=lambda s: -self.accuracy[s]):
+                alone = math.prod(1 - COPY_RATE * self.copies.get((min(s, t), max(s, t)), 0.0) for t in counted)
+                total += alone * math.log(FALSE_VALUES * self.accuracy[s] / (1 - self.accuracy[s]))
+                counted.append(s)
+            self.scores[voters] = total
+        return self.scores[voters]
+
+    def posterior(self, pattern: Pattern) -> list[float]:
+        """Of one value of each voter set."""
+        scores = [self.score(g) for g, _ in pattern]
+        top = max(scores)
+        unseen = max(0, FALSE_VALUES + 1 - sum(k for _, k in pattern)) * math.exp(-top)
+        whole = sum(k * math.exp(x - top) for x, (_, k) in zip(scores, pattern)) + unseen
+        return [math.exp(x - top) / whole for x in scores]
+
+
+def tally(patterns: Iterable[tuple[Pattern, int]], n_sources: int, model: Model | None) -> np.ndarray:
+    """Sums over items: [s, s, 0] votes of a source and [s, s, 1] those expected to be true; of a pair a < b [a, b, 0] values shared,
+    [a, b, 1] those expected to be true and [a, b, 2] items on which both vote. Without a model no expectations."""
+    sums = np.zeros((n_sources, n_sources, 3))
+    for p, n in patterns:
+        posterior = model.posterior(p) if model else [0.0] * len(p)
+        for (g, k), q in zip(p, posterior):
+            for a, b in itertools.combinations_with_replacement(members(g), 2):
+                sums[a, b, 0] += n * k
+                sums[a, b, 1] += n * k * q
+        voters = 0
+        for g, _ in p:
+            voters |= g
+        for a, b in itertools.combinations(members(voters), 2):
+            sums[a, b, 2] += n
+    return sums
+
+
+def estimate(tallied: Callable[[Model | None], np.ndarray], n_sources: int, rounds: int = 8) -> tuple[list[float], dict[tuple[int, int], float], Model]:
+    """(accuracy by source, probability of dependence by pair, model of the last round), by ``tally`` over all patterns.
+
+    Two sources that share more false values than independent ones would are taken to copy.
     """
     accuracy = [START] * n_sources
-    copies: dict[tuple[int, int], float] = {}
-    posterior: dict[Pattern, list[float]] = {}
-    members = {g: [s for s in range(n_sources) if g >> s & 1] for p in patterns for g, _ in p}
-
-    def score(voters: int) -> float:
-        total, counted = 0.0, []
-        for s in sorted(members[voters], key=lambda s: -accuracy[s]):
-            alone = math.prod(1 - copy_rate * copies.get((min(s, t), max(s, t)), 0.0) for t in counted)
-            total += alone * math.log(false_values * accuracy[s] / (1 - accuracy[s]))
-            counted.append(s)
-        return total
-
     # before any value counts as true, sources that agree far more often than independent ones would are taken to copy
-    met, agreed = defaultdict(float), defaultdict(float)
-    for p, n in patterns.items():
-        for a, b in itertools.combinations(sorted({s for g, _ in p for s in members[g]}), 2):
-            met[a, b] += n
-        for g, k in p:
-            for pair in itertools.combinations(members[g], 2):
-                agreed[pair] += n * k
-    apart = accuracy[0] ** 2 + (1 - accuracy[0]) ** 2 / false_values if n_sources else 0.0
-    for pair, n in met.items():
-        same = min(agreed[pair], n)
-        copies[pair] = _chance(same * math.log((copy_rate + (1 - copy_rate) * apart) / apart) + (n - same) * math.log(1 - copy_rate) + math.log(prior / (1 - prior)))
+    sums, pairs, copies = tallied(None), list(itertools.combinations(range(n_sources), 2)), {}
+    apart = accuracy[0] ** 2 + (1 - accuracy[0]) ** 2 / FALSE_VALUES if n_sources else 0.0
+    for a, b in pairs:
+        n = sums[a, b, 2]
+        if n:
+            same = min(sums[a, b, 0], n)
+            copies[a, b] = _chance(same * math.log((COPY_RATE + (1 - COPY_RATE) * apart) / apart) + (n - same) * math.log(1 - COPY_RATE) + math.log(PRIOR / (1 - PRIOR)))
+    model = Model(accuracy, copies)
     for _ in range(rounds):
-        scores = {g: score(g) for g in members}
-        for p in patterns:
-            top = max(scores[g] for g, _ in p)
-            unseen = max(0, false_values + 1 - sum(k for _, k in p)) * math.exp(-top)
-            whole = sum(k * math.exp(scores[g] - top) for g, k in p) + unseen
-            posterior[p] = [math.exp(scores[g] - top) / whole for g, _ in p]
-        right, votes = [1.0] * n_sources, [1.25] * n_sources
-        both = defaultdict(lambda: [0.0, 0.0, 0.0])
-        for p, n in patterns.items():
-            seen = sorted({s for g, _ in p for s in members[g]})
-            for (g, k), q in zip(p, posterior[p]):
-                for s in members[g]:
-                    right[s] += n * k * q
-                    votes[s] += n * k
-                for a, b in itertools.combinations(members[g], 2):
-                    both[a, b][0] += n * k * q
-                    both[a, b][1] += n * k * (1 - q)
-            for a, b in itertools.combinations(seen, 2):
-                both[a, b][2] += n
-        accuracy = [min(0.99, max(0.05, r / v)) for r, v in zip(right, votes)]
-        copies = {}
-        for (a, b), (true, false, n) in both.items():
-            other = max(0.0, n - true - false)
+        model = Model(accuracy, copies)
+        sums = tallied(model)
+        accuracy, copies = [float(min(0.99, max(0.05, (1 + sums[s, s, 1]) / (1.25 + sums[s, s, 0])))) for s in range(n_sources)], {}
+        for a, b in pairs:
+            shared, true, n = sums[a, b]
+            if not n:
+                continue
+            false = shared - true
+            other = max(0.0, n - shared)
             x, y = accuracy[a], accuracy[b]
-            same_true, same_false = x * y, (1 - x) * (1 - y) / false_values
+            same_true, same_false = x * y, (1 - x) * (1 - y) / FALSE_VALUES
             apart = max(1e-9, 1 - same_true - same_false)
-            c, z = copy_rate, (x + y) / 2
+            c, z = COPY_RATE, (x + y) / 2
             log_odds = true * math.log((c * z + (1 - c) * same_true) / same_true) + false * math.log((c * (1 - z) + (1 - c) * same_false) / same_false) + other * math.log(max(1e-9, (1 - c) * apart) / apart)
-            log_odds += math.log(prior / (1 - prior))
+            log_odds += math.log(PRIOR / (1 - PRIOR))
             copies[a, b] = _chance(log_odds)
-    return accuracy, copies, posterior
+    return accuracy, copies, model
+
+
+def read_patterns(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[Pattern, int]]:
+    for batch in batches:
+        for pattern, n in zip(batch["pattern"], batch["n_items"]):
+            yield tuple((int(e["voters"]), int(e["n"])) for e in pattern), int(n)
+
+
+def estimated(items: DataFrame, n_sources: int) -> tuple[list[float], dict[tuple[int, int], float], DataFrame]:
+    """(accuracy, copies, (pattern, voters, posterior) of every pattern)."""
+    ship(items.sparkSession)
+    patterns = cut(items.groupBy("pattern").agg(F.count("*").alias("n_items")))
+
+    def tallied(model: Model | None) -> np.ndarray:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            yield pd.DataFrame({"sums": [tally(read_patterns(batches), n_sources, model).ravel()]})
+
+        found = patterns.mapInPandas(run, "sums array<double>").toLocalIterator()
+        return sum((np.asarray(r[0]) for r in found), np.zeros(3 * n_sources**2)).reshape(n_sources, n_sources, 3)
+
+    accuracy, copies, model = estimate(tallied, n_sources)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [([{"voters": g, "n": k} for g, k in p], e[0], q) for p, _ in read_patterns([batch]) for e, q in zip(p, model.posterior(p))]
+            yield pd.DataFrame(made, columns=["pattern", "voters", "posterior"])
+
+    return accuracy, copies, patterns.mapInPandas(run, "pattern array<struct<voters:bigint,n:bigint>>, voters bigint, posterior double")
 
 
 def site_codes(sites: DataFrame) -> list[str]:
@@ -174,10 +218,8 @@ def fuse(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """
     codes = site_codes(sites)
     voted = claims(rows, codes)
-    items = patterns_of(voted)
-    _, _, posterior = estimate(pattern_counts(items), len(codes) + 1)
-    table = [([[g, k] for g, k in p], e[0], q) for p, qs in posterior.items() for e, q in zip(p, qs)]
-    scored = rows.sparkSession.createDataFrame(table, "pattern array<struct<voters:bigint,n:bigint>>, voters bigint, posterior double")
+    items = cut(patterns_of(voted))
+    _, _, scored = estimated(items, len(codes) + 1)
     joined = voted.join(items, ["key", "field_name"]).join(small(scored), ["pattern", "voters"])
     best = F.min(F.struct((-F.col("posterior")).alias("p"), "value", "n_values")).alias("b")
     return joined.groupBy(F.col("key").alias("key_hash"), "field_name").agg(best).select("key_hash", "field_name", F.col("b.value").alias("value"), (-F.col("b.p")).alias("posterior"), F.col("b.n_values").alias("n_values"))
@@ -186,7 +228,7 @@ def fuse(rows: DataFrame, sites: DataFrame) -> DataFrame:
 def source_accuracy(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """(source, accuracy, copies_with, dependence): estimated accuracy, and the source it most likely shares copies with."""
     codes = site_codes(sites)
-    accuracy, copies, _ = estimate(pattern_counts(patterns_of(claims(rows, codes))), len(codes) + 1)
+    accuracy, copies, _ = estimated(patterns_of(claims(rows, codes)), len(codes) + 1)
     names, out = ["(none)", *codes], []
     for k, name in enumerate(names):
         near = max(((q, b if a == k else a) for (a, b), q in copies.items() if k in (a, b)), default=(0.0, None))

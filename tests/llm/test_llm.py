@@ -74,6 +74,22 @@ def test_fusion_discounts_copies(spark):
     assert found["C"][1] in ("D", "E") and found["C"][2] > 0.9 and found["A"][0] > found["C"][0]
 
 
+def test_fusion_counts_all_values_of_a_hot_key(spark):
+    """One source claims 50 values for a key, 40 of them with another; all share the key's probability, and all count as votes."""
+    made = [(i, "hot", f"v{i}", "A", 1) for i in range(50)] + [(100 + i, "hot", f"v{i}", "B", 1) for i in range(40)]
+    df = lab(spark, *made)
+    voted = fusion.claims(df, fusion.site_codes(sites(spark)))
+    items = fusion.patterns_of(voted)
+    (pattern,) = items.select("pattern").first()
+    assert [(e.voters, e.n) for e in pattern] == [(2, 10), (6, 40)]
+    accuracy, _, scored = fusion.estimated(items, 6)
+    posterior = {r.voters: r.posterior for r in scored.collect()}
+    assert 10 * posterior[2] + 40 * posterior[6] == pytest.approx(1)
+    (best,) = fusion.fuse(df, sites(spark)).collect()
+    assert (best.value, best.n_values) == ("v0", 50) and best.posterior == pytest.approx(posterior[6]) and best.posterior <= 1 / 40
+    assert accuracy[1] < 0.06 and accuracy[3] == pytest.approx(0.8)  # a source without votes has the prior
+
+
 def test_leaks_of_whole_table(spark):
     got = rows(queries.QUERIES["p8_found"](spark, SF))
     assert set(got) == brute.p8(read("documents"), read("eval_items")) and len(got) == len(set(got))
