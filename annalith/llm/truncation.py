@@ -23,16 +23,17 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut, map_arrow, small
+from ..session import cut, map_arrow, ship, small
 from .leaks import slices
 from .mixing import source_key
 
 ENCODINGS = ("characters", "utf8", "utf16", "characters_crlf", "utf8_crlf", "json", "json_ascii", "entities", "entities_quotes")
-LIMIT_TEXTS, LIMIT_SHARE = 5, 0.02
-"""A length is a limit if at least so many different texts, and that share of a source's texts, have it."""
+LIMIT_TEXTS, NEAR, SIGMAS = 5, 16, 6.0
+"""A length is a limit if at least so many different texts have it, and more than is usual among so many lengths to either side by so many deviations."""
 EXCESS = 4.0
 """Times more often than inside texts that a shape must end texts to tell of cuts."""
 CLOSING_SHARE, CLOSING_LINES, CLOSING_LENGTH = 0.0005, 2, 60
@@ -189,14 +190,45 @@ def scan(documents: DataFrame) -> DataFrame:
     return map_arrow(rows, run, SCHEMA)
 
 
+def distinct_limits(sets: list[tuple[list[tuple[int, int]], int]], least: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
+    """The (encoding, length) that explain the texts, those of most texts first, given the candidates of every text, with the number of texts.
+
+    One counts only if it stands out (``least``) by texts that those before it leave.
+    """
+    found = []
+    while True:
+        left: Counter = Counter()
+        for given, n in sets:
+            left.update(dict.fromkeys(given, n))
+        best = max((c for c in left if left[c] > least[c]), key=lambda c: (left[c], -c[0], -c[1]), default=None)
+        if best is None:
+            return found
+        found.append(best)
+        sets = [(given, n) for given, n in sets if best not in given]
+
+
 def limits(texts: DataFrame) -> DataFrame:
-    """(source, encoding, at_length, n_texts): the hidden limit of each source that has one, in the encoding that shows it best."""
-    flat = texts.select("source", "text_hash", F.posexplode("lengths").alias("encoding", "at_length")).filter("source is not null")
-    shared = flat.groupBy("source", "encoding", "at_length").agg(F.countDistinct("text_hash").alias("n_texts")).filter(F.col("n_texts") >= LIMIT_TEXTS)
-    sizes = texts.groupBy("source").agg(F.countDistinct("text_hash").alias("of_texts"))
-    spikes = shared.join(sizes, "source").filter(F.col("n_texts") >= LIMIT_SHARE * F.col("of_texts"))
-    best = spikes.groupBy("source").agg(F.max_by(F.struct("encoding", "at_length", "n_texts"), F.struct("n_texts", -F.col("encoding"))).alias("b"))
-    return best.select("source", F.col("b.encoding").alias("encoding"), F.col("b.at_length").alias("at_length"), F.col("b.n_texts").alias("n_texts"))
+    """(source, encoding, at_length, n_texts): the hidden limits of each source, each in the encoding that shows it best; texts of no source are one source, ''."""
+    ship(texts.sparkSession)
+    place = ["source", "encoding", "at_length"]
+    flat = texts.select(F.coalesce("source", F.lit("")).alias("source"), "text_hash", F.posexplode("lengths").alias("encoding", "at_length"))
+    counts = cut(flat.groupBy(*place).agg(F.countDistinct("text_hash").alias("n_texts")))
+    shared = counts.filter(F.col("n_texts") >= LIMIT_TEXTS)
+    step = F.when(F.col("encoding") == ENCODINGS.index("utf16"), 2).otherwise(1)  # there odd lengths don't occur
+    around = shared.select("source", "encoding", F.col("at_length").alias("of"), F.explode(F.array(*(F.col("at_length") + step * d for d in range(-NEAR, NEAR + 1) if d))).alias("at_length"))
+    near = around.join(counts, place).groupBy("source", "encoding", F.col("of").alias("at_length")).agg((F.sum("n_texts") - F.max("n_texts")).alias("near"))  # without the greatest, which may be a limit too
+    usual = F.coalesce("near", F.lit(0)) / (NEAR - 1 + F.least(F.lit(NEAR), F.col("at_length") / step))
+    least = F.greatest(F.lit(LIMIT_TEXTS - 1), usual + SIGMAS * F.sqrt(usual) + LIMIT_TEXTS - 1)
+    spikes = cut(shared.join(near, place, "left").withColumn("least", least).filter("n_texts > least").select(*place, "n_texts", "least"))
+    by_text = flat.join(small(spikes), place).groupBy("source", "text_hash").agg(F.sort_array(F.collect_set(F.struct("encoding", "at_length", "least"))).alias("given"))
+    sets = by_text.groupBy("source", "given").agg(F.count("*").alias("n"))
+
+    def chosen(pdf: pd.DataFrame) -> pd.DataFrame:
+        least = {(e["encoding"], e["at_length"]): e["least"] for given in pdf["given"] for e in given}
+        found = distinct_limits([([(e["encoding"], e["at_length"]) for e in given], n) for given, n in zip(pdf["given"], pdf["n"])], least)
+        return pd.DataFrame([(pdf["source"].iat[0], *c) for c in found], columns=place)
+
+    return spikes.drop("least").join(sets.groupBy("source").applyInPandas(chosen, "source string, encoding int, at_length bigint"), place)
 
 
 def judged(documents: DataFrame) -> DataFrame:
@@ -214,8 +246,9 @@ def judged(documents: DataFrame) -> DataFrame:
     known = usual.filter((F.length("word") > SHORT_WORD) | F.col("ends")).select("word", F.lit(True).alias("known"))
     closes = closing.filter(F.col("line_n") >= max(CLOSING_LINES, CLOSING_SHARE * n_docs)).select("line", F.lit(True).alias("closes"))
     rates = finals.join(inner, "shape", "left").select("shape", F.coalesce("inner_n", F.lit(0)).alias("inner_n"), "final_n")
-    joined = texts.join(small(limits(texts)).drop("n_texts"), "source", "left").join(rates, "shape").join(known, "word", "left").join(closes, "line", "left")
-    at_limit = F.coalesce(F.get("lengths", F.col("encoding")) == F.col("at_length"), F.lit(False))
+    limited = limits(texts).groupBy(F.col("source").alias("of")).agg(F.collect_list(F.struct("encoding", "at_length")).alias("limits"))
+    joined = texts.withColumn("of", F.coalesce("source", F.lit(""))).join(small(limited), "of", "left").join(rates, "shape").join(known, "word", "left").join(closes, "line", "left")
+    at_limit = F.coalesce(F.exists("limits", lambda x: F.get("lengths", x["encoding"]) == x["at_length"]), F.lit(False))
     whole = F.col("shape").isin("fence", "record", "empty")
     sentence = F.col("shape").isin("prose .", "prose !", "prose ?", "prose :")
     closing_line = F.coalesce("closes", F.lit(False)) & ~sentence
@@ -239,5 +272,5 @@ def rates(documents: DataFrame) -> DataFrame:
 
 def hidden_limits(documents: DataFrame) -> DataFrame:
     names = F.array(*(F.lit(e) for e in ENCODINGS))
-    found = limits(scan(documents).filter("what = 'text'"))
-    return found.select("source", F.get(names, F.col("encoding")).alias("encoding"), "at_length", "n_texts")
+    found = limits(cut(scan(documents).filter("what = 'text'").select("source", "text_hash", "lengths")))
+    return found.select(F.when(F.col("source") != "", F.col("source")).alias("source"), F.get(names, F.col("encoding")).alias("encoding"), "at_length", "n_texts")

@@ -185,6 +185,29 @@ def test_limits_show_in_the_right_encoding(spark):
     assert truncation.lengths('a"\n\\é<𝄞')[:3] == [7, 11, 16]
 
 
+def test_all_limits_of_a_source_are_found(spark):
+    """A field that grew, with a byte limit besides, among many texts of other lengths; and texts of no source."""
+    rng, made = random.Random(7), []
+    text = lambda n, a="x": "".join(rng.choice("abc " + a) for _ in range(n - 1)) + "w"
+    add = lambda t, s: made.append((len(made), t, s))
+    for _ in range(3000):
+        add(text(rng.randrange(20, 3000)), "s")
+    for n, length in ((20, 300), (15, 800)):
+        for _ in range(n):
+            add(text(length), "s")
+    for _ in range(15):
+        t = text(2 * rng.randrange(100, 200), "é")
+        add(t + "w" * (501 - len(t.encode())), "s")
+    for _ in range(9):
+        add(text(250), None)
+    df = docs(spark, *made)
+    found = {(r.source, r.encoding, r.at_length) for r in truncation.hidden_limits(df).collect()}
+    assert found == {("s", "characters", 300), ("s", "characters", 800), ("s", "utf8", 501), (None, "characters", 250)}
+    at = {r.doc_id for r in truncation.judged(df).filter("at_limit").collect()}
+    assert at >= set(range(3000, 3059)) and len(at) < 3059 + 25
+    assert truncation.distinct_limits([([(0, 9), (1, 9)], 8), ([(1, 9)], 3), ([(0, 9)], 6)], {(0, 9): 4, (1, 9): 4}) == [(0, 9)]
+
+
 def test_endings_of_odd_texts(spark):
     df = docs(spark, (1, None, "s"), (2, "", "s"), (3, "A whole sentence.", None), (4, "```python\nx = 1", "s"), (5, '{"cell": "code", "n": 1, "body": "x"}\n', "s"), (6, '{"cell": "code", "n": 1, "bo', "s"), (7, "word " * 50_000 + "end.", "s"))
     got = {r.doc_id: r.truncated for r in truncation.judged(df).collect()}
