@@ -49,7 +49,6 @@ IMAGE = re.compile(r"[A-Za-z0-9+/]{40,}")
 LETTERS = re.compile(r"[^\W\d_]+")
 LAST_WORD = re.compile(r"[^\W\d_]+$")
 NUMBER = re.compile(r"\d+(\.\d+)?$")
-WORD_LENGTH = 20
 SHORT_WORD = 3
 """Words up to this length are known only if they also end an inner block: names in code are often so short."""
 
@@ -183,7 +182,7 @@ def scan(documents: DataFrame) -> DataFrame:
                 t = line.strip()
                 out.append((doc_id, source, text_hash, lengths(text), form, word, t if kind == "prose" and t and not t[-1].isalnum() and len(t) <= CLOSING_LENGTH else None, "text", 1))
             out += [(None, None, None, None, s, None, None, "shape", n) for s, n in inner.items()]
-            out += [(None, None, None, None, None, w, None, "word", n) for w, n in words.items() if n > 0 and len(w) <= WORD_LENGTH]
+            out += [(None, None, None, None, None, w, None, "word", n) for w, n in words.items() if n > 0]
             out += [(None, None, None, None, None, w, None, "end", n) for w, n in last_words.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 

@@ -213,3 +213,8 @@ def test_endings_of_odd_texts(spark):
     got = {r.doc_id: r.truncated for r in truncation.judged(df).collect()}
     assert got == {2: False, 3: False, 4: True, 5: False, 6: True, 7: False}
     assert rows(truncation.p10_found(df.limit(0))) == []
+
+
+def test_long_last_words_are_known(spark):
+    df = docs(spark, *((i, f"{'we ' * i}use RandomForestClassifier\n\nthen import RandomForestClassifier", "s") for i in range(4)), (9, "we use it\n\nthen import RandomForestClassifie", "s"))
+    assert {r.doc_id: r.truncated for r in truncation.judged(df).collect()} == {0: False, 1: False, 2: False, 3: False, 9: True}
