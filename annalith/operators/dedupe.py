@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .blocks import numbered
 
 #: Classes of raw rows, and those that are not kept.
-CLASSES = ("NFER_VALIDATION", "RAW_DUPLICATE", "RE_PROCESSED_DUPLICATE", "FACT_ONLY_PATIENT", "RE_PROCESSED_RECORDS", "RAW_RECORDS")
+CLASSES = ("VALIDATION", "RAW_DUPLICATE", "RE_PROCESSED_DUPLICATE", "FACT_ONLY_PATIENT", "RE_PROCESSED_RECORDS", "RAW_RECORDS")
 DROPPED = CLASSES[:4]
 
 
 def mark_duplicates(df: DataFrame, key: Sequence[str], newest: Sequence[str], out: str = "is_duplicate") -> DataFrame:
-    """Marks all rows of a key but the newest (descending, nulls last)."""
-    w = W.partitionBy(*key).orderBy(*(F.col(c).desc_nulls_last() for c in newest))
-    return df.withColumn(out, F.row_number().over(w) > 1)
+    """Marks all rows of a key but the newest (descending, nulls last); a key with very many copies is sorted by many tasks."""
+    ranked = numbered(df, key, [F.col(c).desc_nulls_last() for c in newest], "__n")
+    return ranked.withColumn(out, F.col("__n") > 1).drop("__n")
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    w = W.partitionBy(*key).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    return numbered(df, key, order, "__n").filter("__n = 1").drop("__n")
 
 
 def newest_rows(df: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .joins import null_safe_join, within
+from ..session import small
+from .blocks import blocked, met, running
+from .joins import null_safe_join
 from .normalize import apply_formula
 
 #: Result texts that are positive.
@@ -24,24 +26,42 @@ def first_positive(tests: DataFrame, entity: str, at: str, result: str) -> DataF
     return first.groupBy(entity).agg(F.min_by(F.struct("flag", "at"), F.when(F.col("flag") == "Y", 0).otherwise(1)).alias("r")).select(entity, "r.flag", "r.at")
 
 
-def stay_days(points: DataFrame, stays: DataFrame, entity: str, kind: str, kinds: dict[str, str], at: str = "at", start: str = "start_ts", end: str = "end_ts") -> DataFrame:
-    """(entity, at, first_start, n_stays, days and days per kind): stays that reach beyond a point, counted from it on.
+def stay_days(points: DataFrame, stays: DataFrame, entity: str, kind: str, kinds: dict[str, str], at: str = "at", start: str = "start_ts", end: str = "end_ts", hot_rows: int | None = None) -> DataFrame:
+    """(entity, at, first_start, n_stays, days and days per kind): stays that reach beyond a point, counted from it on. Points without any have no row.
 
-    Of several stays with one start the longest counts, per kind.
+    Of several stays with one start the longest counts, per kind; those begun before the point all start at it.
+    One sweep per entity, no product: what stays begun by then still last to is a running maximum of ends, what
+    begins later is a running sum backwards over the distinct starts.
     """
-    spans = within(points, stays, entity, at, start, end, reach_back=True).withColumn("from_ts", F.greatest(at, start))
-    days = F.floor(F.col(end) / 86_400) - F.floor(F.col("from_ts") / 86_400)
-    per_start = spans.withColumn("days", days.cast("bigint")).groupBy(entity, at, "from_ts").agg(F.max("days").alias("days"), *(F.max(F.when(F.col(kind) == k, F.col("days")).otherwise(0)).alias(name) for k, name in kinds.items()))
-    return per_start.groupBy(entity, at).agg(F.min("from_ts").alias("first_start"), F.count("*").alias("n_stays"), F.sum("days").alias("days"), *(F.sum(name).alias(name) for name in kinds.values()))
+    day = lambda c: F.floor(c / 86_400)
+    ends = {"all": F.max(end), **{name: F.max(F.when(F.col(kind) == k, F.col(end))) for k, name in kinds.items()}}
+    starts = stays.filter(F.col(start) < F.col(end)).groupBy(F.col(entity).alias("e"), F.col(start).alias("t")).agg(*(v.alias(f"end_{n}") for n, v in ends.items()))
+    starts = starts.select("e", "t", F.lit(0).alias("asked"), *(f"end_{n}" for n in ends))
+    asked = points.select(F.col(entity).alias("e"), F.col(at).alias("t")).distinct().select("e", "t", F.lit(1).alias("asked"), *(F.lit(None).cast("bigint").alias(f"end_{n}") for n in ends))
+    both = blocked(starts.unionByName(asked), ["e"], "t", hot_rows)
+    begun = running(both, ["e"], ["t", "asked"], {f"lasts_{n}": ("max", F.col(f"end_{n}")) for n in ends})
+    own = {n: F.when(F.col(f"end_{n}").isNotNull(), day(F.col(f"end_{n}")) - day(F.col("t"))) for n in ends}
+    later = {"next_start": ("last", F.when(F.col("asked") == 0, F.col("t"))), "n_later": ("sum", F.when(F.col("asked") == 0, 1))}
+    swept = running(begun, ["e"], ["t", "asked"], later | {f"later_{n}": ("sum", c) for n, c in own.items()}, reverse=True, inclusive=False).filter("asked = 1")
+    still = {n: F.when(F.col(f"lasts_{n}") > F.col("t"), day(F.col(f"lasts_{n}")) - day(F.col("t"))) for n in ends}
+    lasting = F.col("lasts_all") > F.col("t")
+    days = {n: (F.coalesce(still[n], F.lit(0)) + F.coalesce(f"later_{n}", F.lit(0))).cast("bigint") for n in ends}
+    n_stays = (F.when(lasting, 1).otherwise(0) + F.coalesce("n_later", F.lit(0))).cast("bigint")
+    return swept.select(F.col("e").alias(entity), F.col("t").alias(at), F.when(lasting, F.col("t")).otherwise(F.col("next_start")).alias("first_start"), n_stays.alias("n_stays"), days["all"].alias("days"), *(days[n].alias(n) for n in kinds.values())).filter("n_stays > 0")
 
 
 def token_sets(sources: Sequence[DataFrame], entity: str, at: str, tokens: str, separator: str = ",") -> DataFrame:
-    """(entity, at, tokens, n): the distinct tokens of all sources in order, joined by the separator."""
+    """(entity, at, tokens, n): the distinct tokens of all sources in order, joined by the separator.
+
+    One aggregate: repeated texts of a group fold before the shuffle, and texts are split only after it.
+    """
     union = sources[0].select(entity, at, tokens)
     for s in sources[1:]:
         union = union.unionByName(s.select(entity, at, tokens))
-    each = union.select(entity, at, F.explode(F.split(tokens, separator)).alias("t")).select(entity, at, F.trim("t").alias("t")).filter("t <> ''").distinct()
-    return each.groupBy(entity, at).agg(F.array_join(F.array_sort(F.collect_list("t")), separator).alias(tokens), F.count("*").alias("n"))
+    grouped = union.groupBy(entity, at).agg(F.collect_set(tokens).alias("texts"))
+    split = F.flatten(F.transform("texts", lambda x: F.split(x, separator)))
+    each = F.array_sort(F.array_distinct(F.filter(F.transform(split, lambda t: F.trim(t)), lambda t: t != "")))
+    return grouped.withColumn("each", each).filter(F.size("each") > 0).select(entity, at, F.array_join("each", separator).alias(tokens), F.size("each").cast("bigint").alias("n"))
 
 
 def conflicts(profiles: DataFrame, entity: str, merged: str, active: Column, columns: Sequence[str]) -> DataFrame:
@@ -90,7 +110,7 @@ def harmonise_numbers(measures: DataFrame, rules: DataFrame, key: Sequence[str],
     out = out.filter((F.col("is_valid_range") != "true") | F.col("value").between(F.col("range_min"), F.col("range_max")))
     if ranges is not None:
         limits = ranges.select(F.col("name").alias(name), F.col("range_min").alias("__lo"), F.col("range_max").alias("__hi"))
-        out = out.join(F.broadcast(limits), name, "left").filter("(__lo is null or value >= __lo) and (__hi is null or value <= __hi)").drop("__lo", "__hi")
+        out = out.join(small(limits), name, "left").filter("(__lo is null or value >= __lo) and (__hi is null or value <= __hi)").drop("__lo", "__hi")
     return out
 
 
@@ -127,16 +147,12 @@ def accumulated(versions: Sequence[DataFrame], columns: Sequence[str], version:
     return union.groupBy(*columns).agg(F.min(version).alias(version))
 
 
-def within_day(c: Column) -> Column:
-    return c - F.pmod(c, F.lit(86_400))
-
-
 def top_with_extras(df: DataFrame, key: str, n: int, extras: Sequence[object]) -> DataFrame:
     """A sample of entities: the n least by key, and the named ones."""
     return df.orderBy(key).limit(n).unionByName(df.filter(F.col(key).isin(*extras))).distinct()
 
 
 def running_distinct(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
-    """Distinct values per group on every row: the greatest dense rank."""
-    ranked = df.withColumn("__d", F.dense_rank().over(W.partitionBy(*by).orderBy(value)))
-    return ranked.withColumn(out, F.max("__d").over(W.partitionBy(*by)).cast("bigint")).drop("__d")
+    """Distinct non-null values per group on every row; they fold to one number per group before they meet the rows."""
+    counts = df.groupBy(*by).agg(F.countDistinct(value).alias("__n"))
+    return met(df, counts, by).select(*df.columns, F.col("__n").cast("bigint").alias(out))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import cut, small
+from .blocks import numbered
 
 
 def number_globally(df: DataFrame, order: str, out: str = "n") -> DataFrame:
@@ -18,10 +19,10 @@ def number_globally(df: DataFrame, order: str, out: str = "n") -> DataFrame:
     values = df.select(order).distinct()
     # written once: numbering and sizes must see the same ranges
     parted = cut(values.repartitionByRange(order).withColumn("__part", F.spark_partition_id()))
-    numbered = parted.withColumn("__n", F.row_number().over(W.partitionBy("__part").orderBy(order)))
+    ranked = parted.withColumn("__n", F.row_number().over(W.partitionBy("__part").orderBy(order)))
     sizes = parted.groupBy("__part").agg(F.count("*").alias("__size"))
     shifts = sizes.withColumn("__shift", F.coalesce(F.sum("__size").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("__part", "__shift")
-    return numbered.join(small(shifts), "__part").select(order, (F.col("__n") + F.col("__shift")).cast("bigint").alias(out))
+    return ranked.join(small(shifts), "__part").select(order, (F.col("__n") + F.col("__shift")).cast("bigint").alias(out))
 
 
 def extend_dictionary(known: DataFrame, values: DataFrame, value: str, id_col: str) -> DataFrame:
@@ -36,8 +37,7 @@ def extend_per_entity(known: DataFrame, values: DataFrame, entity: str, value: s
     """The same within every entity."""
     fresh = values.select(entity, value).filter(F.col(value).isNotNull()).distinct().join(known.select(entity, value), [entity, value], "left_anti")
     top = known.groupBy(entity).agg(F.max(id_col).cast("bigint").alias("__top"))
-    rank = F.row_number().over(W.partitionBy(entity).orderBy(value))
-    new = fresh.withColumn("__n", rank).join(top, entity, "left").select(entity, (F.col("__n") + F.coalesce("__top", F.lit(0))).cast("bigint").alias(id_col), value)
+    new = numbered(fresh, [entity], [F.col(value)], "__n").join(top, entity, "left").select(entity, (F.col("__n") + F.coalesce("__top", F.lit(0))).cast("bigint").alias(id_col), value)
     return known.select(entity, F.col(id_col).cast("bigint").alias(id_col), value).unionByName(new)
 
 

@@ -31,13 +31,15 @@ def with_bucket(df: DataFrame, entity: str, buckets: int, out: str = "bucket_id"
     return df if out in df.columns else df.withColumn(out, (split_bucket_id if split else bucket_id)(F.col(entity), buckets))
 
 
-def key_text(df: DataFrame, columns: Sequence[str], zero_numbers: bool = True) -> Column:
-    """Values of the columns in order of their names, joined by '|'; null is '0' for numbers (if zero_numbers) and '' otherwise.
+def key_order(columns: Sequence[str]) -> list[str]:
+    """The order in which key columns are joined: by upper-case name with the ending _NA, a.b being a__b. So CODE_DK goes before CODE."""
+    return sorted(columns, key=lambda c: f"{c.replace('.', '__').upper()}_NA")
+
 
-    A nested column a.b takes its place under the name a__b.
-    """
+def key_text(df: DataFrame, columns: Sequence[str], zero_numbers: bool = True) -> Column:
+    """Values of the columns in ``key_order``, joined by '|'; null is '0' for numbers (if zero_numbers) and '' otherwise."""
     parts = []
-    for name in sorted(columns, key=lambda c: c.replace(".", "__")):
+    for name in key_order(columns):
         numeric = zero_numbers and isinstance(df.select(name).schema.fields[0].dataType, NUMERIC)
         parts.append(F.coalesce(F.col(name).cast("string"), F.lit("0" if numeric else "")))
     return F.concat_ws("|", *parts)
@@ -48,16 +50,20 @@ def key_hash(df: DataFrame, columns: Sequence[str], zero_numbers: bool = True) -
     return F.sha2(key_text(df, columns, zero_numbers), 256)
 
 
+NULL_MARK = "\x01"
+
+
 def row_md5(columns: Sequence[str]) -> Column:
-    """MD5 of the row's values joined by '|'; nulls are skipped."""
-    return F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in columns)))
+    """MD5 of the row's values joined by '|'. A null has a mark of its own, so a value that moves to another column changes the hash."""
+    return F.md5(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in columns)))
 
 
-def surrogate_id(*columns: Column, absolute: bool = False) -> Column:
-    """A 64-bit id of values; null where the single value is null."""
-    hashed = F.xxhash64(F.concat_ws("|", *columns)) if len(columns) > 1 else F.xxhash64(columns[0])
+def surrogate_id(df: DataFrame, columns: Sequence[str], absolute: bool = False) -> Column:
+    """A 64-bit id of the columns' values, taken and filled as in ``key_text``; of one column, its own hash, null where it is null."""
+    one = len(columns) == 1
+    hashed = F.xxhash64(F.col(columns[0]) if one else key_text(df, columns))
     hashed = F.abs(hashed) if absolute else hashed
-    return hashed if len(columns) > 1 else F.when(columns[0].isNotNull(), hashed)
+    return F.when(F.col(columns[0]).isNotNull(), hashed) if one else hashed
 
 
 def pack_guid(table_id: Column, key_id: Column, fact_key_id: Column) -> Column:

@@ -9,7 +9,14 @@ from pyspark.sql import Column, functions as F
 YEAR_SECONDS = 31_536_000
 BAD_DATE = -2_209_008_070
 #: Formats tried in order on texts without a declared format.
-LADDER = ((r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"), (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"), (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$", "MM/dd/yyyy HH:mm"), (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"))
+LADDER = (
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}[+-][0-9]{2}:[0-9]{2}$", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
+)
+#: The format of a text by its length.
+BY_LENGTH = {29: "yyyy-MM-dd HH:mm:ss.SSSSSS a", 26: "yyyy-MM-dd HH:mm:ss.SSSSSS", 19: "yyyy-MM-dd HH:mm:ss", 10: "yyyy-MM-dd"}
 
 
 def seconds(ts: Column) -> Column:
@@ -18,6 +25,9 @@ def seconds(ts: Column) -> Column:
 
 
 def _parsed(text: Column, fmt: str) -> Column:
+    """Epoch seconds. A format with an offset gives the instant; one without is read as UTC, whatever the session's zone."""
+    if fmt.endswith("X"):
+        return F.floor(F.unix_micros(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ltz")) / F.lit(1_000_000)).cast("bigint")
     return seconds(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
 
 
@@ -33,12 +43,13 @@ def parse_ladder(text: Column, fmt: str | None = None, relative_to: Column | Non
     return out
 
 
-def parse_by_length(text: Column, formats: dict[int, str], default: int | None = BAD_DATE, offset: Column | None = None) -> Column:
-    """Epoch seconds by the length of the text; texts of digits of other lengths count from ``offset``; else the default."""
-    out = text.try_cast("bigint") + offset if offset is not None else F.lit(None).cast("bigint")
+def parse_by_length(text: Column, formats: dict[int, str] = BY_LENGTH, default: int | None = BAD_DATE, offset: Column | None = None) -> Column:
+    """Epoch seconds of a text: a whole number counts from ``offset`` (else from 1970), whatever its length; else by the format of its length, or as a bare date; else the default."""
+    number = text.try_cast("bigint") + (F.coalesce(offset, F.lit(0)) if offset is not None else F.lit(0))
+    out = _parsed(text, "yyyy-MM-dd")
     for length, fmt in formats.items():
         out = F.when(F.length(text) == length, _parsed(text, fmt)).otherwise(out)
-    return F.coalesce(out, F.lit(default).cast("bigint"))
+    return F.coalesce(number, out, F.lit(default).cast("bigint"))
 
 
 def age_years(event: Column, birth: Column) -> Column:
@@ -46,6 +57,11 @@ def age_years(event: Column, birth: Column) -> Column:
     return ((event - birth) / YEAR_SECONDS).cast("bigint")
 
 
+def event_time(primary: Column, others: Sequence[Column]) -> Column:
+    """When an event happened: its own time, else the least of all its times."""
+    return F.coalesce(primary, F.array_min(F.array(primary, *others)))
+
+
 def birth_from_age(day: Column, age: Column) -> Column:
     """The day ``age`` years earlier; '89+' counts as 90."""
     years = F.when(age == "89+", 90).otherwise(age.try_cast("int"))

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .blocks import numbered
 from .dedupe import DROPPED, drop_indicator, newest_rows
 from .ids import extend_dictionary
 from .joins import lookup_left
-from .keys import bucket_id, key_hash, with_bucket
+from .keys import key_hash, with_bucket
 from .versioning import BY, FROM, continue_row_ids, stamped
 
 
@@ -23,8 +24,7 @@ def identities(profiles: DataFrame, known_people: DataFrame, known_keys: DataFra
     keyed = extend_dictionary(known_keys, one, source_key, "key_id")
     out = one.select(source_key, natural_id).join(people, natural_id).join(keyed, source_key)
     out = with_bucket(out, "entity_id", buckets)
-    row = F.row_number().over(W.partitionBy("bucket_id").orderBy("entity_id", "key_id")).cast("bigint")
-    return stamped(out.withColumn("row_id", row), version).select(source_key, natural_id, "entity_id", "key_id", "bucket_id", "row_id", FROM, BY)
+    return stamped(numbered(out, ["bucket_id"], [F.col("entity_id"), F.col("key_id")], "row_id"), version).select(source_key, natural_id, "entity_id", "key_id", "bucket_id", "row_id", FROM, BY)
 
 
 def expire_seen(old: DataFrame, new: DataFrame, key: str, version: int) -> DataFrame:
@@ -82,7 +82,3 @@ def prefix_flags(df: DataFrame, entity: str, text: str, prefixes: dict[str, str]
 def override_time(df: DataFrame, encounters: DataFrame, on: str, at: str) -> DataFrame:
     """Event times replaced by their encounter's, where it has one."""
     return df.join(encounters.select(on, F.col(at).alias("__at")), on, "left").withColumn(at, F.coalesce("__at", at)).drop("__at")
-
-
-def base_buckets(df: DataFrame, entity: str, buckets: int) -> DataFrame:
-    return df.withColumn("bucket_id", bucket_id(F.col(entity), buckets))

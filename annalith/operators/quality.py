@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Fixed value: bounds of count buckets, 1, 5, 10, 50, ... up to a hundred million.
-BOUNDS = [b for e in range(8) for b in (10**e, 5 * 10**e)] + [10**8]
+#: Bounds of count buckets: 1, 5, then ten steps in every power of ten up to a hundred million.
+BOUNDS = sorted({1, 5} | {step * 10**e for e in range(1, 8) for step in range(1, 11)})
 
 
 def counters(df: DataFrame, **conditions: Column) -> DataFrame:
@@ -43,11 +43,10 @@ def value_counts(df: DataFrame, column: str, entity: str) -> DataFrame:
 
 
 def count_bucket(n: Column) -> Column:
-    """The greatest of BOUNDS that is not above n; null below 1."""
-    out = F.lit(None).cast("bigint")
-    for b in BOUNDS:
-        out = F.when(n >= b, F.lit(b).cast("bigint")).otherwise(out)
-    return out
+    """The greatest of BOUNDS that is not above n, found by its power of ten; null below 1. Counts above the last bound fall into it."""
+    power = F.pow(F.lit(10.0), F.floor(F.log10(n + F.lit(0.5)))).cast("bigint")
+    step = F.when(n < 5, 1).when(n < 10, 5).otherwise(F.floor(n / power) * power)
+    return F.when(n >= 1, F.least(step, F.lit(BOUNDS[-1]))).cast("bigint")
 
 
 def log_histogram(df: DataFrame, entity: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import small
+from ..session import cut, small
+from .blocks import numbered
 from .keys import key_hash, pack_guid, row_md5
 
 FROM, BY = "valid_from", "superseded_by"
@@ -57,14 +58,20 @@ def dim_changes(old: DataFrame, new: DataFrame, key: Sequence[str], columns: Seq
 
 
 def merge_derived(old: DataFrame, new: DataFrame, key: Sequence[str], values: Sequence[str], version: int) -> DataFrame:
-    """A derived table with history: changed and missing rows are superseded, changed and new ones appended, equal ones left."""
-    hashes = lambda df: df.withColumns({"__k": key_hash(df, key, zero_numbers=False), "__r": key_hash(df, values, zero_numbers=False)})
-    o, n = hashes(old), hashes(new)
-    current = n.select("__k", F.col("__r").alias("__new"))
-    ended = o.join(current, "__k", "left").withColumn(BY, F.when((F.col(BY) == 0) & ~F.col("__r").eqNullSafe(F.col("__new")), version).otherwise(F.col(BY)).cast("bigint"))
-    known = o.filter(f"{BY} = 0").select("__k", "__r")
+    """A derived table with history: changed and missing rows are superseded, changed and new ones appended, equal ones left.
+
+    One full join of the active rows with the new ones; superseded rows pass through. A key that ``new`` has twice is an error.
+    """
     columns = [*key, *values, FROM, BY]
-    return ended.select(*columns).unionByName(stamped(n.join(known, ["__k", "__r"], "left_anti"), version).select(*columns))
+    hashes = lambda df, p: df.select(key_hash(df, key, zero_numbers=False).alias("__k"), F.struct(*key, *values, *([FROM] if p == "o" else [])).alias(p), key_hash(df, values, zero_numbers=False).alias(f"{p}h"))
+    n = hashes(new, "n")
+    once = n.groupBy("__k").agg(F.max(F.struct("n", "nh")).alias("r"), F.count(F.lit(1)).alias("c"))
+    once = once.select("__k", "r.n", F.when(F.col("c") > 1, F.raise_error(F.concat(F.lit("repeated key of the new table: "), F.to_json("r.n")))).otherwise(F.col("r.nh")).alias("nh"))
+    joined = hashes(old.filter(f"{BY} = 0"), "o").join(once, "__k", "full")
+    row = lambda p, since, by: F.struct(*(F.col(f"{p}.{c}").alias(c) for c in (*key, *values)), since.cast("bigint").alias(FROM), F.lit(by).cast("bigint").alias(BY))
+    fresh, now = row("n", F.lit(version), 0), F.col(f"o.{FROM}")
+    rows = F.when(F.col("oh").isNull(), F.array(fresh)).when(F.col("nh").isNull(), F.array(row("o", now, version))).when(F.col("oh") == F.col("nh"), F.array(row("o", now, 0))).otherwise(F.array(row("o", now, version), fresh))
+    return old.filter(f"{BY} <> 0").select(*columns).unionByName(joined.select(F.inline(rows)).select(*columns))
 
 
 def stamp_facts(data: DataFrame, known: DataFrame, obsolete_keys: DataFrame, version: int, table_id: int, full: bool = False) -> DataFrame:
@@ -72,28 +79,31 @@ def stamp_facts(data: DataFrame, known: DataFrame, obsolete_keys: DataFrame, ver
 
     data: key_hash, entity_id, key_id. known: key_hash, entity_id, key_id, fact_id, fact_key_id, valid_from,
     superseded_by. obsolete_keys: key_id. A fact keeps its number within the entity while the entity is the
-    same, and within the key id always; new facts are numbered on in order of old number and key hash.
+    same, and within the key id always; new facts are numbered on in order of their key hash. A key hash
+    delivered twice for one entity (or key id) gets one number. ``full`` takes the old rows as they are, all
+    superseded by this version.
+
+    The active map meets the data in one full join on the key hash. Numbers are given to distinct key hashes
+    only, and those of a hot entity (rows of nobody are entity 0) by ranges.
     """
-    active = known.filter(f"{BY} = 0")
-    old = active.select("key_hash", F.col("entity_id").alias("o_entity"), F.col("fact_id").alias("o_fact"), F.col("fact_key_id").alias("o_fact_key"), F.col("key_id").alias("o_key"))
-    top_fact = known.groupBy("entity_id").agg(F.max("fact_id").alias("top_fact"))
-    top_key = known.groupBy("key_id").agg(F.max("fact_key_id").alias("top_key"))
-    j = data.join(old, "key_hash", "left").join(top_fact, "entity_id", "left").join(top_key, "key_id", "left")
-    j = j.withColumns({"o_fact": F.when(F.col("o_entity") == F.col("entity_id"), F.col("o_fact")), "o_fact_key": F.when(F.col("o_key") == F.col("key_id"), F.col("o_fact_key"))})
-    order = lambda entity, number: W.partitionBy(entity, F.col(number).isNull()).orderBy("key_hash")
-    numbered = j.withColumns(
-        {
-            "fact_id": F.coalesce("o_fact", F.coalesce("top_fact", F.lit(0)) + F.row_number().over(order("entity_id", "o_fact"))).cast("bigint"),
-            "fact_key_id": F.coalesce("o_fact_key", F.coalesce("top_key", F.lit(0)) + F.row_number().over(order("key_id", "o_fact_key"))).cast("bigint"),
-        }
-    )
     columns = ["key_hash", "entity_id", "key_id", "fact_id", "fact_key_id", FROM, BY]
-    new = stamped(numbered, version).select(*columns)
-    gone = data.select("key_hash").distinct().withColumn("__again", F.lit(True))
-    dead = small(obsolete_keys.select("key_id").distinct().withColumn("__dead", F.lit(True)))
-    ends = F.lit(full) | F.col("__again").isNotNull() | F.col("__dead").isNotNull()
-    kept = known.join(gone, "key_hash", "left").join(dead, "key_id", "left").withColumn(BY, F.when((F.col(BY) == 0) & ends, version).otherwise(F.col(BY)).cast("bigint"))
-    return kept.select(*columns).unionByName(new).withColumn("guid", pack_guid(F.lit(table_id), F.col("key_id"), F.col("fact_key_id")))
+    active = known.filter(f"{BY} = 0").select("key_hash", F.struct("entity_id", "key_id", "fact_id", "fact_key_id", FROM).alias("o"))
+    dead = small(obsolete_keys.select(F.col("key_id").alias("__dead")).filter("__dead is not null").distinct())
+    met = cut(data.select("key_hash", F.struct("entity_id", "key_id").alias("d")).join(active, "key_hash", "full"))
+    came = met.filter("d is not null").select("key_hash", "d.*", F.when(F.col("o.entity_id") == F.col("d.entity_id"), F.col("o.fact_id")).alias("fact_id"), F.when(F.col("o.key_id") == F.col("d.key_id"), F.col("o.fact_key_id")).alias("fact_key_id"))
+
+    def with_numbers(rows: DataFrame, group: str, number: str) -> DataFrame:
+        top = known.groupBy(group).agg(F.max(number).alias("__top"))
+        fresh = numbered(rows.filter(F.col(number).isNull()).select(group, "key_hash").distinct(), [group], [F.col("key_hash")], "__n")
+        given = fresh.join(top, group, "left").select(group, "key_hash", (F.coalesce("__top", F.lit(0)) + F.col("__n")).alias("__new"))
+        return rows.join(given, [group, "key_hash"], "left").withColumn(number, F.coalesce(number, "__new").cast("bigint")).drop("__new")
+
+    new = with_numbers(with_numbers(came, "entity_id", "fact_id"), "key_id", "fact_key_id")
+    old = met.filter("o is not null").select("key_hash", "o.*", F.col("d").isNotNull().alias("again")).distinct()
+    ended = old.join(dead, F.col("key_id") == F.col("__dead"), "left")
+    ended = ended.withColumn(BY, F.when(F.lit(full) | F.col("again") | F.col("__dead").isNotNull(), version).otherwise(0).cast("bigint"))
+    whole = known.filter(f"{BY} <> 0").select(*columns).unionByName(ended.select(*columns)).unionByName(stamped(new, version).select(*columns))
+    return whole.withColumn("guid", pack_guid(F.lit(table_id), F.col("key_id"), F.col("fact_key_id")))
 
 
 def replay(published: DataFrame, drops: DataFrame, changes: DataFrame, key: str, latest_only: bool = False) -> DataFrame:
@@ -112,8 +122,8 @@ def identity_changes(old: DataFrame, new: DataFrame, source_key: str, natural_id
 
 def continue_row_ids(new: DataFrame, last: DataFrame, bucket: str, order: Sequence[Column], out: str = "row_id") -> DataFrame:
     """Row numbers within each bucket, from its greatest one so far (last: bucket, max_row_id)."""
-    numbered = new.withColumn(out, F.row_number().over(W.partitionBy(bucket).orderBy(*order)))
-    return numbered.join(last, bucket, "left").withColumn(out, (F.col(out) + F.coalesce("max_row_id", F.lit(0))).cast("bigint")).drop("max_row_id")
+    ranked = numbered(new, [bucket], order, out)
+    return ranked.join(small(last), bucket, "left").withColumn(out, (F.col(out) + F.coalesce("max_row_id", F.lit(0))).cast("bigint")).drop("max_row_id")
 
 
 def changed_share(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

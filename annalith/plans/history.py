@@ -59,6 +59,16 @@ def as_of_read(s, d):
     return versioning.as_of(_dim(s, d), 1, latest_only=True)
 
 
+SHIFTED = "(SELECT p_partkey, CASE WHEN {0} THEN p_brand END AS x, CASE WHEN NOT ({0}) THEN p_brand END AS y FROM part)"
+
+
+@P.add(f"SELECT count(*) FILTER ((a.x, a.y) IS NOT DISTINCT FROM (b.x, b.y)) AS unchanged, 0::bigint AS added, count(*) FILTER ((a.x, a.y) IS DISTINCT FROM (b.x, b.y)) AS changed, 0::bigint AS missing FROM {SHIFTED.format('p_partkey % 2 = 0')} a JOIN {SHIFTED.format('p_partkey % 4 = 0')} b USING (p_partkey)")
+def dim_shifted_values(s, d):
+    """The only change is a value that moves from one nullable column to the next."""
+    v = lambda where: table(s, d, "part").select("p_partkey", F.when(F.expr(where), F.col("p_brand")).alias("x"), F.when(~F.expr(where), F.col("p_brand")).alias("y"))
+    return versioning.dim_changes(v("p_partkey % 2 = 0"), v("p_partkey % 4 = 0"), ["p_partkey"], ["p_partkey", "x", "y"])
+
+
 AGG = "SELECT o_custkey, max(o_orderpriority) AS top, count(*) AS n FROM orders WHERE {} GROUP BY 1"
 SYN = f"""WITH o AS ({AGG.format("o_orderkey % 10 <> 3")}), n AS ({AGG.format("o_custkey % 17 <> 0")})"""
 
@@ -137,7 +147,7 @@ def dedupe_newest(s, d):
     return dedupe.newest_rows(table(s, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey"), ["l_suppkey"], ["l_orderkey", "l_linenumber"])
 
 
-INDICATED = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 7 THEN 'NFER_VALIDATION' WHEN dup AND l_linenumber % 2 = 0 THEN 'RAW_DUPLICATE' WHEN dup THEN 'RE_PROCESSED_DUPLICATE'
+INDICATED = """(SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 7 THEN 'VALIDATION' WHEN dup AND l_linenumber % 2 = 0 THEN 'RAW_DUPLICATE' WHEN dup THEN 'RE_PROCESSED_DUPLICATE'
  WHEN l_suppkey % 9 = 0 THEN 'FACT_ONLY_PATIENT' WHEN l_linenumber % 2 = 1 THEN 'RE_PROCESSED_RECORDS' ELSE 'RAW_RECORDS' END AS indicator FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) > 1 AS dup FROM lineitem))"""
 
 

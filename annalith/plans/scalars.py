@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F, types as T
 
 from ..operators import joins, keys, normalize
 from ..sources import readers
-from ..session import table
+from ..session import checkpoint_dir, table
 from .registry import Plans
 
 P = Plans()
@@ -30,9 +32,17 @@ def key_hash_sha256(s, d):
     return part.select("p_partkey", keys.key_hash(part, ["p_type", "p_size", "p_brand", "p_partkey"]).alias("key_hash"))
 
 
-@P.add("SELECT n_nationkey, md5(concat_ws('|', n_nationkey::varchar, n_name, n_regionkey::varchar)) AS row_hash FROM nation")
+@P.add("SELECT p_partkey, sha256(concat_ws('|', CASE WHEN p_size % 3 = 0 THEN 0 ELSE p_size END::varchar, CASE WHEN p_size % 4 = 0 THEN '' ELSE p_brand END, p_type)) AS key_hash FROM part")
+def key_hash_prefixed_names(s, d):
+    """One key column's name begins another's, and both have nulls: code_dk goes before code, and their nulls are 0 and ''."""
+    rows = table(s, d, "part").select("p_partkey", F.when(F.col("p_size") % 4 != 0, F.col("p_brand")).alias("code"), F.when(F.col("p_size") % 3 != 0, F.col("p_size")).alias("code_dk"), F.col("p_type").alias("kind"))
+    return rows.select("p_partkey", keys.key_hash(rows, ["kind", "code", "code_dk"]).alias("key_hash"))
+
+
+@P.add("SELECT n_nationkey, md5(concat_ws('|', n_nationkey::varchar, coalesce(nullif(n_name, 'FRANCE'), chr(1)), coalesce(CASE WHEN n_regionkey <> 2 THEN n_regionkey END::varchar, chr(1)))) AS row_hash FROM nation")
 def row_hash_md5(s, d):
-    return table(s, d, "nation").select("n_nationkey", keys.row_md5(["n_nationkey", "n_name", "n_regionkey"]).alias("row_hash"))
+    n = table(s, d, "nation").select("n_nationkey", F.nullif("n_name", F.lit("FRANCE")).alias("n_name"), F.when(F.col("n_regionkey") != 2, F.col("n_regionkey")).alias("n_regionkey"))
+    return n.select("n_nationkey", keys.row_md5(["n_nationkey", "n_name", "n_regionkey"]).alias("row_hash"))
 
 
 @P.add("SELECT l_orderkey, l_linenumber, ((7::bigint << 56) | (l_partkey << 28) | l_suppkey) AS guid FROM lineitem")
@@ -53,21 +63,16 @@ def pair_pack(s, d):
 
 @P.add()
 def surrogate_hash(s, d):
-    return table(s, d, "part").select("p_partkey", keys.surrogate_id(F.col("p_brand"), F.col("p_type")).alias("concept_id"), keys.surrogate_id(F.col("p_name"), absolute=True).alias("name_id"))
-
-
-TEXT_TS = """(CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 2 THEN strftime(ts, '%m/%d/%Y %H:%M') WHEN 3 THEN strftime(ts, '%Y-%m-%d') ELSE 'unknown' END)"""
-
-
-def _text_ts():
-    t, k = F.col("ts"), F.col("event_id") % 5
-    return F.when(k == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss")).when(k == 1, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")).when(k == 2, F.date_format(t, "MM/dd/yyyy HH:mm")).when(k == 3, F.date_format(t, "yyyy-MM-dd")).otherwise("unknown")
+    return table(s, d, "part").select("p_partkey", keys.surrogate_id(table(s, d, "part"), ["p_brand", "p_type"]).alias("concept_id"), keys.surrogate_id(table(s, d, "part"), ["p_name"], absolute=True).alias("name_id"))
 
 
-@P.add(f"""SELECT event_id, CASE event_id % 5 WHEN 0 THEN epoch_us(date_trunc('second', ts)) // 1000000 WHEN 1 THEN epoch_us(date_trunc('second', ts)) // 1000000
- WHEN 2 THEN epoch_us(date_trunc('minute', ts)) // 1000000 WHEN 3 THEN epoch_us(date_trunc('day', ts)::timestamp) // 1000000 END AS event_ts FROM (SELECT *, {TEXT_TS} AS t FROM events)""")
+@P.add("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN epoch_us(date_trunc('second', ts)) // 1000000 WHEN 1 THEN epoch_us(date_trunc('second', ts)) // 1000000
+ WHEN 2 THEN epoch_us(date_trunc('second', ts)) // 1000000 + (5 * 60 + 30) * 60 WHEN 3 THEN epoch_us(date_trunc('day', ts)::timestamp) // 1000000 END AS event_ts FROM events""")
 def ts_ladder(s, d):
-    return table(s, d, "events").select("event_id", normalize.parse_ladder(_text_ts()).alias("event_ts"))
+    t, k = F.col("ts"), F.col("event_id") % 6
+    iso = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    text = F.when(k == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss")).when(k == 1, iso).when(k == 2, F.concat(iso, F.lit("-05:30"))).when(k == 3, F.date_format(t, "yyyy-MM-dd")).when(k == 4, F.date_format(t, "MM/dd/yyyy HH:mm")).otherwise("unknown")
+    return table(s, d, "events").select("event_id", normalize.parse_ladder(text).alias("event_ts"))
 
 
 @P.add("SELECT event_id, user_id * 60 + 1000000 AS event_ts FROM events")
@@ -75,12 +80,13 @@ def relative_ts(s, d):
     return table(s, d, "events").select("event_id", normalize.parse_ladder((F.col("user_id") * 60).cast("string"), relative_to=F.lit(1_000_000)).alias("event_ts"))
 
 
-@P.add(f"""SELECT event_id, CASE event_id % 5 WHEN 0 THEN epoch_us(date_trunc('second', ts)) // 1000000 WHEN 1 THEN epoch_us(date_trunc('second', ts)) // 1000000 WHEN 3 THEN epoch_us(date_trunc('day', ts)::timestamp) // 1000000
- WHEN 2 THEN user_id + 500 ELSE {normalize.BAD_DATE} END AS event_ts FROM events""")
+@P.add(f"""SELECT event_id, CASE event_id % 6 WHEN 0 THEN epoch_us(ts) // 1000000 WHEN 1 THEN epoch_us(ts) // 1000000 WHEN 2 THEN epoch_us(ts) // 1000000 + 500 WHEN 3 THEN epoch_us(date_trunc('day', ts)::timestamp) // 1000000
+ WHEN 4 THEN user_id + 500 ELSE {normalize.BAD_DATE} END AS event_ts FROM events""")
 def dtm_length_dispatch(s, d):
-    k = F.col("event_id") % 5
-    text = F.when(k == 0, F.date_format("ts", "yyyyMMddHHmmss")).when(k == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(k == 3, F.date_format("ts", "yyyy-MM-dd")).when(k == 2, F.col("user_id").cast("string")).otherwise("-")
-    return table(s, d, "events").select("event_id", normalize.parse_by_length(text, {14: "yyyyMMddHHmmss", 19: "yyyy-MM-dd HH:mm:ss", 10: "yyyy-MM-dd"}, offset=F.lit(500)).alias("event_ts"))
+    """Among the texts are ten-digit epochs, which are as long as a date."""
+    k, t = F.col("event_id") % 6, F.col("ts")
+    text = F.when(k == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSSSSS")).when(k == 1, F.date_format(t, "yyyy-MM-dd HH:mm:ss")).when(k == 2, normalize.seconds(t).cast("string")).when(k == 3, F.date_format(t, "yyyy-MM-dd")).when(k == 4, F.col("user_id").cast("string")).otherwise("-")
+    return table(s, d, "events").select("event_id", normalize.parse_by_length(text, offset=F.lit(500)).alias("event_ts"))
 
 
 @P.add("SELECT o_orderkey, trunc((epoch_us(o_orderdate) // 1000000 - o_custkey * 86400) / 31536000)::bigint AS age FROM orders")
@@ -198,9 +204,11 @@ def json_repair(s, d):
 
 @P.add("SELECT year(o_orderdate)::bigint AS incr_counter, count(*) AS n, sum(o_custkey)::bigint AS checksum FROM orders GROUP BY 1")
 def batch_union_incr(s, d):
-    orders = table(s, d, "orders").withColumn("y", F.year("o_orderdate"))
-    years = [r[0] for r in orders.select("y").distinct().limit(200).collect()]
-    return readers.union_batches([(y, orders.filter(F.col("y") == y)) for y in sorted(years)]).groupBy(F.col("incr_counter").cast("bigint").alias("incr_counter")).agg(F.count("*").alias("n"), F.sum("o_custkey").alias("checksum"))
+    """The year of an order is the batch it came in: written as one folder a batch, read back by a manifest of the folders."""
+    path = f"{checkpoint_dir(s)}/annalith-batches-{uuid.uuid4().hex}"
+    table(s, d, "orders").withColumn("batch", F.year("o_orderdate")).write.partitionBy("batch").parquet(path)
+    batches = readers.manifest_of(s, path, "batch")
+    return readers.union_batches([(n, s.read.parquet(*files)) for n, files in batches]).groupBy(F.col("incr_counter").cast("bigint").alias("incr_counter")).agg(F.count("*").alias("n"), F.sum("o_custkey").alias("checksum"))
 
 
 @P.add("SELECT doc_id, (length(text) - length(replace(text, chr(10), '')) + 1)::bigint AS n_lines, (length(text) - length(replace(text, '|', '')) + 1)::bigint AS n_columns FROM documents")

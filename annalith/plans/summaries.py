@@ -26,7 +26,8 @@ def value_counts(s, d):
     return quality.value_counts(table(s, d, "events"), "event_type", "user_id")
 
 
-@P.add("""SELECT CASE WHEN n >= 1000 THEN 1000 WHEN n >= 500 THEN 500 WHEN n >= 100 THEN 100 WHEN n >= 50 THEN 50 WHEN n >= 10 THEN 10 WHEN n >= 5 THEN 5 ELSE 1 END::bigint AS bucket, count(*) AS n_entities FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1) GROUP BY 1""")
+@P.add("""WITH b AS (SELECT unnest([1, 5]) AS b UNION SELECT s * (10 ** e)::bigint FROM range(1, 11) r(s), range(1, 8) q(e)), n AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1)
+SELECT bucket, count(*) AS n_entities FROM (SELECT user_id, max(b)::bigint AS bucket FROM n JOIN b ON b <= n GROUP BY 1) GROUP BY 1""")
 def log_bucket_hist(s, d):
     return quality.log_histogram(table(s, d, "events"), "user_id")
 
@@ -133,10 +134,21 @@ def death_filter(s, d):
     return table(s, d, "customer").filter("c_acctbal < 0").select("c_custkey", "c_acctbal")
 
 
-@P.add()
+CYCLES = f"""WITH RECURSIVE e AS (SELECT DISTINCT user_id, ({TS} - 1704067200) * 24 AS z, CASE WHEN event_type IN ('login', 'view') THEN 1 WHEN event_type IN ('purchase', 'logout') THEN -1 ELSE 0 END AS tag, CASE WHEN event_id % 3 = 0 THEN 'primary' ELSE 'other' END AS source FROM events),
+o AS (SELECT *, row_number() OVER w AS n, coalesce(z - lag(z) OVER w > 172800 OR lag(tag) OVER w = -1, true) AS b, coalesce(lead(z) OVER w - z > 172800 OR lead(tag) OVER w = 1, true) AS f FROM e WINDOW w AS (PARTITION BY user_id ORDER BY z, source, tag)),
+q AS (SELECT *, max(CASE WHEN b THEN z END) OVER (PARTITION BY user_id ORDER BY n) AS back, min(CASE WHEN f THEN z END) OVER (PARTITION BY user_id ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS forth FROM o),
+r AS (SELECT user_id, n, CASE WHEN tag = 1 THEN z END AS s, source AS ss, back AS sb, NULL::bigint AS cb, NULL::bigint AS ce FROM q WHERE n = 1 UNION ALL
+ SELECT q.user_id, q.n, CASE WHEN take THEN z WHEN hit THEN NULL ELSE s END, CASE WHEN take THEN source ELSE ss END, CASE WHEN take THEN back ELSE sb END, CASE WHEN hit THEN sb END, CASE WHEN hit THEN forth END FROM
+ (SELECT q.*, r.s, r.ss, r.sb, q.tag = 1 AND (r.s IS NULL OR r.ss <> 'primary' OR (q.z - r.s) // 86400 > 30) AS take, q.tag = -1 AND r.s IS NOT NULL AND r.ss = q.source AS hit FROM q JOIN r ON q.user_id = r.user_id AND q.n = r.n + 1) q),
+c AS (SELECT user_id, n, cb, ce, sum(CASE WHEN cb <= l THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY n) AS cycle FROM (SELECT *, lag(ce) OVER (PARTITION BY user_id ORDER BY n) AS l FROM r WHERE cb IS NOT NULL))
+SELECT user_id, cycle::bigint AS cycle, ((max(ce) - min(cb)) // 86400 + 1)::bigint AS days, min(cb) AS start_ts, max(ce) AS end_ts FROM c GROUP BY user_id, cycle"""
+
+
+@P.add(CYCLES)
 def cycles_state_machine(s, d):
+    """A month of events stretched to two years, so that stays last over months without an event."""
     tag = F.when(F.col("event_type").isin("login", "view"), 1).when(F.col("event_type").isin("purchase", "logout"), -1).otherwise(0)
-    e = events(s, d).select("user_id", "t", tag.alias("tag"), F.when(F.col("event_id") % 3 == 0, "primary").otherwise("other").alias("source"))
+    e = events(s, d).select("user_id", ((F.col("t") - 1_704_067_200) * 24).alias("t"), tag.alias("tag"), F.when(F.col("event_id") % 3 == 0, "primary").otherwise("other").alias("source"))
     return sequences.episodes(e, "user_id", "t", "tag", "source", "primary")
 
 
@@ -178,7 +190,7 @@ def profile_sets_string(s, d):
 
 @P.add(f"""SELECT event_id FROM (SELECT event_id, event_type = lag(event_type) OVER w AND {TS} // 86400 = lag({TS}) OVER w // 86400 AS same FROM events WINDOW w AS (PARTITION BY user_id ORDER BY {TS}, event_id)) WHERE NOT coalesce(same, false)""")
 def change_compression(s, d):
-    return sequences.changes_only(events(s, d), ["user_id"], "t", "event_type", [F.col("event_id")]).select("event_id")
+    return sequences.changes_only(events(s, d), ["user_id"], "t", "event_type", ["event_id"]).select("event_id")
 
 
 RULES = [("click", "_value * 0.5", "true", 0.0, 40.0, "a"), ("view", "_value/4", "false", None, None, "b"), ("purchase", "_value", "true", 10.0, 1000.0, "c")]

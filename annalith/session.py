@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BROADCAST_ROWS = 50_000
-"""Rows up to which a side is broadcast by ``small``; a larger side is joined by shuffle."""
+BROADCAST_BYTES = 8 << 20
+"""Size up to which ``small`` broadcasts a side: of its files if it is a plain scan, else as Catalyst bounds it or as it was written."""
+BIG_TABLE_FACTOR = 5
+"""Shuffle partitions of a big table against those of others: its buckets are split in so many."""
 
 
 def build_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -19,6 +22,9 @@ def build_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.checkpoint.dir", "file://" + os.path.join(tempfile.gettempdir(), "annalith-checkpoints"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
@@ -26,33 +32,63 @@ def build_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     )
 
 
+def tune(spark: SparkSession, buckets: int, big: bool = False, override: int | None = None) -> int:
+    """Sets the shuffle partitions for a class of tables: one per bucket, BIG_TABLE_FACTOR per bucket of a big one, or as given. AQE joins small ones and splits skewed ones."""
+    n = override or buckets * (BIG_TABLE_FACTOR if big else 1)
+    for key, value in {"spark.sql.shuffle.partitions": n, "spark.sql.adaptive.enabled": True, "spark.sql.adaptive.skewJoin.enabled": True, "spark.sql.adaptive.coalescePartitions.enabled": True}.items():
+        spark.conf.set(key, str(value).lower())
+    return n
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint if the side is proven to have at most ``limit`` rows, else the plain side.
+def bytes_of(df: DataFrame) -> int:
+    """Catalyst's bound for the size of a frame: for a scan the size of its files; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+SHRINKING = {"LogicalRelation", "LocalRelation", "OneRowRelation", "Project", "Filter", "Aggregate", "Distinct", "Window", "Sort", "GlobalLimit", "LocalLimit", "Union", "SubqueryAlias", "ResolvedHint"}
+"""Plan nodes whose result Catalyst's bound covers; joins, generators and Python stages may give more."""
+
+
+def _bounded(plan) -> bool:
+    inner = plan.children()
+    return plan.nodeName() in SHRINKING and all(_bounded(inner.apply(i)) for i in range(inner.size()))
 
-    The check reads ``limit + 1`` rows at most.
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint if the side has at most ``limit`` bytes, else the plain side, to be joined by shuffle.
+
+    Where Catalyst's bound doesn't show it, the side is written once, measured, and read from there, so nothing is computed twice.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    if bytes_of(df) > limit or not _bounded(df._jdf.queryExecution().optimizedPlan()):
+        df = cut(df)
+    return F.broadcast(df) if bytes_of(df) <= limit else df
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where none is set, as in tests."""
-    sc = spark.sparkContext
-    where = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the session names in spark.checkpoint.dir. Only a local session may go without: then it is a temporary folder."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder; on a cluster it must be one that all executors share")
         where = "file://" + os.path.join(tempfile.gettempdir(), "annalith-checkpoints")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(where)
     return where
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise into the shared checkpoint folder, so a lost executor does not replay the lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The frame from a table written to the shared folder, so a lost executor doesn't replay the lineage.
+
+    It is columnar, so later readers take only the columns they need, and its size is known. It goes when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/annalith-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship(spark: SparkSession) -> None:

@@ -125,6 +125,18 @@ def manifest(lines: Iterable[str], pattern: str) -> list[tuple[int, list[str]]]:
     return [(b, sorted(files)) for b, files in sorted(batches.items())]
 
 
+def manifest_of(spark: SparkSession, path: str, batch: str) -> list[tuple[int, list[str]]]:
+    """The batches of a folder that has one folder ``batch=n`` each, from the file system's own list."""
+    return sorted((int(name.split("=", 1)[1]), [f"{path}/{name}"]) for name in listing(spark, path) if name.startswith(f"{batch}="))
+
+
+def listing(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, in order; none if there is no such folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
 def union_batches(batches: Sequence[tuple[int, DataFrame]], out: str = "incr_counter") -> DataFrame:
     """All batches with their number; columns that a batch lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (df.withColumn(out, F.lit(n)) for n, df in batches))

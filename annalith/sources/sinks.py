@@ -6,8 +6,9 @@ import json
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from ..operators.blocks import numbered
 from ..operators.versioning import BY, FROM
 
 
@@ -33,8 +34,7 @@ def publish(df: DataFrame, root: str, name: str, kind: str) -> int:
 
 def blocks(df: DataFrame, bucket: str, order: Sequence[Column], out: str = "row_id") -> DataFrame:
     """One layout per bucket: rows numbered and sorted within it."""
-    numbered = df.repartition(bucket).withColumn(out, F.row_number().over(W.partitionBy(bucket).orderBy(*order)))
-    return numbered.sortWithinPartitions(bucket, out)
+    return numbered(df, [bucket], order, out).repartition(bucket).sortWithinPartitions(bucket, out)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "|", single: bool = False, header: bool = False) -> None:

@@ -8,7 +8,8 @@ import __spark_entry__ as entry
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from annalith.operators import derive, ids, joins, keys, quality, sequences, versioning
+from annalith import session
+from annalith.operators import blocks, derive, ids, joins, keys, quality, sequences, versioning
 from annalith.plans import history, jobs, scalars, summaries, training
 from annalith.sources import readers, sinks
 from annalith.streaming import events as streams
@@ -70,32 +71,118 @@ def test_nearest_is_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
-def test_episodes(spark):
-    day = sequences.DAY
-    at, tags = [0, day, 3 * day, 4 * day, 60 * day, 61 * day], [0, 1, -1, 0, 1, -1]
-    assert sequences.find_cycles(at, tags, ["h"] * 6, "h") == [(1, 5, 0, 4 * day), (2, 2, 60 * day, 61 * day)]
-    assert sequences.find_cycles([0, day, 2 * day], [1, 1, -1], ["x", "h", "h"], "h") == [(1, 3, 0, 2 * day)]
-    assert sequences.find_cycles([0], [1], ["h"], "h") == []
-    df = spark.createDataFrame([(1, a, t, "h") for a, t in zip(at, tags)] + [(2, 0, -1, "h")], "e bigint, t bigint, tag int, s string")
-    assert sorted(tuple(r) for r in sequences.episodes(df, "e", "t", "tag", "s", "h").collect()) == [(1, 1, 5, 0, 4 * day), (1, 2, 2, 60 * day, 61 * day)]
-
-
-def test_episodes_over_long_gaps(spark):
-    day, rng = sequences.DAY, random.Random(2)
-    given = [(0, 0, 1, "primary"), (0, 100 * day, -1, "primary")]
-    for e in range(1, 150):
-        at = 0
-        for _ in range(rng.randrange(1, 25)):
-            at += rng.choice((day // 2, day, 5 * day, 40 * day, 95 * day, 200 * day))
-            given.append((e, at, rng.choice((1, 0, -1)), rng.choice(("primary", "other", None))))
+DAY = sequences.DAY
+
+
+def plain_episodes(events, primary="primary", reach=2 * DAY, restart=30):
+    """Episodes of one entity's (at, source, tag) by a plain walk over them; events in the order of time, source, tag."""
+    events, found, start = sorted(set(events), key=lambda e: (e[0], e[1] is not None, e[1] or "", e[2])), [], None
+    linked = lambda a, b: events[b][0] - events[a][0] <= reach
+    for i, (at, source, tag) in enumerate(events):
+        stands = start is not None and events[start][1] == primary and (at - events[start][0]) // DAY <= restart
+        if tag == 1 and not stands:
+            start = i
+        if tag == -1 and start is not None and events[start][1] == source:
+            first = max((k + 1 for k in range(start) if not linked(k, k + 1) or events[k][2] == -1), default=0)
+            last = min((k for k in range(i, len(events) - 1) if not linked(k, k + 1) or events[k + 1][2] == 1), default=len(events) - 1)
+            found.append((events[first][0], events[last][0]))
+            start = None
+    merged = []
+    for begin, end in found:
+        if merged and begin <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], end)
+        else:
+            merged.append((begin, end))
+    return [(n, (end - begin) // DAY + 1, begin, end) for n, (begin, end) in enumerate(merged, 1)]
+
+
+def test_plain_episodes():
+    run = lambda at, tags, source: plain_episodes(list(zip(at, source, tags)), "h")
+    assert run([0, DAY, 3 * DAY, 4 * DAY, 60 * DAY, 61 * DAY], [0, 1, -1, 0, 1, -1], "hhhhhh") == [(1, 5, 0, 4 * DAY), (2, 2, 60 * DAY, 61 * DAY)]
+    assert run([0, DAY, 2 * DAY], [1, 1, -1], "xhh") == [(1, 3, 0, 2 * DAY)]
+    assert run([0], [1], "h") == [] and run([0, 100 * DAY], [1, -1], "hh") == [(1, 101, 0, 100 * DAY)]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 150])
+def test_episodes(spark, hot_rows):
+    """Random events over years, some entities with very many, in the case of ``hot_rows`` cut into blocks."""
+    rng, given = random.Random(2), {}
+    for e in range(120):
+        at, own = 0, []
+        for _ in range(rng.randrange(1, 25) if e else 2000):
+            at += rng.choice((0, DAY // 2, DAY, 5 * DAY, 20 * DAY, 40 * DAY, 95 * DAY, 200 * DAY))
+            own.append((at, rng.choice(("primary", "other", "z", None)), rng.choice((1, 1, 0, -1))))
+        given[e] = own
+    df = spark.createDataFrame([(e, at, tag, s) for e, own in given.items() for at, s, tag in own] + [(None, 1, 1, "primary"), (5, None, 1, "other")], "e bigint, t bigint, tag int, s string")
+    got = [tuple(r) for r in sequences.episodes(df, "e", "t", "tag", "s", "primary", hot_rows=hot_rows).collect()]
+    want = {(e, *c) for e, own in given.items() for c in plain_episodes(own)}
+    assert len(got) == len(want) and set(got) == want
+    assert sequences.episodes(df.limit(0), "e", "t", "tag", "s", "primary").count() == 0
+
+
+def hot_events(spark, n=4000):
+    """A third of all rows on entity 0; times repeat."""
+    rng = random.Random(4)
+    return spark.createDataFrame([(0 if i % 3 == 0 else rng.randrange(1, 200), rng.randrange(5 * n), i, rng.choice("abc")) for i in range(n)], "e bigint, t bigint, id bigint, v string")
+
+
+def test_hot_groups_give_the_same_rows(spark):
+    """Every operator on an entity's order, with and without blocks."""
+    df = hot_events(spark)
+    right = df.filter("id % 2 = 1").select("e", F.col("t").alias("rt"), F.col("id").alias("other"))
+    stays = df.select("e", F.col("t").alias("start_ts"), (F.col("t") + F.col("id") % 97 * 50).alias("end_ts"), F.col("v").alias("kind"))
+    cases = {
+        "nearest": lambda h: joins.nearest(df.filter("id % 2 = 0"), right, "e", "t", "rt", ["other"], h),
+        "gaps": lambda h: sequences.gap_cycles(df, "e", "t", 5, h),
+        "changes": lambda h: sequences.changes_only(df, ["e"], "t", "v", ["id"], h),
+        "doses": lambda h: sequences.doses(df.filter("e <> 0 or id % 20 = 0").withColumns({"n": F.lit(3), "w": F.col("v")}), "e", "t", "v", "w", "n", hot_rows=h),
+        "stays": lambda h: derive.stay_days(df, stays, "e", "kind", {"a": "a_days"}, "t", hot_rows=h),
+        "numbers": lambda h: blocks.numbered(df, ["e"], [F.col("t").desc(), F.col("id")], "n", h),
+    }
+    for name, run in cases.items():
+        a, b = (sorted(map(tuple, run(h).collect()), key=repr) for h in (None, 100))
+        assert a == b and a, name
+    spread = blocks.blocked(df, ["e"], "t", 100).groupBy("e", blocks.BLOCK).count().agg(F.max("count")).first()[0]
+    assert spread < 300
+
+
+def test_stays_are_brute_force(spark):
+    rng = random.Random(8)
+    points = {(rng.randrange(6), rng.randrange(40) * DAY // 4) for _ in range(80)}
+    spans = [(rng.randrange(6), s := rng.randrange(60) * DAY // 4, s + rng.randrange(0, 9) * DAY // 2, rng.choice("ab")) for _ in range(90)]
+    pdf, sdf = spark.createDataFrame(sorted(points), "e bigint, at bigint"), spark.createDataFrame(spans, "e bigint, start_ts bigint, end_ts bigint, kind string")
     want = set()
-    for e in range(150):
-        own = [x for x in given if x[0] == e]
-        want |= {(e, *c) for c in sequences.find_cycles([x[1] for x in own], [x[2] for x in own], [x[3] for x in own], "primary")}
-    df = spark.createDataFrame(given, "e bigint, t bigint, tag int, s string")
-    got = [tuple(r) for r in sequences.episodes(df, "e", "t", "tag", "s", "primary").collect()]
-    assert (0, 1, 101, 0, 100 * day) in got and len(got) == len(want) and set(got) == want
-
+    for e, at in points:
+        by = {}
+        for f, s, t, k in spans:
+            if f == e and s < t and t > at:
+                c = by.setdefault(max(at, s), [0, 0])
+                days = t // DAY - max(at, s) // DAY
+                by[max(at, s)] = [max(c[0], days), max(c[1], days if k == "a" else 0)]
+        if by:
+            want.add((e, at, min(by), len(by), sum(c[0] for c in by.values()), sum(c[1] for c in by.values())))
+    assert {tuple(r) for r in derive.stay_days(pdf, sdf, "e", "kind", {"a": "a_days"}).collect()} == want
+    inside = {(e, at, s, t, k) for e, at in points for f, s, t, k in spans if f == e and s < at < t}
+    assert {tuple(r) for r in joins.within(pdf, sdf, "e", "at", "start_ts", "end_ts").select("e", "at", "start_ts", "end_ts", "kind").collect()} == inside
+
+
+def test_broadcasts_are_measured(spark):
+    wide = spark.range(3000).select(*(F.sha2((F.col("id") * k).cast("string"), 512).alias(f"c{k}") for k in range(12)))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert not hinted(session.small(wide, 100_000)) and hinted(session.small(wide.limit(5), 100_000))
+
+
+def test_repeated_keys_of_a_derived_table_are_an_error(spark):
+    v1 = versioning.stamped(spark.createDataFrame([(1, "a")], "k int, x string"), 1)
+    with pytest.raises(Exception, match="repeated key"):
+        versioning.merge_derived(v1, spark.createDataFrame([(1, "b"), (1, "c")], "k int, x string"), ["k"], ["x"], 2).collect()
+
+
+def test_repeated_facts_get_one_number(spark):
+    none = spark.createDataFrame([], "key_hash string, entity_id bigint, key_id bigint, fact_id bigint, fact_key_id bigint, valid_from bigint, superseded_by bigint")
+    data = spark.createDataFrame([("h", 1, 9), ("h", 1, 9), ("i", 1, 9)], "key_hash string, entity_id bigint, key_id bigint")
+    got = versioning.stamp_facts(data, none, none.select("key_id"), 1, 5).select("key_hash", "fact_id", "fact_key_id").collect()
+    assert sorted(map(tuple, got)) == [("h", 1, 1), ("h", 1, 1), ("i", 2, 2)]
 
 
 def test_formulas_divide_and_multiply(spark):
