@@ -59,12 +59,12 @@ def entry_states(tokens: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     return states.reshape(-1)[:n]
 
 
-def tokenize(buffer: np.ndarray, ends: np.ndarray, separator: int = ord("|"), quote: int = ord('"'), chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokenize(buffer: np.ndarray, ends: np.ndarray, separator: int = ord("|"), quote: int = ord('"'), chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Fields and faults of records that lie one after the other in a byte buffer, record i ending before ends[i].
 
     Returns the byte positions at which fields end and the record of each, in order; and per record the
     byte offset of its quoting fault, -1 if it has none: the first byte after a closing quote that is no
-    separator, or the opening quote of a field that is never closed.
+    separator, or the opening quote of a field that is never closed. Last come the records' starts, and whether each ends inside quotes.
     """
     n = len(ends)
     starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
@@ -94,4 +94,4 @@ def tokenize(buffer: np.ndarray, ends: np.ndarray, separator: int = ord("|"), qu
         last = np.searchsorted(opening, np.flatnonzero(open_end)) - 1
         hit = np.flatnonzero(open_end)
         fault[record[hit]] = at[opening[last]] - starts[record[hit]]
-    return at[cut], record[cut], fault, starts
+    return at[cut], record[cut], fault, starts, state[is_end] == QUOTED

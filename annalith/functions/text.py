@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def clean(c: Column) -> Column:
     """Trimmed of white space; blank becomes null."""
-    t = F.regexp_replace(c, r"^\s+|\s+$", "")
+    t = F.btrim(c, F.lit(" \t\n\x0b\f\r"))
     return F.when(t != "", t)
 
 

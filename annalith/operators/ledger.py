@@ -8,19 +8,25 @@ so a late update for an old version splits the interval of its predecessor.
 The rectangles come from a sweep along the valid axis. Seen from an assertion at ``v``, the valid end
 at recorded time ``t`` is the nearest later version whose first assertion is known by ``t``; going
 outwards from ``v`` only versions whose first record is earlier than that of all nearer ones ever
-become the end, so the ends form a staircase of prefix minima.
+become the end. Where an entity's versions became known in their own order, that is the next version
+alone, and neighbours say all. Entities with late updates are swept once from the last version to the
+first with the stack of such ends; each rectangle costs one step.
 
 Copies collapse by map-side aggregation into one assertion per entity, version and recorded point, so
-an entity with a third of all rows costs a task no more than (versions x loads) rows.
+an entity with a third of all rows costs a task no more than (versions x loads) rows. New loads are
+appended to a stored ledger: only entities that they name are swept again, and of these only what is
+in force.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import clean, folded, version_milli, version_text
+from ..session import ship
 
 ATTRIBUTES = ("patient_clinic_number", "patient_merged_flag", "zipcode", "race_code", "deceased_flag")
 FOREVER = (1 << 62)
@@ -48,35 +54,81 @@ def assertions(feed: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataF
     return rows.groupBy("entity", "valid", "recorded").agg(F.max_by("state", "last").alias("state"))
 
 
+RECTANGLE = "entity string, state string, valid_from bigint, valid_to bigint, recorded_from bigint, recorded_to bigint"
+
+
+def swept(rows: list[tuple[int, int, int, str]]) -> list[tuple[str, int, int, int, int]]:
+    """Rectangles (state, valid_from, valid_to, recorded_from, recorded_to) of one entity's assertions (valid, recorded, until, state), in order of version and record."""
+    out, stack, k = [], [(FOREVER, -FOREVER)], len(rows)
+    while k:
+        at = rows[k - 1][0]
+        first = k - 1
+        while first and rows[first - 1][0] == at:
+            first -= 1
+        for valid, recorded, until, state in rows[first:k]:
+            # the ends from the nearest on, each in force from when it was known until a nearer one was
+            for end, known in reversed(stack):
+                since = max(recorded, known)
+                if since < until:
+                    out.append((state, valid, end, since, until))
+                until = min(until, known)
+                if until <= recorded:
+                    break
+        known = rows[first][1]
+        while len(stack) > 1 and stack[-1][1] >= known:
+            stack.pop()
+        stack.append((at, known))
+        k = first
+    return out
+
+
 def ledger(asserted: DataFrame) -> DataFrame:
     """(entity, state, valid_from, valid_to, recorded_from, recorded_to); open ends are ``FOREVER``."""
     same = W.partitionBy("entity", "valid").orderBy("recorded")
-    along = W.partitionBy("entity").orderBy("valid").rangeBetween(1, W.unboundedFollowing)
-    first = F.when(F.row_number().over(same) == 1, F.struct("valid", "recorded"))
-    seen = asserted.withColumns({"first": first, "until": F.lead("recorded", 1, FOREVER).over(same)})
-    swept = seen.withColumn("later", F.collect_list("first").over(along))
-    # prefix minima going outwards: each step is a version that becomes the valid end at `recorded`
-    stairs = F.aggregate(
-        F.array_sort("later"),
-        F.array().cast("array<struct<valid:bigint,recorded:bigint>>"),
-        lambda acc, x: F.when((F.size(acc) == 0) | (x["recorded"] < F.element_at(acc, -1)["recorded"]), F.array_append(acc, x)).otherwise(acc),
-    )
-    step = F.explode(
-        F.transform(
-            F.sequence(F.lit(0), F.size("stairs")),
-            lambda i: F.struct(
-                F.coalesce(F.get("stairs", i)["valid"], F.lit(FOREVER)).alias("valid_to"),
-                F.greatest(F.col("recorded"), F.coalesce(F.get("stairs", i)["recorded"], F.lit(-FOREVER))).alias("recorded_from"),
-                F.least(F.col("until"), F.when(i == 0, F.lit(FOREVER)).otherwise(F.get("stairs", i - 1)["recorded"])).alias("recorded_to"),
-            ),
-        )
-    )
-    return (
-        swept.withColumn("stairs", stairs)
-        .select("entity", "state", F.col("valid").alias("valid_from"), "recorded", "until", step.alias("s"))
-        .select("entity", "state", "valid_from", "s.valid_to", "s.recorded_from", "s.recorded_to")
-        .filter("recorded_from < recorded_to")
-    )
+    along = W.partitionBy("entity").orderBy("valid", "recorded")
+    seen = asserted.repartition("entity").withColumns({"until": F.lead("recorded", 1, FOREVER).over(same), "first": F.min("recorded").over(W.partitionBy("entity", "valid"))})
+    # the next version's first record stands on its first row, which follows the last row of this version
+    after = F.lead(F.struct("valid", "first")).over(along)
+    seen = seen.withColumn("after", after).withColumn("next", F.last("after").over(W.partitionBy("entity", "valid").orderBy("recorded").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    late = F.max((F.col("next.first") < F.col("first")).cast("int")).over(W.partitionBy("entity"))
+    seen = seen.select("entity", "state", "valid", "recorded", "until", "next", F.coalesce(late, F.lit(0)).alias("late"))
+    known = F.coalesce("next.first", F.lit(FOREVER))
+    before = F.struct(F.lit(FOREVER).alias("valid_to"), F.col("recorded").alias("recorded_from"), F.least("until", known).alias("recorded_to"))
+    since = F.struct(F.coalesce("next.valid", F.lit(FOREVER)).alias("valid_to"), F.greatest("recorded", known).alias("recorded_from"), F.col("until").alias("recorded_to"))
+    timely = seen.filter("late = 0").select("entity", "state", F.col("valid").alias("valid_from"), F.inline(F.array(before, since))).filter("recorded_from < recorded_to")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # the last entity of a batch may go on in the next
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if len(batch):
+                whole = batch["entity"] != batch["entity"].iat[-1]
+                rest = batch[~whole]
+                yield from entities(batch[whole])
+        if rest is not None:
+            yield from entities(rest)
+
+    def entities(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        out = [(e, *r) for e, g in batch.groupby("entity", sort=False) for r in swept(list(zip(g["valid"], g["recorded"], g["until"], g["state"])))]
+        yield pd.DataFrame(out, columns=["entity", "state", "valid_from", "valid_to", "recorded_from", "recorded_to"])
+
+    ship(asserted.sparkSession)
+    ordered = seen.filter("late = 1").select("entity", "valid", "recorded", "until", "state").repartition("entity").sortWithinPartitions("entity", "valid", "recorded")
+    return timely.unionByName(ordered.mapInPandas(run, RECTANGLE))
+
+
+def append(book: DataFrame, asserted: DataFrame) -> DataFrame:
+    """The ledger after a new load; it equals the ledger of all assertions. What was recorded must be later than all that the book has of the entity.
+
+    Rows that are closed, or of entities that the load doesn't name, pass through.
+    """
+    named = asserted.groupBy("entity").agg(F.min("recorded").alias("since"))
+    open_rows = book.filter(F.col("recorded_to") == FOREVER)
+    touched = open_rows.join(named, "entity").withColumn("recorded_from", F.when(F.col("recorded_from") >= F.col("since"), F.raise_error(F.lit("the load is older than the ledger"))).otherwise(F.col("recorded_from"))).drop("since")
+    anew = ledger(touched.select("entity", F.col("valid_from").alias("valid"), F.lit(-FOREVER).alias("recorded"), "state").unionByName(asserted.select("entity", "valid", "recorded", "state")))
+    began = touched.select("entity", "valid_from", F.col("recorded_from").alias("began"))
+    kept = anew.join(began, ["entity", "valid_from"], "left").withColumn("recorded_from", F.when(F.col("recorded_from") == -FOREVER, F.col("began")).otherwise(F.col("recorded_from"))).drop("began")
+    return book.filter(F.col("recorded_to") != FOREVER).unionByName(open_rows.join(named.select("entity"), "entity", "left_anti")).unionByName(kept)
 
 
 def as_recorded(book: DataFrame, recorded: int | None = None) -> DataFrame:

@@ -2,19 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import instants, ledger, rawlines, readings, snapshots, unit_switches, units
-from ..session import table
+from ..session import cut, table
+
+LOADS = 60
+"""The feed's counters up to this one are the stored ledger of p1_ledger; the later ones are appended."""
+
+
+def p1_ledger(feed):
+    """The ledger in two steps: what is stored, and the loads appended to it."""
+    given = ledger.assertions(feed)
+    stored = cut(ledger.ledger(given.filter(f"recorded <= {LOADS}")))
+    return ledger.append(stored, given.filter(f"recorded > {LOADS}"))
+
+
+def p3_loaded(lines, layout):
+    """The typed rows of all layouts, as JSON since each has its own columns."""
+    frames = [f.select("line_id", F.lit(code).alias("layout_code"), F.to_json(F.struct(*f.columns[1:]), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}).alias("row")) for code, f in rawlines.loaded(lines, layout).items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
 
 QUERIES = {
     "p1_found": lambda s, d: ledger.p1_found(table(s, d, "profile_feed")),
-    "p1_ledger": lambda s, d: ledger.ledger(ledger.assertions(table(s, d, "profile_feed"))),
+    "p1_ledger": lambda s, d: p1_ledger(table(s, d, "profile_feed")),
     "p2_found": lambda s, d: instants.p2_found(table(s, d, "fact_flowsheets"), table(s, d, "source_sites")),
     "p2_zones": lambda s, d: instants.zones_by_alignment(table(s, d, "fact_flowsheets"), table(s, d, "source_sites")),
     "p3_found": lambda s, d: rawlines.p3_found(table(s, d, "fact_lines"), table(s, d, "line_layout")),
     "p3_rejects": lambda s, d: rawlines.rejects(table(s, d, "fact_lines"), table(s, d, "line_layout")),
-    "p3_loaded": lambda s, d: rawlines.loaded(table(s, d, "fact_lines"), table(s, d, "line_layout")).withColumn("row", F.to_json("row")),
+    "p3_loaded": lambda s, d: p3_loaded(table(s, d, "fact_lines"), table(s, d, "line_layout")),
     "p4_found": lambda s, d: snapshots.p4_found(table(s, d, "fact_map_snapshots")),
     "p4_changed_values": lambda s, d: snapshots.changed_values(snapshots.latest_rows(table(s, d, "fact_map_snapshots"))),
     "p6_found": lambda s, d: readings.p6_found(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables")),
@@ -31,6 +50,10 @@ SQL: dict[str, str] = {
     "p1_found": f"""WITH a AS ({_ASSERTED}), w AS (SELECT k, v, state FROM a QUALIFY row_number() OVER (PARTITION BY k, v ORDER BY r DESC, received_dtm DESC, feed_row_id DESC) = 1),
 t AS (SELECT * FROM (SELECT *, lag(state) OVER (PARTITION BY k ORDER BY v) AS b FROM w) WHERE state IS DISTINCT FROM b), p AS (SELECT k, v, state, coalesce(lead(v) OVER (PARTITION BY k ORDER BY v), 0) AS u FROM t)
 SELECT k AS patient_dk, {_VERSION.format("v")} AS version, {_VERSION.format("u")} AS updated_by FROM p WHERE state <> 'D'""",
+    "p1_ledger": f"""WITH w AS (SELECT k AS entity, v, coalesce(r, -1)::bigint AS r, state FROM ({_ASSERTED}) QUALIFY row_number() OVER (PARTITION BY k, v, r ORDER BY received_dtm DESC, feed_row_id DESC) = 1),
+a AS (SELECT *, coalesce(lead(r) OVER (PARTITION BY entity, v ORDER BY r), {ledger.FOREVER}) AS u FROM w), f AS (SELECT entity, v, min(r) AS f FROM w GROUP BY ALL UNION ALL SELECT DISTINCT entity, {ledger.FOREVER}, {-ledger.FOREVER} FROM w),
+s AS (SELECT a.*, f.v AS e, f.f, (SELECT coalesce(min(g.f), {ledger.FOREVER}) FROM f g WHERE g.entity = a.entity AND g.v > a.v AND g.v < f.v) AS nearer FROM a JOIN f ON a.entity = f.entity AND f.v > a.v)
+SELECT entity, CASE WHEN state = 'D' THEN 'D' ELSE 'A' || state END AS state, v AS valid_from, e AS valid_to, greatest(r, f) AS recorded_from, least(u, nearer) AS recorded_to FROM s WHERE greatest(r, f) < least(u, nearer)""",
     "p4_found": f"""WITH r AS (SELECT lower(trim(key_hash)) AS k, round(version::double * 1000)::bigint AS v, map_fact_id, fact_guid, coalesce(round(try_cast(trim(map_updated_by) AS double) * 1000)::bigint, 0) AS u, loaded_dtm FROM fact_map_snapshots WHERE trim(key_hash) <> ''),
 l AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k, v ORDER BY loaded_dtm DESC, map_fact_id DESC, fact_guid DESC, u DESC) = 1), o AS (SELECT v, lead(v) OVER (ORDER BY v) AS nx FROM (SELECT DISTINCT v FROM l)),
 a AS (SELECT k, nx AS v, map_fact_id, fact_guid, u FROM l JOIN o USING (v) WHERE nx IS NOT NULL), n AS (SELECT k, v, map_fact_id, fact_guid, u FROM l WHERE v > (SELECT min(v) FROM o)),

@@ -53,6 +53,20 @@ def test_late_update_splits_without_overwriting(spark):
     assert sorted((r.valid_from, r.valid_to, r.recorded_from, r.recorded_to) for r in book.collect()) == [(4001, 4003, 9, end), (4001, 4005, 5, 9), (4001, end, 1, 5), (4003, 4005, 9, end), (4005, end, 5, end)]
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 6), st.sampled_from("xyz")), min_size=1, max_size=14, unique_by=lambda t: t[:2]), st.integers(1, 5))
+def test_ledger_appended_in_loads_is_the_whole(spark, given_rows, cut):
+    asserted = spark.createDataFrame([("k" if s < "z" else "l", v, r, s) for v, r, s in given_rows], "entity string, valid bigint, recorded bigint, state string")
+    stored = ledger.ledger(asserted.filter(f"recorded <= {cut}"))
+    assert rows(ledger.append(stored, asserted.filter(f"recorded > {cut}"))) == rows(ledger.ledger(asserted))
+
+
+def test_a_load_older_than_the_ledger_is_an_error(spark):
+    asserted = spark.createDataFrame([("k", 1, 5, "x")], "entity string, valid bigint, recorded bigint, state string")
+    with pytest.raises(Exception, match="older than the ledger"):
+        ledger.append(ledger.ledger(asserted), asserted).collect()
+
+
 @settings(max_examples=12, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 6), st.sampled_from("xyz")), min_size=1, max_size=14, unique_by=lambda t: t[:2]))
 def test_ledger_as_recorded(spark, given_rows):
@@ -103,7 +117,7 @@ LINE = st.text(alphabet='ab"|\n ', max_size=24)
 def test_tokenizer_composes_over_chunks(lines, chunk):
     data = "".join(lines).encode()
     ends = np.cumsum([len(x) for x in lines])
-    at, record, fault, starts = tokenize(np.frombuffer(data, np.uint8), ends, chunk=chunk)
+    at, record, fault, starts, _ = tokenize(np.frombuffer(data, np.uint8), ends, chunk=chunk)
     for i, line in enumerate(lines):
         want = brute.fields_of(line)
         assert (fault[i] >= 0) == (want is None)
@@ -126,15 +140,37 @@ def test_lines(spark):
     layout = spark.createDataFrame(LAYOUT, "layout_code string, col_pos int, col_name string, col_type string, may_be_empty boolean")
     df = spark.createDataFrame([(i, "L", line, "p", 3, "clash") for i, (line, _) in enumerate(LINES)], "line_id long, layout_code string, raw_line string, pid_rowid string, field_count int, fields string")
     assert rows(rawlines.p3_found(df, layout)) == [(i, want) for i, (_, want) in enumerate(LINES) if want]
-    assert rows(rawlines.loaded(df, layout).select("line_id")) == [(i,) for i, (_, want) in enumerate(LINES) if not want]
+    typed = rawlines.loaded(df, layout)["L"]
+    assert rows(typed.select("line_id")) == [(i,) for i, (_, want) in enumerate(LINES) if not want]
+    assert typed.dtypes == [("line_id", "bigint"), ("id", "int"), ("x", "double"), ("at", "timestamp_ntz"), ("f", "boolean"), ("t", "string")]
+    assert tuple(typed.filter("line_id = 3").first()) == (3, 1, 2.5, datetime(2024, 2, 29), True, 'a|"b"') and tuple(typed.filter("line_id = 0").first()) == (0, 1, None, None, None, None)
     assert rows(rawlines.p3_found(df.withColumn("layout_code", df.pid_rowid), layout)) == [(i, "quoting" if want == "quoting" else "columns") for i, (_, want) in enumerate(LINES)]
     assert rows(rawlines.p3_found(df.limit(0), layout)) == []
 
 
 def test_reject_offsets(spark):
     layout = spark.createDataFrame(LAYOUT, "layout_code string, col_pos int, col_name string, col_type string, may_be_empty boolean")
-    df = spark.createDataFrame([(1, "L", '1|"ab"c|||', "p|1", 4)], "line_id long, layout_code string, raw_line string, pid_rowid string, field_count int")
-    assert rows(rawlines.rejects(df, layout).select("reason", "fault_at", "pid_rowid", "field_count")) == [("quoting", 6, "p|1", 4)]
+    made = ['1|"ab"c|||', '1|2|"x', "1|é|||", "1||||t|more", "1||", "é||||"]
+    df = spark.createDataFrame([(i, "L", x, "p|1", 4) for i, x in enumerate(made)], "line_id long, layout_code string, raw_line string, pid_rowid string, field_count int")
+    assert rows(rawlines.rejects(df, layout).select("line_id", "reason", "fault_at", "pid_rowid")) == [(0, "quoting", 6, "p|1"), (1, "quoting", 4, "p|1"), (2, "value", 2, "p|1"), (3, "columns", 7, "p|1"), (4, "columns", 3, "p|1"), (5, "value", 0, "p|1")]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 10])
+def test_records_over_lines(spark, hot_rows):
+    """Whole files cut at every line feed come back as their records, whatever lines a quoted field goes over."""
+    rng, want, lines = np.random.default_rng(3), [], []
+    for f in ("a", "b", "empty"):
+        n = 0
+        for _ in range(60 if f != "empty" else 0):
+            fields = ['"' + "".join(rng.choice(list('x|\n\n')) if rng.random() < 0.9 else '""' for _ in range(rng.integers(0, 9))) + '"' if rng.random() < 0.4 else rng.choice(["", "p", 'q"r', "é"]) for _ in range(3)]
+            record = "|".join(fields)
+            want.append((f, n, record))
+            for x in record.split("\n"):
+                lines.append((f, n, x, "clash"))
+                n += 1
+    df = spark.createDataFrame(lines, "file_name string, line_no int, raw_line string, open string")
+    assert rows(rawlines.records(df, hot_rows=hot_rows)) == sorted(want)
+    assert rows(rawlines.records(df.limit(0))) == []
 
 
 def test_snapshots(spark):
