@@ -1,19 +1,28 @@
 """Mixed timestamp formats and time zones to one UTC instant (problem 2).
 
 Each text is split once by the pattern of its shape into year, month, day, clock, fraction and zone; all
-of it stays in generated code. A zone or offset in the text holds. Otherwise the text is local, and the
-zone comes from the source: ``zone_history`` aligns a source's local texts with their ingestion times
-under every candidate zone and takes the offset history with the fewest violations (instants after their
-own ingestion), among these the one whose lags month by month are nearest to the lags of the same
-source's texts that name their offset. A zone declared for the source is the exact check: it overrules.
+of it stays in generated code. A zone or offset in the text holds. Otherwise the text is local and needs
+its source's offset history, which is estimated: the lags between local texts and their ingestion are
+compared, day by day and under the histories of all zones there are, with the lags of the same source's
+texts that name their offset. A text after its own ingestion is a violation. The history that makes
+these lags likeliest is taken; it may change from one zone to another on the way, at a price, as a source
+may move. A zone declared for the source is an audit: where it contradicts the estimate, the source is
+reported by ``zones_by_alignment`` and its declared zone is used.
 """
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timedelta, timezone
+from functools import lru_cache
+from zoneinfo import ZoneInfo, available_timezones
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fenced
-from ..session import cut as materialise, small
+from ..session import cut, ship, small
 
 #: The shapes of texts. TIME ends every shape that may have a clock.
 TIME = r"(?:[Tt ]+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?\s*(?:([AaPp][Mm])|([Zz]|[+-]\d{2}:?\d{2}|[A-Za-z]{3,4}))?)?$"
@@ -28,8 +37,17 @@ ABBREVIATIONS = {"Z": 0, "UTC": 0, "GMT": 0, "EST": -300, "EDT": -240, "CST": -3
 FIRST, AFTER = -631_152_000_000_000, 4_102_444_800_000_000
 """Microseconds of 1950-01-01 and 2100-01-01: texts outside denote no instant."""
 SECOND, DAY = 1_000_000, 86_400_000_000
-TOLERATED = 0.02
-"""Share of a source's local texts that may lie after their ingestion before a candidate zone is ruled out."""
+QUARTER = 900
+"""Seconds per step of lags and offsets."""
+EARLIEST, LATEST = -200, 400
+"""Quarters of an hour between which lags are told apart; those beyond count as the outermost."""
+STATED_WEIGHT = 40.0
+"""Stated lags that the general expectation (lags not below zero, long ones rare) counts as."""
+DAWN = 3 * 3600 * SECOND
+"""Days begin so much after midnight, when clocks have been turned: a time that occurs twice, taken as the first, is of the day before."""
+CHANGE_PRICE, PIECE_DAYS = 30.0, 28
+"""Log-likelihood that a change of zone must win, and days between the points at which one may lie."""
+FIELDS = ("nfer_dtm", "flowsheet_row_captured_dtm")
 
 
 def parse(rows: DataFrame, text: str = "text", date_order: str = "date_order") -> DataFrame:
@@ -47,7 +65,7 @@ def parse(rows: DataFrame, text: str = "text", date_order: str = "date_order") -
         .when(~F.substring(t, 2, 2).rlike("[/.]"), split(NAMED, "$3-$2-$1")).when(order == "MDY", split(PARTED, "$3-$1-$2")).when(order == "DMY", split(PARTED, "$3-$2-$1"))
     )
     trimmed = fenced(rows, trimmed=F.btrim(F.col(text), F.lit(" \t\r\n")))
-    cut = fenced(trimmed, parts=F.split(parts, s)).filter(F.size("parts") > 1)
+    split_up = fenced(trimmed, parts=F.split(parts, s)).filter(F.size("parts") > 1)
     date, hour, half = (F.get("parts", F.lit(i)) for i in (0, 1, 5))
     minute, second, frac, zone = (F.get("parts", F.lit(i)) for i in (2, 3, 4, 6))
     month = (F.instr(F.lit(MONTHS), F.lower(F.substring(date, 6, 3))) + 2) / 3
@@ -57,7 +75,7 @@ def parse(rows: DataFrame, text: str = "text", date_order: str = "date_order") -
     stamp = F.concat(F.when(date.rlike("[A-Za-z]"), named).otherwise(date), F.lit(" "), two(F.when(half != "", hour12).otherwise(hour)), F.lit(":"), two(minute), F.lit(":"), two(second), F.lit("."), F.rpad(F.substring(frac, 1, 6), 6, "0"), F.lit("Z"))
     epoch = date == "epoch"
     ticks = hour.try_cast("bigint") * F.when(F.length(hour) == 10, 1_000_000).when(F.length(hour) == 13, 1_000).otherwise(1).cast("bigint")
-    told = fenced(cut, written=F.when(epoch, ticks).otherwise(F.unix_micros(F.when(~epoch, stamp).try_cast("timestamp"))), zone=F.when(epoch, "Z").otherwise(F.upper(zone)))
+    told = fenced(split_up, written=F.when(epoch, ticks).otherwise(F.unix_micros(F.when(~epoch, stamp).try_cast("timestamp"))), zone=F.when(epoch, "Z").otherwise(F.upper(zone)))
     digits = F.regexp_replace("zone", ":", "")
     hours, minutes = F.substring(digits, 2, 2).try_cast("int"), F.substring(digits, 4, 2).try_cast("int")
     by_sign = F.when((hours <= 18) & (minutes < 60), (hours * 60 + minutes) * F.when(F.col("zone").startswith("-"), -1).otherwise(1))
@@ -68,44 +86,135 @@ def parse(rows: DataFrame, text: str = "text", date_order: str = "date_order") -
     return placed.withColumn("local_micros", F.when(sound, F.col("written"))).drop("trimmed", "parts", "written", "zone")
 
 
-def to_utc(local_micros: Column, zone: Column, zones: list[str]) -> tuple[Column, Column]:
+def to_utc(local_micros: Column, zone: Column) -> tuple[Column, Column]:
     """(instant of a local time in a zone, local time of the column ``utc`` in it), in microseconds.
 
-    Of two instants it is the first; where the second value isn't the local time again, the clock skipped it. Each of ``zones`` is written out as a constant, whose rules are then looked up once and not per row.
+    Of two instants it is the first; where the second value isn't the local time again, the clock skipped it.
     """
-    local = F.timestamp_micros(local_micros)
-    there = F.lit(None).cast("timestamp")
-    back = there
-    for z in zones:
-        there = F.when(zone == z, F.to_utc_timestamp(local, F.lit(z))).otherwise(there)
-    for z in zones:
-        back = F.when(zone == z, F.from_utc_timestamp(F.timestamp_micros("utc"), F.lit(z))).otherwise(back)
-    return F.unix_micros(there), F.unix_micros(back)
-
-
-def zone_history(parsed: DataFrame, candidates: list[str]) -> DataFrame:
-    """(source, estimated_zone, violations, days): the candidate offset history that best aligns a source's local texts with ingestion.
-
-    parsed: source, received_micros, local_micros, offset_minutes. All rows fold map-side into one row
-    per source and day with the least and the mean lag; the candidates are judged on these. A violation is
-    a day with a text after its own ingestion. Rows without source or ingestion time say nothing.
+    return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(local_micros), zone)), F.unix_micros(F.from_utc_timestamp(F.timestamp_micros("utc"), zone))
+
+
+def lag_counts(parsed: DataFrame) -> DataFrame:
+    """(source, day, local, quarter, n): how often the lag from the text to its ingestion lies in a quarter of an hour.
+
+    Days are of the text's clock; of local texts the lag is as if the clock were UTC. All rows fold map-side, so a
+    source has as many rows as days times quarters, whatever its size.
     """
     usable = parsed.filter("source is not null and received_micros is not null")
-    local = F.col("offset_minutes").isNull()
-    week = 7 * DAY
     lag = F.col("received_micros") - F.col("local_micros") + F.coalesce(F.col("offset_minutes"), F.lit(0)).cast("bigint") * 60 * SECOND
-    bound = F.greatest(F.lit(-week), F.least(F.lit(week), lag)).cast("double")
-    daily = usable.groupBy("source", F.floor(F.col("local_micros") / DAY).alias("day"), local.alias("local")).agg(F.count("*").alias("n"), F.min(lag).alias("least"), F.sum(bound).alias("total"))
-    noon = F.timestamp_micros(F.col("day") * DAY + DAY // 2)
-    metrics = [F.sum(F.when(F.col("local"), F.col("n"))).alias("n"), F.count_if(F.col("local")).alias("days"), (F.sum(F.when(~F.col("local"), F.col("total"))) / F.sum(F.when(~F.col("local"), F.col("n")))).alias("known")]
-    for k, zone in enumerate(candidates):
-        shift = F.col("day") * DAY + DAY // 2 - F.unix_micros(F.to_utc_timestamp(noon, F.lit(zone)))
-        metrics += [F.count_if(F.col("local") & (F.col("least") + shift < 0)).alias(f"v{k}"), (F.sum(F.when(F.col("local"), F.col("total") + shift * F.col("n"))) / F.sum(F.when(F.col("local"), F.col("n")))).alias(f"l{k}")]
-    monthly = daily.groupBy("source", F.trunc(noon, "month").alias("month")).agg(*metrics)
-    fits = F.array(*(F.struct(F.lit(z).alias("zone"), F.col(f"v{k}").alias("v"), (F.coalesce(F.abs(F.col(f"l{k}") - F.col("known")), F.abs(F.col(f"l{k}")), F.lit(0.0)) * F.col("n")).alias("off")) for k, z in enumerate(candidates)))
-    total = monthly.select("source", "days", F.inline(fits)).groupBy("source", "zone").agg(F.sum("days").alias("days"), F.sum("v").alias("violations"), F.sum("off").alias("off"))
-    cost = F.struct((F.col("violations") > F.col("days") * TOLERATED).alias("ruled_out"), "off", "violations", "zone")
-    return total.groupBy("source").agg(F.min_by(F.struct("zone", "violations", "days"), cost).alias("best")).select("source", F.col("best.zone").alias("estimated_zone"), "best.violations", "best.days")
+    quarter = F.greatest(F.lit(4 * EARLIEST), F.least(F.lit(4 * LATEST), F.floor(lag / (QUARTER * SECOND)))).cast("int")
+    return usable.groupBy("source", F.floor((F.col("local_micros") - DAWN) / DAY).alias("day"), F.col("offset_minutes").isNull().alias("local"), quarter.alias("quarter")).agg(F.count("*").alias("n"))
+
+
+FIXED_OFFSET = re.compile(r"(?:UTC|GMT)?([+-])(\d{1,2})(?::?(\d{2}))?$")
+
+
+def day_offsets(zone: str, days: np.ndarray) -> np.ndarray | None:
+    """Quarters of an hour from UTC at noon of days since 1970; None if no zone has this name."""
+    if m := FIXED_OFFSET.match(zone):
+        minutes = int(m[2]) * 60 + int(m[3] or 0)
+        return np.full(len(days), (minutes if m[1] == "+" else -minutes) // 15)
+    try:
+        info = ZoneInfo(zone)
+    except (KeyError, ValueError, OSError):
+        return None
+    noon = datetime(1970, 1, 1, 12, tzinfo=timezone.utc)
+    at = lambda d: int((noon + timedelta(days=int(d))).astimezone(info).utcoffset().total_seconds()) // QUARTER
+    grid = np.unique(np.append(np.arange(days[0], days[-1], 21), days[-1]))
+    values, starts, offsets = [at(d) for d in grid], [int(grid[0])], [at(grid[0])]
+    for k in range(1, len(grid)):
+        if values[k] != values[k - 1]:  # the day of the change lies between
+            low, high = int(grid[k - 1]), int(grid[k])
+            while high - low > 1:
+                mid = (low + high) // 2
+                low, high = (mid, high) if at(mid) == values[k - 1] else (low, mid)
+            starts.append(high)
+            offsets.append(values[k])
+    return np.array(offsets)[np.searchsorted(starts, days, side="right") - 1]
+
+
+@lru_cache(maxsize=8)
+def histories(first: int, last: int) -> tuple[list[str], np.ndarray]:
+    """The different offset histories of all zones between two days, one zone's name for each, with the offsets of all days."""
+    days, found = np.arange(first, last + 1), {}
+    for zone in sorted(available_timezones()):
+        if "/" in zone and not zone.startswith("Etc/") or zone == "UTC":
+            found.setdefault(day_offsets(zone, days).tobytes(), zone)
+    table = np.array([np.frombuffer(key, np.int64) for key in found])
+    return list(found.values()), table
+
+
+def expected_lags(quarters: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Log-probability of a lag per quarter from EARLIEST to LATEST, from stated lags and a general expectation."""
+    at = np.arange(EARLIEST, LATEST + 1)
+    general = np.where(at < 0, 1e-4, 1 / (1 + np.maximum(at, 0) / 16))
+    seen = np.bincount(np.clip(quarters, EARLIEST, LATEST) - EARLIEST, counts, len(at))
+    return np.log((seen + STATED_WEIGHT * general / general.sum()) / (seen.sum() + STATED_WEIGHT))
+
+
+def fit_zone(rows: pd.DataFrame, declared: str | None) -> list[tuple[str, int, int, int, int, bool]]:
+    """Pieces (zone, from_day, to_day, violations, days, agrees) of one source's offset history, from its ``lag_counts``.
+
+    Among histories of equal likelihood the declared zone's is taken. ``agrees`` says that the declared zone has the
+    estimate's offsets on all days of the piece.
+    """
+    local, stated = rows[rows["local"]], rows[~rows["local"]]
+    if not len(local):
+        return []
+    likely = expected_lags(stated["quarter"].to_numpy(), stated["n"].to_numpy())
+    days, row = np.unique(local["day"].to_numpy(), return_inverse=True)
+    quarter, n = local["quarter"].to_numpy(), local["n"].to_numpy()
+    shifts = np.arange(-56, 64)
+    score, late = np.zeros((len(days), len(shifts))), np.zeros((len(days), len(shifts)))
+    for k, s in enumerate(shifts):
+        lag = np.clip(quarter + s, EARLIEST, LATEST)
+        score[:, k] = np.bincount(row, n * likely[lag - EARLIEST], len(days))
+        late[:, k] = np.bincount(row, n * (lag < 0), len(days))
+    names, table = histories(int(days[0]) // 366 * 366, (int(days[-1]) // 366 + 1) * 366)
+    offsets = table[:, days - int(days[0]) // 366 * 366]
+    own = day_offsets(declared, days) if declared else None
+    if own is not None:
+        names, offsets = [declared, *names], np.vstack([own, offsets])
+    column = np.clip(offsets + 56, 0, len(shifts) - 1)
+    each = score[np.arange(len(days)), column]
+    piece = (days - days[0]) // PIECE_DAYS
+    bounds = np.flatnonzero(np.diff(piece, prepend=-1))
+    gains = np.add.reduceat(each, bounds, axis=1).T
+    best, back = gains[0].copy(), []
+    for g in gains[1:]:
+        top = int(best.argmax())
+        moves = best[top] - CHANGE_PRICE > best
+        back.append(np.where(moves, top, np.arange(len(best))))
+        best = np.maximum(best, best[top] - CHANGE_PRICE) + g
+    path = [int(best.argmax())]
+    for came in reversed(back):
+        path.append(int(came[path[-1]]))
+    path = np.repeat(path[::-1], np.diff(np.append(bounds, len(days))))
+    out, cuts = [], np.flatnonzero(np.diff(path, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(days)]):
+        z = path[a]
+        agrees = own is not None and bool((offsets[z, a:b] == own[a:b]).all())
+        violations = int(late[np.arange(a, b), column[z, a:b]].sum())
+        out.append((names[z], int(days[a]) if len(out) else -(1 << 40), int(days[b]) if b < len(days) else 1 << 40, violations, b - a, agrees))
+    return out
+
+
+HISTORY = "source string, declared string, estimated_zone string, from_day bigint, to_day bigint, violations bigint, days bigint, agrees boolean"
+
+
+def zone_history(parsed: DataFrame, declared: DataFrame) -> DataFrame:
+    """(source, declared, estimated_zone, from_day, to_day, violations, days, agrees): the offset history that best aligns a source's local texts with ingestion.
+
+    parsed: source, received_micros, local_micros, offset_minutes. declared: source, declared. Days are of the
+    local clock, to_day excluded, the first and the last piece open. Sources without local texts have no row, and
+    rows without source or ingestion time say nothing.
+    """
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        source, zone = rows["source"].iat[0], rows["declared"].iat[0]
+        return pd.DataFrame([(source, zone, *p) for p in fit_zone(rows, zone)], columns=[c.split()[0] for c in HISTORY.split(", ")])
+
+    ship(parsed.sparkSession)
+    return lag_counts(parsed).join(small(declared), "source", "left").groupBy("source").applyInPandas(fit, HISTORY)
 
 
 def field_texts(rows: DataFrame, sites: DataFrame, fields: tuple[str, ...]) -> DataFrame:
@@ -122,27 +231,33 @@ def field_texts(rows: DataFrame, sites: DataFrame, fields: tuple[str, ...]) -> D
 def instants(rows: DataFrame, sites: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """(row_id, dtm_field, utc_micros): one row per text that denotes an instant.
 
-    A source without a declared zone takes the estimated one; a text that needs a zone where the source is null has no row.
+    The texts are parsed once, into a table of the shared folder. A local text takes the zone of its day in its
+    source's estimated history; a source whose declared zone contradicts it takes that. A source of which
+    nothing is known but its declared zone takes that too. A text that needs a zone where the source is null has no row.
     """
-    candidates = sorted(r[0] for r in sites.select("tz_name").filter("tz_name is not null").distinct().limit(200).collect())
-    texts = field_texts(rows, sites, fields)
-    zones = zone_history(texts, candidates or ["UTC"])
-    placed = texts.join(small(materialise(zones).select("source", "estimated_zone")), "source", "left")
-    zone = F.coalesce(F.col("tz_name"), F.col("estimated_zone"))
-    there, back = to_utc(F.col("local_micros"), F.col("zone"), candidates)
-    zoned = fenced(placed.withColumn("zone", F.when(F.col("offset_minutes").isNull(), zone)), utc=F.coalesce(F.col("local_micros") - F.col("offset_minutes").cast("bigint") * 60 * SECOND, there))
+    texts = cut(field_texts(rows, sites, fields))
+    declared = declared_zones(sites)
+    found = cut(zone_history(texts, declared))
+    sound = found.groupBy("source").agg(F.min("agrees").alias("sound"))
+    pieces = found.join(small(sound), "source").filter(F.col("sound") | F.col("declared").isNull()).select("source", F.struct("estimated_zone", "from_day", "to_day").alias("p"))
+    pieces = small(pieces.groupBy("source").agg(F.collect_list("p").alias("pieces")))
+    day = F.floor((F.col("local_micros") - DAWN) / DAY)
+    own = F.get(F.filter("pieces", lambda p: (p["from_day"] <= day) & (day < p["to_day"])), F.lit(0))["estimated_zone"]
+    placed = texts.join(pieces, "source", "left").withColumn("zone", F.when(F.col("offset_minutes").isNull(), F.coalesce(own, "tz_name"))).drop("pieces")
+    there, back = to_utc(F.col("local_micros"), F.col("zone"))
+    zoned = fenced(placed, utc=F.coalesce(F.col("local_micros") - F.col("offset_minutes").cast("bigint") * 60 * SECOND, there))
     skipped = F.col("zone").isNotNull() & (back != F.col("local_micros"))
     return zoned.filter(F.col("utc").isNotNull() & ~skipped).select("row_id", "dtm_field", F.col("utc").alias("utc_micros"))
 
 
-def zones_by_alignment(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """(site_code, tz_name, estimated_zone, violations, days): what alignment with ingestion alone finds, beside the declared zone."""
-    candidates = sorted(r[0] for r in sites.select("tz_name").filter("tz_name is not null").distinct().limit(200).collect())
-    found = zone_history(field_texts(rows, sites, FIELDS), candidates or ["UTC"])
-    return sites.select("site_code", "tz_name").join(found.withColumnRenamed("source", "site_code"), "site_code", "left")
+def declared_zones(sites: DataFrame) -> DataFrame:
+    return sites.filter("site_code is not null").groupBy(F.col("site_code").alias("source")).agg(F.min("tz_name").alias("declared"))
 
 
-FIELDS = ("nfer_dtm", "flowsheet_row_captured_dtm")
+def zones_by_alignment(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    """(site_code, tz_name, estimated_zone, from_day, to_day, violations, days, agrees): what alignment with ingestion finds for each source, and whether the declared zone agrees."""
+    found = zone_history(field_texts(rows, sites, FIELDS), declared_zones(sites)).drop("declared")
+    return declared_zones(sites).join(found, "source", "full").withColumnsRenamed({"source": "site_code", "declared": "tz_name"})
 
 
 def p2_found(rows: DataFrame, sites: DataFrame) -> DataFrame:

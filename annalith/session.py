@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -78,16 +79,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return where
 
 
-def cut(df: DataFrame) -> DataFrame:
+def forget_at_end(spark: SparkSession, path: str) -> None:
+    """The folder goes when the application ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
+def cut(df: DataFrame, parted_by: Sequence[str] = ()) -> DataFrame:
     """The frame from a table written to the shared folder, so a lost executor doesn't replay the lineage.
 
     It is columnar, so later readers take only the columns they need, and its size is known. It goes when the application ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/annalith-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    (df.write.partitionBy(*parted_by) if parted_by else df.write).parquet(path)
+    forget_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

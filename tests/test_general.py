@@ -103,10 +103,49 @@ def test_instants(spark):
     assert rows(instants.p2_found(df.limit(0), sites(spark))) == []
 
 
-def test_zone_is_found_by_alignment(spark):
-    made = [("N", i * 3_600_000_000 + 18_000_000_000 + (i % 5) * 60_000_000, i * 3_600_000_000, None) for i in range(2400)] + [("N", i * 3_600_000_000 + (i % 5) * 60_000_000, i * 3_600_000_000, 0) for i in range(0, 2400, 7)]
-    df = spark.createDataFrame(made, "source string, received_micros bigint, local_micros bigint, offset_minutes int")
-    assert rows(instants.zone_history(df, ["America/Chicago", "America/New_York", "Europe/Berlin", "UTC"]).select("estimated_zone")) == [("America/New_York",)]
+def zoned(spark, zone, n=1500, moved=None):
+    """Texts of one source, a fifth with their offset: lags to ingestion from ten minutes to eleven hours, some of weeks. ``moved``: the zone of the later half."""
+    from zoneinfo import ZoneInfo
+
+    rng, made = np.random.default_rng(5), []
+    for i in range(n):
+        at = datetime(2021, 1, 1, tzinfo=timezone.utc).timestamp() + i * 1400 * 86_400 / n
+        lag = rng.uniform(600, 39_600) if rng.random() < 0.95 else rng.uniform(10, 60) * 86_400
+        offset = datetime.fromtimestamp(at, ZoneInfo(moved if moved and i > n // 2 else zone)).utcoffset().total_seconds()
+        stated = i % 5 == 0
+        made.append(("N", int((at + lag) * 1e6), int((at + offset) * 1e6), int(offset // 60) if stated else None))
+    made += [(None, 1, 1, None), ("N", None, 1, None)]
+    return spark.createDataFrame(made, "source string, received_micros bigint, local_micros bigint, offset_minutes int")
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Berlin", "Asia/Kolkata", "Australia/Adelaide"])
+def test_zone_is_found_among_all(spark, zone):
+    found = instants.zone_history(zoned(spark, zone), spark.createDataFrame([("N", None)], "source string, declared string")).collect()
+    days = np.arange(18_700, 20_000)
+    assert len(found) == 1 and (instants.day_offsets(found[0].estimated_zone, days) == instants.day_offsets(zone, days)).mean() > 0.99
+    audited = instants.zone_history(zoned(spark, zone), spark.createDataFrame([("N", zone)], "source string, declared string")).collect()
+    assert [(r.estimated_zone, r.agrees) for r in audited] == [(zone, True)]
+    wrong = instants.zone_history(zoned(spark, zone), spark.createDataFrame([("N", "Asia/Tokyo")], "source string, declared string")).collect()
+    assert [r.agrees for r in wrong] == [False]
+
+
+def test_a_source_that_moves_has_two_zones(spark):
+    found = sorted(instants.zone_history(zoned(spark, "Asia/Kolkata", moved="Asia/Tokyo"), spark.createDataFrame([], "source string, declared string")).collect(), key=lambda r: r.from_day)
+    assert [instants.day_offsets(r.estimated_zone, np.array([19_000]))[0] for r in found] == [22, 36] and abs(found[1].from_day - 19_328) < 60
+
+
+def test_many_undeclared_sources_are_all_converted(spark):
+    """260 sources in zones of their own, none declared; every text comes out, by the estimate where there is one, and by the declared zone where it alone is known."""
+    names = [z for z in sorted(instants.available_timezones()) if "/" in z][:260]
+    one = zoned(spark, "Asia/Kolkata", n=1200).filter("source is not null and received_micros is not null")
+    rows = one.selectExpr("timestamp_micros(received_micros) as received_dtm", "date_format(timestamp_micros(local_micros), 'yyyy-MM-dd HH:mm:ss') || case when offset_minutes is null then '' else '+05:30' end as nfer_dtm", "local_micros div 1000000 - 19800 as want")
+    wide = rows.selectExpr("*", f"explode(sequence(0, {len(names) - 1})) as k").selectExpr("row_number() over (order by k, want) as row_id", "'S' || k as site_code", "received_dtm", "nfer_dtm", "cast(null as string) as flowsheet_row_captured_dtm", "want")
+    declared = spark.createDataFrame([(f"S{k}", None, "DMY", ".", 1) for k in range(len(names))], SITES)
+    got = instants.p2_found(wide, declared).join(wide, "row_id")
+    assert got.count() == 1200 * len(names) and got.filter("utc_micros div 1000000 <> want").count() == 0
+    own = spark.createDataFrame([(f"S{k}", z, "DMY", ".", 1) for k, z in enumerate(names)], SITES)
+    bare = spark.createDataFrame([(k, f"S{k}", None, "2021-01-10 12:00:00", None) for k in range(len(names))], "row_id long, site_code string, received_dtm timestamp, nfer_dtm string, flowsheet_row_captured_dtm string")
+    assert instants.p2_found(bare, own).count() == len(names)
 
 
 LINE = st.text(alphabet='ab"|\n ', max_size=24)
@@ -180,10 +219,25 @@ def test_snapshots(spark):
     df = spark.createDataFrame([(v, k, 1, 1, m, 7, u, t, "c", 1) for v, k, m, u, t in made], schema)
     assert rows(snapshots.p4_found(df)) == [("4.003", "k2", "removed"), ("4.003", "k3", "added"), ("4.003", "k4", "changed"), ("4.005", "k1", "changed"), ("4.005", "k2", "added")]
     assert rows(snapshots.p4_found(df.limit(0))) == []
+    assert rows(snapshots.changed_values(snapshots.latest_rows(df.limit(0)))) == []
     old_new = rows(snapshots.changed_values(snapshots.latest_rows(df)).select("key", "old_map_fact_id", "new_map_fact_id", "old_updated_milli", "new_updated_milli"))
     assert old_new == [("k1", 1, 1, 0, 4005), ("k4", None, 3, 0, 0)]
 
 
+def test_probing_shuffles_the_new_snapshot_only(spark):
+    """Two indexes in the same buckets meet without an exchange; a snapshot that is as the last one changes nothing."""
+    made = spark.createDataFrame([(f"k{i}", i % 7, i, 0) for i in range(500)], "key string, map_fact_id int, fact_guid long, updated_milli long")
+    index = snapshots.SnapshotIndex(spark, buckets=4)
+    assert index.advance(made, 1) is None and index.advance(made, 2).count() == 0
+    after = index._write(made)
+    plan = spark.table(index.current).join(spark.table(after).withColumnRenamed("hash", "h"), "key", "full")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    changed = index.advance(made.filter("fact_guid > 3").union(made.limit(1).selectExpr("'new'", "1", "1", "0")), 3)
+    assert sorted(tuple(r) for r in changed.groupBy("change_kind").count().collect()) == [("added", 1), ("removed", 4)]
+    spark.sql(f"DROP TABLE {after}")
+    index.close()
+
+
 FLOW = "row_id long, device_id string, flowsheet_row_name_dk int, seq_nbr int, derived_value double, level string"
 
 
