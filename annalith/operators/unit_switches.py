@@ -1,16 +1,19 @@
-"""Units of quantities that name none: a hidden Markov model per source and variable (problem 7).
+"""Quantities recorded in different units: a hidden Markov model per device and variable decodes the unit (problem 7).
 
-The unit is the hidden state. What is seen is the logarithm of the bare number; in unit u it lies around
-the source's level at that time, shifted by the logarithm of u's factor. Units tend to stay, and change
-rarely. Viterbi decoding finds the likeliest units of the whole chain in time order. The level follows the
-source's values whose unit is told, in common units: medians of blocks, smoothed over neighbouring blocks
-and drawn to the source's level, and that to the variable's, where few are told.
+The unit is the hidden state. What is seen is the bare number, whose logarithm in unit u lies around the
+source's level at that time, shifted by the logarithm of u's factor; or, where text or unit column tell the
+unit, the unit itself, which leaves that state alone. Units tend to stay, and change rarely. Viterbi decoding
+finds the likeliest units of the whole chain in time order. The level follows the source's values whose unit
+is told, in common units: medians of blocks, smoothed over neighbouring blocks and drawn to the source's
+level, and that to the variable's, where few are told. Charted rows name no device, so their source is the site.
 
 A source may hold a third of all rows, so no task holds a chain, only a block of BLOCK_DAYS days of one.
 The first pass reduces every block to a max-plus matrix: the best score of a path through it by the state
 before it and its last state. These are scanned over the blocks of a chain, which fixes the states at all
-boundaries, and the second pass decodes every block between its own. That is exact.
-TESTDATA gives no row to a quantity without a unit, so this never feeds p7_found.
+boundaries, and the second pass decodes every block between its own. That is exact. Between two told units a
+path doesn't depend on the rest, so only stretches of untold ones are walked through.
+
+TESTDATA gives a row to quantities whose unit is told: these decoded states are p7_found; the others are p7_inferred.
 """
 
 from __future__ import annotations
@@ -66,12 +69,38 @@ def viterbi(logs: np.ndarray, stay: float = STAY, before: int | None = None, las
     return path
 
 
-def transfer(logs: np.ndarray, stay: float = STAY) -> np.ndarray:
-    """Best scores of paths through a block, by last state: in row 0 of those that start with it, in row 1 + i of those that come from state i."""
-    k = logs.shape[1]
-    best = np.vstack([np.zeros(k), *(entered(i, k, stay) for i in range(k))]) + logs[0]
-    for seen in logs[1:]:
-        best = arrivals(best, stay) + seen
+def decoded_path(logs: np.ndarray, told: np.ndarray, stay: float = STAY, before: int | None = None, last: int | None = None) -> np.ndarray:
+    """As ``viterbi``; ``told`` has the states that are certain, -1 where none is."""
+    path, n = told.copy(), len(told)
+    open_at = np.flatnonzero(told < 0)
+    for run in np.split(open_at, np.flatnonzero(np.diff(open_at) > 1) + 1) if len(open_at) else []:
+        a, b = int(run[0]), int(run[-1]) + 1
+        end = min(b + 1, n)  # the told state after the stretch is its last
+        part = np.array(logs[a:end])
+        if end > b:
+            part[-1] = np.where(np.arange(part.shape[1]) == told[b], 0.0, -np.inf)
+        path[a:b] = viterbi(part, stay, int(told[a - 1]) if a else before, int(told[b]) if end > b else last)[: b - a]
+    return path
+
+
+def transfer(logs: np.ndarray, told: np.ndarray, stay: float = STAY) -> np.ndarray:
+    """Best scores of paths through a block, by last state: in row 0 of those that start with it, in row 1 + i of those that come from state i.
+
+    What all paths share, between the first and the last told state, is left out.
+    """
+    k, known = logs.shape[1], np.flatnonzero(told >= 0)
+    best = np.vstack([np.zeros(k), *(entered(i, k, stay) for i in range(k))])
+
+    def step(best: np.ndarray, t: int, moved: bool) -> np.ndarray:
+        seen = logs[t] if told[t] < 0 else np.where(np.arange(k) == told[t], 0.0, -np.inf)
+        return (arrivals(best, stay) if moved else best) + seen
+
+    for t in range(int(known[0]) + 1 if len(known) else len(logs)):
+        best = step(best, t, t > 0)
+    if len(known):
+        best = np.where(np.arange(k) == told[known[-1]], best[:, [told[known[0]]]], -np.inf)
+        for t in range(int(known[-1]) + 1, len(logs)):
+            best = step(best, t, True)
     return best
 
 
@@ -90,36 +119,46 @@ def boundaries(blocks: Sequence[np.ndarray]) -> list[tuple[int | None, int]]:
 
 
 def smoothed(blocks: Sequence[int], medians: Sequence[float], counts: Sequence[float], usual: float) -> np.ndarray:
-    """A source's level in each of its blocks, from the medians and numbers of told readings there (0 where none) and the variable's usual level."""
+    """A source's level in each of its blocks in order, from the medians and numbers of told readings there (0 where none) and the variable's usual level."""
     at, n = np.asarray(blocks, float), np.asarray(counts, float)
     x = np.where(n > 0, np.nan_to_num(np.asarray(medians, float)), 0.0)
     source = (n @ x + LEVEL_PRIOR * usual) / (n.sum() + LEVEL_PRIOR)
-    out = np.empty(len(at))
-    for i, b in enumerate(at):
-        w = n * np.exp(-abs(at - b) / LEVEL_REACH)
-        out[i] = (w @ x + LEVEL_PRIOR * source) / (w.sum() + LEVEL_PRIOR)
-    return out
+    fade = np.exp(-np.diff(at) / LEVEL_REACH)
+    weight, total = n.copy(), n * x
+    back_weight, back_total = n.copy(), n * x
+    for i in range(1, len(at)):
+        weight[i] += weight[i - 1] * fade[i - 1]
+        total[i] += total[i - 1] * fade[i - 1]
+    for i in range(len(at) - 2, -1, -1):
+        back_weight[i] += back_weight[i + 1] * fade[i]
+        back_total[i] += back_total[i + 1] * fade[i]
+    w, s = weight + back_weight - n, total + back_total - n * x
+    return (s + LEVEL_PRIOR * source) / (w + LEVEL_PRIOR)
+
 
+Unit = tuple[str, float, float]
 
-def emissions(values: Sequence[float], told: Sequence[str | None], units: Sequence[tuple[str, float, float]], level: float, spread: float) -> np.ndarray:
-    """Log-likelihoods (values, units); a told unit is certain. units: (code, pre_add, factor)."""
+
+def emissions(values: np.ndarray, units: Sequence[Unit], level: float, spread: float) -> np.ndarray:
+    """Log-likelihoods (values, units) of bare numbers. units: (code, pre_add, factor)."""
     x = np.asarray(values, float)
     logs = np.empty((len(x), len(units)))
     for j, (_, pre, factor) in enumerate(units):
         common = (x + pre) * factor
         z = (np.log(np.where(common > 0, common, np.nan)) - level) / max(spread, LEAST_SPREAD)
         logs[:, j] = np.where(np.isfinite(z), -0.5 * np.minimum(z * z, 400), -300.0)
-    codes = [u[0] for u in units]
-    for t, unit in enumerate(told):
-        if unit in codes:
-            logs[t] = -1e6
-            logs[t, codes.index(unit)] = 0.0
     return logs
 
 
-def decode(values: Sequence[float], told: Sequence[str | None], units: Sequence[tuple[str, float, float]], level: float, spread: float, before: int | None = None, last: int | None = None) -> list[str]:
+def told_states(told: Sequence[str | None], units: Sequence[Unit]) -> np.ndarray:
+    place = {u[0]: j for j, u in enumerate(units)}
+    return np.array([place.get(t, -1) for t in told], int)
+
+
+def decode(values: Sequence[float], told: Sequence[str | None], units: Sequence[Unit], level: float, spread: float, before: int | None = None, last: int | None = None) -> list[str]:
     """The unit of every value; a told unit is certain. units: (code, pre_add, factor)."""
-    return [units[j][0] for j in viterbi(emissions(values, told, units, level, spread), STAY, before, last)]
+    path = decoded_path(emissions(values, units, level, spread), told_states(told, units), STAY, before, last)
+    return [units[j][0] for j in path]
 
 
 def grouped(key: list[str], one: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -128,50 +167,66 @@ def grouped(key: list[str], one: Callable[[pd.DataFrame], pd.DataFrame]) -> Call
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None  # the last group of a batch may go on in the next
         for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if len(batch):
-                groups = [g for _, g in batch.groupby(key, sort=False)]
-                rest = groups.pop()
+            if not len(batch):
+                continue
+            starts = [0, *(np.flatnonzero((batch[key] != batch[key].shift()).any(axis=1).to_numpy()[1:]) + 1), len(batch)]
+            groups = [batch.iloc[a:b] for a, b in zip(starts, starts[1:])]
+            if rest is not None and tuple(rest[0][key].iloc[0]) != tuple(groups[0][key].iloc[0]):
+                yield one(pd.concat(rest, ignore_index=True))
+                rest = None
+            rest = (rest or []) + [groups.pop(0)]
+            if groups:
+                yield one(pd.concat(rest, ignore_index=True))
+                rest = [groups.pop()]
                 yield from map(one, groups)
         if rest is not None:
-            yield one(rest)
+            yield one(pd.concat(rest, ignore_index=True))
 
     return run
 
 
-def inferred_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
-    """(row_id, unit, common_milli) of rows with a single amount but no unit, for variables whose level is known from told units."""
-    chain, key = ["site", "variable"], ["site", "variable", "block"]
+def decoded_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
+    """(row_id, told, unit, common_milli) of rows with null derived_value and a single amount, decoded along the chain of their source and variable.
+
+    ``told`` says whether text or unit column name the unit. Amounts in a unit that isn't known for their variable
+    have no row, nor have those of variables without known units. The rules (units by variable) come to the driver.
+    """
+    chain = ["site", "device", "variable"]
+    key = [*chain, "block"]
     marks = sites.filter("site_code is not null").groupBy("site_code").agg(F.min("decimal_mark").alias("decimal_mark"))
     known = conversions(variables, factors).withColumnRenamed("flowsheet_row_name_dk", "variable")
-    kept = rows.filter("derived_value is null and flowsheet_result_txt is not null").select("row_id", "site_code", F.col("flowsheet_row_name_dk").alias("variable"), "received_dtm", "flowsheet_result_txt", "flowsheet_unit_of_measure_txt")
+    options: dict[object, list[Unit]] = {}
+    for r in known.select("variable", "unit", "pre_add", "factor").orderBy("variable", "unit").collect():
+        options.setdefault(r[0], []).append((r[1], r[2], r[3]))
+    device = F.col("device_id") if "device_id" in rows.columns else F.lit(None)
+    kept = rows.filter("derived_value is null and flowsheet_result_txt is not null").select("row_id", "site_code", F.coalesce(device, F.lit("")).alias("device"), F.col("flowsheet_row_name_dk").alias("variable"), "received_dtm", "flowsheet_result_txt", "flowsheet_unit_of_measure_txt")
     kept = kept.join(small(known.select("variable").distinct()), "variable", "left_semi")
     block = F.floor(F.unix_micros(F.col("received_dtm").cast("timestamp")) / (BLOCK_DAYS * 86_400_000_000))
     untimed = F.lit(-(1 << 62)) + F.floor(F.col("row_id") / UNTIMED_ROWS)
-    read = amounts(kept.join(small(marks), "site_code", "left")).select("row_id", F.coalesce("site_code", F.lit("")).alias("site"), "variable", F.coalesce(block, untimed).alias("block"), "received_dtm", "amount", "unit")
+    read = amounts(kept.join(small(marks), "site_code", "left")).select("row_id", F.coalesce("site_code", F.lit("")).alias("site"), "device", "variable", F.coalesce(block, untimed).alias("block"), "received_dtm", "amount", "unit")
+    read = read.join(small(known), ["variable", "unit"], "left").filter("unit is null or factor is not null")
     read = cut(read)  # it is read for the levels, the blocks' matrices and their decoding
-    common = F.log((F.col("amount") + F.col("pre_add")) * F.col("factor"))
-    told = read.join(small(known), ["variable", "unit"]).select(*key, common.alias("x")).filter("x is not null and not isnan(x)")
+    told = read.select(*key, F.log((F.col("amount") + F.col("pre_add")) * F.col("factor")).alias("x")).filter("x is not null and not isnan(x)")
     usual = told.groupBy("variable").agg(F.expr("percentile_approx(x, 0.5)").alias("usual"))
     medians = told.groupBy(*key).agg(F.expr("percentile_approx(x, 0.5)").alias("median"), F.count("*").alias("n"))
 
     def level_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
         return pdf[key].assign(level=smoothed(pdf["block"], pdf["median"], pdf["n"], pdf["usual"].iloc[0]))
 
     ship(rows.sparkSession)
-    fields = f"site string, variable {dict(read.dtypes)['variable']}, block bigint"
-    spans = read.select(*key).distinct().join(medians, key, "left").fillna(0, ["n"]).join(small(usual), "variable")
+    fields = f"site string, device string, variable {dict(read.dtypes)['variable']}, block bigint"
+    spans = read.select(*key).distinct().join(medians, key, "left").join(small(usual), "variable", "left").fillna(0, ["n"]).fillna(0.0, ["usual"])
     level = cut(spans.groupBy(*chain).applyInPandas(level_of, f"{fields}, level double"))
     spread = told.join(small(level), key).groupBy("variable").agg((F.expr("percentile_approx(x - level, 0.84) - percentile_approx(x - level, 0.16)") / 2).alias("spread"))
-    units = known.groupBy("variable").agg(F.array_sort(F.collect_list(F.struct("unit", "pre_add", "factor"))).alias("units")).join(spread, "variable")
-    work = cut(read.join(small(level), key).join(small(units), "variable"))
+    work = read.drop("pre_add", "factor").join(small(level), key).join(small(spread), "variable", "left").fillna(LEAST_SPREAD, ["spread"])
 
-    def seen(pdf: pd.DataFrame) -> tuple[list[float], list[str | None], list[tuple[str, float, float]], float, float]:
-        options = [(u["unit"], u["pre_add"], u["factor"]) for u in pdf["units"].iloc[0]]
-        return pdf["amount"].tolist(), [u if isinstance(u, str) else None for u in pdf["unit"]], options, pdf["level"].iloc[0], pdf["spread"].iloc[0]
+    def seen(pdf: pd.DataFrame) -> tuple[list[Unit], np.ndarray, np.ndarray]:
+        units = options[pdf["variable"].iat[0]]
+        return units, emissions(pdf["amount"].to_numpy(), units, pdf["level"].iat[0], pdf["spread"].iat[0]), told_states(pdf["unit"], units)
 
     def matrix(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[key].head(1).assign(scores=[transfer(emissions(*seen(pdf))).ravel()])
+        return pdf[key].head(1).assign(scores=[transfer(*seen(pdf)[1:]).ravel()])
 
     def bounds(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
@@ -180,14 +235,24 @@ def inferred_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, si
         return pdf[key].assign(before=[-1 if b is None else b for b, _ in found], last=[x for _, x in found])
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        amount, told, options, level, spread = seen(pdf)
-        before = int(pdf["before"].iloc[0])
-        decoded = decode(amount, told, options, level, spread, None if before < 0 else before, int(pdf["last"].iloc[0]))
-        by = {u[0]: u for u in options}
-        rows = [(i, u, round(1000 * (a + by[u][1]) * by[u][2])) for i, a, u, t in zip(pdf["row_id"], amount, decoded, told) if t is None]
-        return pd.DataFrame(rows, columns=["row_id", "unit", "common_milli"])
+        units, logs, certain = seen(pdf)
+        before = int(pdf["before"].iat[0])
+        path = decoded_path(logs, certain, STAY, None if before < 0 else before, int(pdf["last"].iat[0]))
+        pre, factor = (np.array([u[k] for u in units], float)[path] for k in (1, 2))
+        milli = np.rint((pdf["amount"].to_numpy() + pre) * factor * 1000).astype(np.int64)
+        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "told": certain >= 0, "unit": [units[j][0] for j in path], "common_milli": milli})
 
     in_order = lambda df: df.repartition(*key).sortWithinPartitions(*key, "received_dtm", "row_id")
     matrices = in_order(work).mapInPandas(grouped(key, matrix), f"{fields}, scores array<double>")
     ends = cut(matrices.groupBy(*chain).applyInPandas(bounds, f"{fields}, before int, last int"))
-    return in_order(work.join(small(ends), key)).mapInPandas(grouped(key, one), "row_id bigint, unit string, common_milli bigint")
+    return in_order(work.join(small(ends), key)).mapInPandas(grouped(key, one), "row_id bigint, told boolean, unit string, common_milli bigint")
+
+
+def inferred_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
+    """(row_id, unit, common_milli) of the amounts that tell no unit."""
+    return decoded_units(rows, variables, factors, sites).filter("not told").drop("told")
+
+
+def p7_found(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
+    """(row_id, common_milli) of the amounts whose unit is told."""
+    return decoded_units(rows, variables, factors, sites).filter("told").select("row_id", "common_milli")

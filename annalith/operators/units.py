@@ -1,14 +1,10 @@
-"""Quantities recorded in different units (problem 7).
-
-``stated_amounts`` reads amount and unit from the result text, else the unit from the unit column.
-"""
+"""Amounts and the units that are told for them, in a result text or else in the unit column (problem 7); ``unit_switches`` decodes from these."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fenced
-from ..session import small
 
 #: Spellings (lower case, without spaces, dots, brackets and degree signs) of unit codes.
 SPELLINGS = {
@@ -82,16 +78,3 @@ def conversions(variables: DataFrame, factors: DataFrame) -> DataFrame:
     """(flowsheet_row_name_dk, unit, pre_add, factor), one row each."""
     known = factors.withColumn("unit", F.coalesce(unit_code(F.col("unit_code")), F.col("unit_code"))).groupBy("variable_id", "unit").agg(F.min("pre_add").alias("pre_add"), F.min("factor").alias("factor"))
     return variables.select("variable_id", "flowsheet_row_name_dk").distinct().join(known, "variable_id").select("flowsheet_row_name_dk", "unit", "pre_add", "factor").dropDuplicates(["flowsheet_row_name_dk", "unit"])
-
-
-def stated_amounts(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
-    """(row_id, common_milli) of rows with null derived_value: a single amount with a unit that is known for the variable."""
-    marks = sites.filter("site_code is not null").groupBy("site_code").agg(F.min("decimal_mark").alias("decimal_mark"))
-    missing = rows.filter("derived_value is null and flowsheet_result_txt is not null").select("row_id", "site_code", "flowsheet_row_name_dk", "flowsheet_result_txt", "flowsheet_unit_of_measure_txt")
-    read = amounts(missing.join(small(marks), "site_code", "left")).filter("unit is not null")
-    common = (F.col("amount") + F.col("pre_add")) * F.col("factor")
-    return read.join(small(conversions(variables, factors)), ["flowsheet_row_name_dk", "unit"]).select("row_id", F.rint(common * 1000).cast("bigint").alias("common_milli"))
-
-
-def p7_found(rows: DataFrame, variables: DataFrame, factors: DataFrame, sites: DataFrame) -> DataFrame:
-    return stated_amounts(rows, variables, factors, sites)

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..operators import instants, ledger, rawlines, readings, snapshots, unit_switches, units
+from ..operators import instants, ledger, rawlines, readings, snapshots, unit_switches
 from ..session import cut, table
 
 LOADS = 60
@@ -37,7 +37,7 @@ QUERIES = {
     "p4_found": lambda s, d: snapshots.p4_found(table(s, d, "fact_map_snapshots")),
     "p4_changed_values": lambda s, d: snapshots.changed_values(snapshots.latest_rows(table(s, d, "fact_map_snapshots"))),
     "p6_found": lambda s, d: readings.p6_found(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables")),
-    "p7_found": lambda s, d: units.p7_found(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables"), table(s, d, "unit_factors"), table(s, d, "source_sites")),
+    "p7_found": lambda s, d: unit_switches.p7_found(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables"), table(s, d, "unit_factors"), table(s, d, "source_sites")),
     "p7_inferred": lambda s, d: unit_switches.inferred_units(table(s, d, "fact_flowsheets"), table(s, d, "rule_variables"), table(s, d, "unit_factors"), table(s, d, "source_sites")),
 }
 

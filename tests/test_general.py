@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from annalith.functions.fsm import tokenize
-from annalith.operators import instants, ledger, rawlines, readings, snapshots, unit_switches, units
+from annalith.operators import instants, ledger, rawlines, readings, snapshots, unit_switches
 from annalith.plans import training
 
 from . import brute_general as brute
@@ -253,6 +253,29 @@ def test_readings(spark, monkeypatch):
     assert rows(readings.p6_found(df.limit(0), variables)) == []
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.sampled_from([0.0, 1.0, 1.5, 2.0, 30.0, -30.0, 1e9]), st.booleans()), min_size=1, max_size=40, unique_by=lambda t: t[0]), st.sampled_from([0.0, 0.1, 1.0]))
+def test_no_spike_escapes_the_details(steps, scale):
+    """Details and coarsest approximation sum up to the reading, and their thresholds find all readings beyond the border."""
+    steps.sort()
+    seq, x, inside = (np.array(c) for c in zip(*steps))
+    group = seq >> 3
+    details, coarse = readings.haar_details(group, seq, x, inside.astype(float), 8)
+    assert np.allclose(sum(details) + coarse, x) and len(details) == 3
+    got = {seqs[0] for _, _, what, _, _, seqs in readings.analysed(group, seq, x, inside, np.full(len(x), 1.0), np.full(len(x), scale), 8) if what == "spike"}
+    assert got == {int(q) for q, v, ok in steps if ok and abs(v - 1.0) > 10 * scale}
+
+
+def test_medians_are_exact(spark):
+    """Series of any length, one of them with a third of all rows and nearly as many values, and with ties at the middle."""
+    rng = np.random.default_rng(6)
+    given = {"hot": rng.normal(size=20_000), "ties": np.repeat([1.0, 2.0, 3.0], [400, 1, 401]), "one": [5.0], "two": [1.0, 4.0], **{f"s{k}": rng.integers(0, 9, k + 1).astype(float) for k in range(30)}}
+    df = spark.createDataFrame(pd.DataFrame([(d, 1, float(v)) for d, xs in given.items() for v in xs], columns=[*readings.SERIES, "x"]))
+    got = {r.device_id: r.m for r in readings.medians(df, "m").collect()}
+    assert got == {d: float(np.median(xs)) for d, xs in given.items()}
+    assert readings.medians(df.limit(0), "m").count() == 0
+
+
 AMOUNTS = [
         ("N", "5 ft 11 in", None, 180340), ("N", "5'11\"", "cm", 180340), ("N", "1,234", "g", None), ("N", "1.80 m", None, 180000), ("B", "1,80", "m", 180000), ("B", "1.234", "cm", 1234000), ("N", "1.234", "cm", 1234), ("N", "1,234", "cm", 1234000), (None, "1,234", "cm", 1234000), ("N", "1,234.5 cm", None, 1234500),
         ("N", "approx 180 CM, repeated later", "m", 180000), ("N", "180 cm (bed scale)", None, 180000), ("N", "<180", "cm", None), ("N", "170-180", "cm", None), ("N", "120/80", "cm", None), ("N", "180", "N/A", None), ("N", "2 attempts, none read", "cm", None), ("N", "", "cm", None), ("N", None, "cm", None), ("N", "x" * 60_000, "cm", None), ("N", "less than 5", "cm", None), ("N", "180 kg", "cm", None),
@@ -262,10 +285,10 @@ AMOUNTS = [
 def test_units(spark):
     variables = spark.createDataFrame([(8, 4171, "h", "cm", 1.0, 2.0, "true")], "variable_id int, flowsheet_row_name_dk int, display_name string, units string, range_min double, range_max double, is_valid_range string")
     factors = spark.createDataFrame([(8, "cm", 0.0, 1.0), (8, "m", 0.0, 100.0), (8, "in", 0.0, 2.54)], "variable_id int, unit_code string, pre_add double, factor double")
-    schema = "row_id long, site_code string, flowsheet_row_name_dk int, flowsheet_result_txt string, flowsheet_unit_of_measure_txt string, derived_value double, amount string"
-    df = spark.createDataFrame([(i, site, 4171, text, unit, None, "clash") for i, (site, text, unit, _) in enumerate(AMOUNTS)] + [(99, "N", 4171, "180 cm", None, 5.0, "clash"), (98, "N", 4171, "180 cm", None, float("nan"), "clash")], schema)
-    assert rows(units.p7_found(df, variables, factors, sites(spark))) == [(i, want) for i, (*_, want) in enumerate(AMOUNTS) if want is not None]
-    assert rows(units.p7_found(df.limit(0), variables, factors, sites(spark))) == []
+    schema = "row_id long, site_code string, flowsheet_row_name_dk int, flowsheet_result_txt string, flowsheet_unit_of_measure_txt string, derived_value double, amount string, received_dtm timestamp, device_id string"
+    df = spark.createDataFrame([(i, site, 4171, text, unit, None, "clash", AT if i % 3 else None, "d" if i % 2 else None) for i, (site, text, unit, _) in enumerate(AMOUNTS)] + [(99, "N", 4171, "180 cm", None, 5.0, "clash", AT, None), (98, "N", 4171, "180 cm", None, float("nan"), "clash", AT, None)], schema)
+    assert rows(unit_switches.p7_found(df, variables, factors, sites(spark))) == [(i, want) for i, (*_, want) in enumerate(AMOUNTS) if want is not None]
+    assert rows(unit_switches.p7_found(df.limit(0), variables, factors, sites(spark))) == []
 
 
 def test_unit_switches_are_decoded():
@@ -286,9 +309,12 @@ def test_blocks_decode_as_the_whole_chain(seed):
         logs = -0.5 * rng.normal(0, 2, (80, k)) ** 2
         cuts = sorted(rng.choice(np.arange(1, 80), 12, replace=False))
         parts = np.split(logs, cuts)
-        ends = unit_switches.boundaries([unit_switches.transfer(x) for x in parts])
-        got = np.concatenate([unit_switches.viterbi(x, before=b, last=e) for x, (b, e) in zip(parts, ends)])
-        assert (got == unit_switches.viterbi(logs)).all()
+        for rate in (0, 0.1, 0.9):
+            told = np.where(rng.random(80) < rate, rng.integers(0, k, 80), -1)
+            sure = np.where((told >= 0)[:, None], np.where(np.arange(k) == told[:, None], 0.0, -np.inf), logs)
+            ends = unit_switches.boundaries([unit_switches.transfer(x, t) for x, t in zip(parts, np.split(told, cuts))])
+            got = np.concatenate([unit_switches.decoded_path(x, t, before=b, last=e) for x, t, (b, e) in zip(parts, np.split(told, cuts), ends)])
+            assert (got == unit_switches.viterbi(sure)).all()
 
 
 def test_unit_is_kept_over_block_ends_and_levels_are_the_sources(spark):
