@@ -1,15 +1,15 @@
-"""Best representative of each duplicate group (problem 5).
-
-``survivors`` takes each field from the best row that has it, in a fixed order of trust. The test data
-fixes that order, so the posterior below can't decide p5_found.
-
-``fuse`` is Bayesian fusion with copy detection. Every key and field is an item on which sources vote
-for values. How trustworthy a source is, and whether two sources copy from each other, depends only on
-which sources agree on an item and which don't, not on the values. So all items fold map-side into vote
-patterns with counts: the item's voter sets and the true number of values of each. As these numbers are
-as many as the data makes them, the patterns stay in Spark. Every round of the estimation folds them into
-sums per source and per pair of sources, and only these reach the driver. The posterior of each pattern's
-groups goes back to the items by a join on the pattern.
+"""Best representative of each duplicate group (problem 5): Bayesian fusion with copy detection.
+
+Every key and field is an item on which sources vote for values. How trustworthy a source is, and whether two
+sources copy from each other, depends only on which sources agree on an item and which don't, not on the
+values. So all items fold map-side into vote patterns with counts: the item's voter sets and the true number of
+values of each. As these numbers are as many as the data makes them, the patterns stay in Spark. Every round of
+the estimation folds them into sums per source and per pair of sources that vote together, and only these reach
+the driver. The posterior of each pattern's groups goes back to the items by a join on the pattern.
+
+A prior may be put before the votes. ``survivors`` takes the order of trust that TESTDATA fixes (trust_rank,
+counter, time, row) as one so strong that no vote outweighs a step of it: values are compared by the best row
+that claims them first and by their posterior second. ``fuse`` has no such prior; the votes decide.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ import itertools
 import math
 from collections.abc import Callable, Iterable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,7 +32,8 @@ START = 0.9
 """Accuracy that every source starts with."""
 FALSE_VALUES, COPY_RATE, PRIOR = 20, 0.8, 0.1
 """False values that an item can have, the share of values that a copier copies, and the chance that two sources are dependent."""
-Pattern = tuple[tuple[int, int], ...]
+Voters = tuple[int, ...]
+Pattern = tuple[tuple[Voters, int], ...]
 
 
 def value(c: Column) -> Column:
@@ -42,41 +42,32 @@ def value(c: Column) -> Column:
     return F.when(~F.lower(t).isin(*STAND_INS), t)
 
 
-def ranked(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """(key, fields..., best): ``best`` orders rows, the greatest first: lowest trust_rank (no site last), highest incr_counter, latest received, highest row_id."""
+def ranked(rows: DataFrame, sites: DataFrame, *more: str) -> DataFrame:
+    """(key, fields..., best, more...): ``best`` orders rows, the greatest first: lowest trust_rank (no site last), highest incr_counter, latest received, highest row_id."""
     trust = sites.filter("site_code is not null").groupBy("site_code").agg(F.min("trust_rank").alias("trust_rank"))
-    joined = rows.select("row_id", "key_hash", *FIELDS, "site_code", "incr_counter", "received_dtm").join(small(trust), "site_code", "left")
+    joined = rows.select("row_id", "key_hash", *FIELDS, "site_code", "incr_counter", "received_dtm", *more).join(small(trust), "site_code", "left")
     best = F.struct(
         (-F.coalesce("trust_rank", F.lit(LAST)).cast("bigint")).alias("trust"),
         F.coalesce("incr_counter", F.lit(-LAST)).alias("incr"),
         F.coalesce(F.unix_micros(F.col("received_dtm").cast("timestamp")), F.lit(-(1 << 62))).alias("received"),
         F.col("row_id"),
     )
-    return joined.select(folded(F.col("key_hash")).alias("key"), *(value(F.col(f)).alias(f) for f in FIELDS), best.alias("best")).filter("key is not null")
+    return joined.select(folded(F.col("key_hash")).alias("key"), *(value(F.col(f)).alias(f) for f in FIELDS), best.alias("best"), *more).filter("key is not null")
 
 
-def survivors(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """(key, n, one struct (row_id, value) per field): the surviving record of each key; a field that no row has is null.
-
-    All of it is one aggregate with map-side combine, so copies of a key never meet in one task unmerged.
-    """
-    per_field = [F.max(F.when(F.col(f).isNotNull(), F.struct("best", F.col(f).alias("value")))).alias(f) for f in FIELDS]
-    merged = ranked(rows, sites).groupBy("key").agg(F.count("*").alias("n"), *per_field)
-    return merged.select("key", "n", *(F.struct(F.col(f"{f}.best.row_id").alias("row_id"), F.col(f"{f}.value").alias("value")).alias(f) for f in FIELDS))
-
+def site_codes(sites: DataFrame) -> list[str]:
+    return [r[0] for r in sites.select("site_code").filter("site_code is not null").distinct().orderBy("site_code").collect()]
 
-def p5_found(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    fields = F.inline(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f"{f}.row_id").alias("row_id")) for f in FIELDS)))
-    return survivors(rows, sites).filter("n >= 2").select(F.col("key").alias("key_hash"), fields).filter("row_id is not null")
 
+def claims(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    """(key, field_name, value, voters, best): per item and value the ids of the sources that claim it, in order, and the first of its rows by trust.
 
-def claims(rows: DataFrame, sources: list[str]) -> DataFrame:
-    """(key, field_name, value, voters): per item and value, the bit set of the sources that claim it. Rows of unknown sources vote as source 0."""
-    bit = F.lit(1).cast("bigint")
-    for k, s in enumerate(sources):
-        bit = F.when(F.col("site_code") == s, F.lit(1 << (k + 1)).cast("bigint")).otherwise(bit)
-    stacked = rows.select(folded(F.col("key_hash")).alias("key"), bit.alias("bit"), F.inline(F.array(*(F.struct(F.lit(f).alias("field_name"), F.lower(value(F.col(f))).alias("value")) for f in FIELDS))))
-    return stacked.filter("key is not null and value is not null").groupBy("key", "field_name", "value").agg(F.bit_or("bit").alias("voters"))
+    Values are compared trimmed and without case. Sources are numbered by name from 1; rows of unknown sources vote as source 0.
+    """
+    ids = rows.sparkSession.createDataFrame([(s, k + 1) for k, s in enumerate(site_codes(sites))], "site_code string, voter int")
+    stacked = ranked(rows.join(small(ids), "site_code", "left"), sites, "voter").select("key", F.coalesce("voter", F.lit(0)).alias("voter"), "best", F.inline(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("as_written")) for f in FIELDS))))
+    told = stacked.filter("as_written is not null").withColumn("value", F.lower("as_written"))
+    return told.groupBy("key", "field_name", "value").agg(F.array_sort(F.collect_set("voter")).alias("voters"), F.max(F.struct("best", "as_written")).alias("r")).select("key", "field_name", "value", "voters", "r.best", "r.as_written")
 
 
 def patterns_of(voted: DataFrame) -> DataFrame:
@@ -93,21 +84,17 @@ def _chance(log_odds: float) -> float:
     return 1 / (1 + math.exp(-max(-50.0, min(50.0, log_odds))))
 
 
-def members(voters: int) -> list[int]:
-    return [s for s in range(voters.bit_length()) if voters >> s & 1]
-
-
 class Model:
     """Accuracies of the sources and dependences of pairs, and what follows from them for the values of a pattern."""
 
     def __init__(self, accuracy: list[float], copies: dict[tuple[int, int], float]):
         self.accuracy, self.copies, self.scores = accuracy, copies, {}
 
-    def score(self, voters: int) -> float:
+    def score(self, voters: Voters) -> float:
         """A voter's weight is discounted by the chance that it copied from one counted before it."""
         if voters not in self.scores:
             total, counted = 0.0, []
-            for s in sorted(members(voters), key=lambda s: -self.accuracy[s]):
+            for s in sorted(voters, key=lambda s: -self.accuracy[s]):
                 alone = math.prod(1 - COPY_RATE * self.copies.get((min(s, t), max(s, t)), 0.0) for t in counted)
                 total += alone * math.log(FALSE_VALUES * self.accuracy[s] / (1 - self.accuracy[s]))
                 counted.append(s)
@@ -123,45 +110,46 @@ class Model:
         return [math.exp(x - top) / whole for x in scores]
 
 
-def tally(patterns: Iterable[tuple[Pattern, int]], n_sources: int, model: Model | None) -> np.ndarray:
-    """Sums over items: [s, s, 0] votes of a source and [s, s, 1] those expected to be true; of a pair a < b [a, b, 0] values shared,
-    [a, b, 1] those expected to be true and [a, b, 2] items on which both vote. Without a model no expectations."""
-    sums = np.zeros((n_sources, n_sources, 3))
+Sums = dict[tuple[int, int], list[float]]
+
+
+def tally(patterns: Iterable[tuple[Pattern, int]], model: Model | None) -> Sums:
+    """Sums over items by pair of sources a <= b that vote on one: values that both claim, those expected to be true, and items on which both vote.
+
+    For a = b these are the votes of the source. Without a model there are no expectations.
+    """
+    sums: Sums = {}
     for p, n in patterns:
         posterior = model.posterior(p) if model else [0.0] * len(p)
         for (g, k), q in zip(p, posterior):
-            for a, b in itertools.combinations_with_replacement(members(g), 2):
-                sums[a, b, 0] += n * k
-                sums[a, b, 1] += n * k * q
-        voters = 0
-        for g, _ in p:
-            voters |= g
-        for a, b in itertools.combinations(members(voters), 2):
-            sums[a, b, 2] += n
+            for pair in itertools.combinations_with_replacement(g, 2):
+                own = sums.setdefault(pair, [0.0, 0.0, 0.0])
+                own[0] += n * k
+                own[1] += n * k * q
+        for pair in itertools.combinations(sorted({s for g, _ in p for s in g}), 2):
+            sums.setdefault(pair, [0.0, 0.0, 0.0])[2] += n
     return sums
 
 
-def estimate(tallied: Callable[[Model | None], np.ndarray], n_sources: int, rounds: int = 8) -> tuple[list[float], dict[tuple[int, int], float], Model]:
+def estimate(tallied: Callable[[Model | None], Sums], n_sources: int, rounds: int = 8) -> tuple[list[float], dict[tuple[int, int], float], Model]:
     """(accuracy by source, probability of dependence by pair, model of the last round), by ``tally`` over all patterns.
 
     Two sources that share more false values than independent ones would are taken to copy.
     """
-    accuracy = [START] * n_sources
+    accuracy, copies = [START] * n_sources, {}
     # before any value counts as true, sources that agree far more often than independent ones would are taken to copy
-    sums, pairs, copies = tallied(None), list(itertools.combinations(range(n_sources), 2)), {}
-    apart = accuracy[0] ** 2 + (1 - accuracy[0]) ** 2 / FALSE_VALUES if n_sources else 0.0
-    for a, b in pairs:
-        n = sums[a, b, 2]
+    apart = START**2 + (1 - START) ** 2 / FALSE_VALUES
+    for (a, b), (shared, _, n) in tallied(None).items():
         if n:
-            same = min(sums[a, b, 0], n)
+            same = min(shared, n)
             copies[a, b] = _chance(same * math.log((COPY_RATE + (1 - COPY_RATE) * apart) / apart) + (n - same) * math.log(1 - COPY_RATE) + math.log(PRIOR / (1 - PRIOR)))
     model = Model(accuracy, copies)
     for _ in range(rounds):
         model = Model(accuracy, copies)
         sums = tallied(model)
-        accuracy, copies = [float(min(0.99, max(0.05, (1 + sums[s, s, 1]) / (1.25 + sums[s, s, 0])))) for s in range(n_sources)], {}
-        for a, b in pairs:
-            shared, true, n = sums[a, b]
+        votes = [sums.get((s, s), (0.0, 0.0, 0.0)) for s in range(n_sources)]
+        accuracy, copies = [float(min(0.99, max(0.05, (1 + v[1]) / (1.25 + v[0])))) for v in votes], {}
+        for (a, b), (shared, true, n) in sums.items():
             if not n:
                 continue
             false = shared - true
@@ -179,7 +167,7 @@ def estimate(tallied: Callable[[Model | None], np.ndarray], n_sources: int, roun
 def read_patterns(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[Pattern, int]]:
     for batch in batches:
         for pattern, n in zip(batch["pattern"], batch["n_items"]):
-            yield tuple((int(e["voters"]), int(e["n"])) for e in pattern), int(n)
+            yield tuple((tuple(int(v) for v in e["voters"]), int(e["n"])) for e in pattern), int(n)
 
 
 def estimated(items: DataFrame, n_sources: int) -> tuple[list[float], dict[tuple[int, int], float], DataFrame]:
@@ -187,12 +175,12 @@ def estimated(items: DataFrame, n_sources: int) -> tuple[list[float], dict[tuple
     ship(items.sparkSession)
     patterns = cut(items.groupBy("pattern").agg(F.count("*").alias("n_items")))
 
-    def tallied(model: Model | None) -> np.ndarray:
+    def tallied(model: Model | None) -> Sums:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            yield pd.DataFrame({"sums": [tally(read_patterns(batches), n_sources, model).ravel()]})
+            yield pd.DataFrame([(*pair, *s) for pair, s in tally(read_patterns(batches), model).items()], columns=["a", "b", "shared", "true", "both"])
 
-        found = patterns.mapInPandas(run, "sums array<double>").toLocalIterator()
-        return sum((np.asarray(r[0]) for r in found), np.zeros(3 * n_sources**2)).reshape(n_sources, n_sources, 3)
+        found = patterns.mapInPandas(run, "a int, b int, shared double, true double, both double").groupBy("a", "b").agg(*(F.sum(c) for c in ("shared", "true", "both")))
+        return {(r[0], r[1]): [r[2], r[3], r[4]] for r in found.collect()}  # a row per pair of sources
 
     accuracy, copies, model = estimate(tallied, n_sources)
 
@@ -201,34 +189,45 @@ def estimated(items: DataFrame, n_sources: int) -> tuple[list[float], dict[tuple
             made = [([{"voters": g, "n": k} for g, k in p], e[0], q) for p, _ in read_patterns([batch]) for e, q in zip(p, model.posterior(p))]
             yield pd.DataFrame(made, columns=["pattern", "voters", "posterior"])
 
-    return accuracy, copies, patterns.mapInPandas(run, "pattern array<struct<voters:bigint,n:bigint>>, voters bigint, posterior double")
+    return accuracy, copies, patterns.mapInPandas(run, "pattern array<struct<voters:array<int>,n:bigint>>, voters array<int>, posterior double")
 
 
-def site_codes(sites: DataFrame) -> list[str]:
-    codes = [r[0] for r in sites.select("site_code").filter("site_code is not null").distinct().orderBy("site_code").limit(61).collect()]
-    if len(codes) > 60:
-        raise ValueError("bit sets hold 60 sources; part the sources into groups first")
-    return codes
+def judged(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    """(key, field_name, value, as_written, best, posterior, n_values) of every claimed value."""
+    voted = cut(claims(rows, sites))  # it is read for the patterns and for the values
+    items = cut(patterns_of(voted))
+    _, _, scored = estimated(items, len(site_codes(sites)) + 1)
+    return voted.join(items, ["key", "field_name"]).join(small(scored), ["pattern", "voters"]).drop("pattern", "voters")
 
 
 def fuse(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """(key_hash, field_name, value, posterior, n_values): the value of greatest posterior for every key and field; ties go to the lesser value.
 
-    Values are compared trimmed and without case. Items without any value have no row.
+    Items without any value have no row.
     """
-    codes = site_codes(sites)
-    voted = claims(rows, codes)
-    items = cut(patterns_of(voted))
-    _, _, scored = estimated(items, len(codes) + 1)
-    joined = voted.join(items, ["key", "field_name"]).join(small(scored), ["pattern", "voters"])
     best = F.min(F.struct((-F.col("posterior")).alias("p"), "value", "n_values")).alias("b")
-    return joined.groupBy(F.col("key").alias("key_hash"), "field_name").agg(best).select("key_hash", "field_name", F.col("b.value").alias("value"), (-F.col("b.p")).alias("posterior"), F.col("b.n_values").alias("n_values"))
+    return judged(rows, sites).groupBy(F.col("key").alias("key_hash"), "field_name").agg(best).select("key_hash", "field_name", F.col("b.value").alias("value"), (-F.col("b.p")).alias("posterior"), F.col("b.n_values").alias("n_values"))
+
+
+def survivors(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    """(key_hash, field_name, row_id, value, posterior, n_values): the same under the order of trust as prior, for keys with two or more rows.
+
+    row_id is the row that supplies the value, as it is written there. A field that no row has is left out.
+    """
+    first = F.max(F.struct("best", "posterior", "as_written", "n_values")).alias("b")
+    chosen = judged(rows, sites).groupBy("key", "field_name").agg(first)
+    repeated = rows.select(folded(F.col("key_hash")).alias("key")).filter("key is not null").groupBy("key").agg(F.count("*").alias("n")).filter("n >= 2").select("key")
+    return chosen.join(repeated, "key", "left_semi").select(F.col("key").alias("key_hash"), "field_name", F.col("b.best.row_id").alias("row_id"), F.col("b.as_written").alias("value"), F.col("b.posterior").alias("posterior"), F.col("b.n_values").alias("n_values"))
+
+
+def p5_found(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    return survivors(rows, sites).select("key_hash", "field_name", "row_id")
 
 
 def source_accuracy(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """(source, accuracy, copies_with, dependence): estimated accuracy, and the source it most likely shares copies with."""
     codes = site_codes(sites)
-    accuracy, copies, _ = estimated(patterns_of(claims(rows, codes)), len(codes) + 1)
+    accuracy, copies, _ = estimated(patterns_of(claims(rows, sites)), len(codes) + 1)
     names, out = ["(none)", *codes], []
     for k, name in enumerate(names):
         near = max(((q, b if a == k else a) for (a, b), q in copies.items() if k in (a, b)), default=(0.0, None))

@@ -78,18 +78,33 @@ def test_fusion_counts_all_values_of_a_hot_key(spark):
     """One source claims 50 values for a key, 40 of them with another; all share the key's probability, and all count as votes."""
     made = [(i, "hot", f"v{i}", "A", 1) for i in range(50)] + [(100 + i, "hot", f"v{i}", "B", 1) for i in range(40)]
     df = lab(spark, *made)
-    voted = fusion.claims(df, fusion.site_codes(sites(spark)))
+    voted = fusion.claims(df, sites(spark))
     items = fusion.patterns_of(voted)
     (pattern,) = items.select("pattern").first()
-    assert [(e.voters, e.n) for e in pattern] == [(2, 10), (6, 40)]
+    assert [(e.voters, e.n) for e in pattern] == [([1], 10), ([1, 2], 40)]
     accuracy, _, scored = fusion.estimated(items, 6)
-    posterior = {r.voters: r.posterior for r in scored.collect()}
-    assert 10 * posterior[2] + 40 * posterior[6] == pytest.approx(1)
+    posterior = {tuple(r.voters): r.posterior for r in scored.collect()}
+    assert 10 * posterior[1,] + 40 * posterior[1, 2] == pytest.approx(1)
     (best,) = fusion.fuse(df, sites(spark)).collect()
-    assert (best.value, best.n_values) == ("v0", 50) and best.posterior == pytest.approx(posterior[6]) and best.posterior <= 1 / 40
+    assert (best.value, best.n_values) == ("v0", 50) and best.posterior == pytest.approx(posterior[1, 2]) and best.posterior <= 1 / 40
     assert accuracy[1] < 0.06 and accuracy[3] == pytest.approx(0.8)  # a source without votes has the prior
 
 
+def test_fusion_of_very_many_sources(spark):
+    """120 sources, half of them right; with the order of trust as prior the posterior stands beside the chosen row."""
+    rng, names = random.Random(1), [f"S{k:03d}" for k in range(120)]
+    where = spark.createDataFrame([(s, k) for k, s in enumerate(names)], "site_code string, trust_rank int")
+    made = [(100 * k + i, f"k{k}", "t" if names.index(s) % 2 else f"f{rng.randrange(20)}", s, 1) for k in range(30) for i, s in enumerate(rng.sample(names, 8))]
+    df = lab(spark, *made)
+    fused = fusion.fuse(df, where).collect()
+    assert len(fused) == 30 and sum(r.value == "t" for r in fused) >= 28
+    kept = {r.key_hash: r for r in fusion.survivors(df, where).collect()}
+    first = {k: min((r for r in made if r[1] == f"k{k}"), key=lambda r: names.index(r[3])) for k in range(30)}
+    assert all(kept[f"k{k}"].row_id == r[0] and kept[f"k{k}"].value == r[2] for k, r in first.items())
+    best = {r.key_hash: r.posterior for r in fused}
+    assert all(0 < r.posterior <= best[k] + 1e-9 for k, r in kept.items()) and any(r.posterior < 0.5 < best[k] for k, r in kept.items())
+
+
 def test_leaks_of_whole_table(spark):
     got = rows(queries.QUERIES["p8_found"](spark, SF))
     assert set(got) == brute.p8(read("documents"), read("eval_items")) and len(got) == len(set(got))
