@@ -1,12 +1,13 @@
 """Mixing sources to target weights (problem 9).
 
 Sizes are tokens. Per source the records fall into blocks by a hash of their id; only the blocks' sizes
-(sources x BLOCKS rows, whatever the number of records) reach the driver, where the plan is made. A
-source's quota is met by whole passes over all its records and one last partial pass over a random
-subset of its blocks, the last of these cut by a threshold on the records' own hashes. A splitting tree
-then parts the blocks of every pass among the output shards: at each node the number of blocks of each
-source that go left is multivariate hypergeometric, so each shard is a uniform draw without replacement.
-Records are shuffled locally within their shard by a hash.
+(sources x blocks rows, whatever the number of records) reach the driver, where the plan is made. A source's
+quota is met by whole passes over all its records and one last partial pass over blocks in random order. The
+last of these blocks is cut by its records' running sum of tokens, so a source misses its quota by less than a
+record. A splitting tree then parts the blocks of every pass among the output shards: at each node the number
+of blocks of each source that go left is multivariate hypergeometric, so each shard is a uniform draw without
+replacement. There are BLOCKS_PER_SHARD blocks of a source to a shard and more, so every shard can get of every
+source. Records are shuffled locally within their shard.
 """
 
 from __future__ import annotations
@@ -14,15 +15,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import folded
 from ..session import cut, small
 from .tokens import VOCABULARY, with_tokens
 
-BLOCKS = 256
-GRAIN = 1 << 20
-"""Steps of the threshold that cuts the last block of a source."""
+LEAST_BLOCKS, BLOCKS_PER_SHARD = 256, 16
 SEED = 20_240_601
 
 
@@ -38,17 +37,20 @@ class SourcePlan:
     max_repeats: int
     tokens: int
     quota: float
-    reachable: bool
     passes: int = 0
-    partial: dict[int, float] = field(default_factory=dict)
-    """Of the last pass: block -> share of its records (1.0, but for the block that is cut)."""
+    partial: dict[int, int] = field(default_factory=dict)
+    """Of the last pass: block -> tokens to take of it (all, but for the block that is cut)."""
 
 
-def sized(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, source, n_tokens, block, grain) of every record, also those of sources without a target."""
+def blocks_for(shards: int) -> int:
+    return max(LEAST_BLOCKS, BLOCKS_PER_SHARD * shards)
+
+
+def sized(documents: DataFrame, vocabulary: str = VOCABULARY, blocks: int = LEAST_BLOCKS) -> DataFrame:
+    """(doc_id, source, n_tokens, block, place) of every record, also those of sources without a target; ``place`` orders a block at random."""
     rows = with_tokens(documents.select("doc_id", source_key(F.col("source")).alias("source"), "text"), vocabulary=vocabulary)
     mixed = F.xxhash64(F.col("doc_id"), F.lit(SEED))
-    return rows.withColumns({"block": F.pmod(mixed, F.lit(BLOCKS)).cast("int"), "grain": F.pmod(F.shiftright(mixed, 16), F.lit(GRAIN)).cast("int")})
+    return rows.withColumns({"block": F.pmod(mixed, F.lit(blocks)).cast("int"), "place": F.xxhash64(mixed, F.lit(SEED))})
 
 
 def targets_of(targets: DataFrame) -> list[tuple[str, float, int]]:
@@ -60,19 +62,22 @@ def targets_of(targets: DataFrame) -> list[tuple[str, float, int]]:
 def plan(block_tokens: dict[tuple[str, int], int], total: int, targets: list[tuple[str, float, int]], seed: int = SEED) -> list[SourcePlan]:
     """Per source how often its records are used for an output of ``total`` tokens."""
     rng, plans = np.random.default_rng(seed), []
+    by_source: dict[str, dict[int, int]] = {}
+    for (s, b), n in block_tokens.items():
+        by_source.setdefault(s, {})[b] = n
     for source, share, cap in targets:
-        blocks = {b: n for (s, b), n in block_tokens.items() if s == source}
+        blocks = by_source.get(source, {})
         have, quota = sum(blocks.values()), (share or 0.0) * total
-        p = SourcePlan(source, share or 0.0, cap or 0, have, quota, have * (cap or 0) >= quota)
-        if not p.reachable:
+        p = SourcePlan(source, share or 0.0, cap or 0, have, quota)
+        if have * p.max_repeats < quota:
             p.passes = p.max_repeats
         elif have:
             p.passes = int(quota // have)
-            left = quota - p.passes * have
+            left = round(quota - p.passes * have)
             for b in rng.permutation(sorted(blocks)):
                 if left <= 0:
                     break
-                p.partial[int(b)] = min(1.0, left / blocks[b]) if blocks[b] else 1.0
+                p.partial[int(b)] = min(left, blocks[b])
                 left -= blocks[b]
         plans.append(p)
     return plans
@@ -88,68 +93,81 @@ def split_tree(counts: np.ndarray, shards: int, rng: np.random.Generator) -> np.
     return np.vstack([split_tree(take, left, rng), split_tree(counts - take, shards - left, rng)])
 
 
-def draws(plans: list[SourcePlan], blocks: dict[str, list[int]], shards: int, seed: int = SEED) -> list[tuple[str, int, int, float, int]]:
-    """(source, block, copy, part of the block, shard), every block of every pass once."""
-    rng, rows = np.random.default_rng(seed + 1), []
+def draws(plans: list[SourcePlan], block_tokens: dict[tuple[str, int], int], shards: int, seed: int = SEED) -> list[tuple[str, int, int, int, int]]:
+    """(source, block, copy, tokens to take, shard), every block of every pass once."""
+    rng, rows, own = np.random.default_rng(seed + 1), [], {}
+    for (s, b), n in block_tokens.items():
+        own.setdefault(s, {})[b] = n
     for copy in range(max([p.passes + bool(p.partial) for p in plans], default=0)):
-        use = [{b: 1.0 for b in blocks.get(p.source, [])} if copy < p.passes else p.partial if copy == p.passes else {} for p in plans]
+        use = [own.get(p.source, {}) if copy < p.passes else p.partial if copy == p.passes else {} for p in plans]
         table = split_tree(np.array([len(u) for u in use], np.int64), shards, rng)
         for k, p in enumerate(plans):
             order, at = rng.permutation(sorted(use[k])), 0
             for shard in range(shards):
                 for b in order[at : at + table[shard, k]]:
-                    rows.append((p.source, int(b), copy, float(use[k][int(b)]), shard))
+                    rows.append((p.source, int(b), copy, int(use[k][int(b)]), shard))
                 at += table[shard, k]
     return rows
 
 
-def planned(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataFrame, list[SourcePlan], dict[str, list[int]]]:
-    """(sized records, plans, blocks by source). The sizes are written once to the shared folder, as plan and mix both read them."""
-    records = cut(sized(documents, vocabulary))
-    return records, *planned_from(records, targets)
+@dataclass
+class Mix:
+    """A mix as it was drawn: (shard, place, doc_id, source, copy, n_tokens) of its records, and the plans it follows."""
+
+    records: DataFrame
+    plans: list[SourcePlan]
 
 
-def planned_from(records: DataFrame, targets: DataFrame) -> tuple[list[SourcePlan], dict[str, list[int]]]:
+def drawn(documents: DataFrame, targets: DataFrame, shards: int = 16, vocabulary: str = VOCABULARY) -> Mix:
+    """Plans and draws a mix as large in tokens as all documents. The sizes are written once to the shared folder, as plan and draw both read them."""
+    spark = documents.sparkSession
+    sizes = cut(sized(documents, vocabulary, blocks_for(shards)))
     wanted = targets_of(targets)
     named = F.when(F.col("source").isin([s for s, _, _ in wanted]), F.col("source"))
-    sums = {(r[0], r[1]): r[2] for r in records.groupBy(named.alias("source"), "block").agg(F.sum("n_tokens")).collect()}
-    blocks: dict[str, list[int]] = {}
-    for s, b in sums:
-        if s is not None:
-            blocks.setdefault(s, []).append(b)
-    return plan({k: v for k, v in sums.items() if k[0] is not None}, sum(sums.values()), wanted), blocks
+    sums = {(r[0], r[1]): r[2] for r in sizes.groupBy(named.alias("source"), "block").agg(F.sum("n_tokens")).collect()}
+    own = {k: v for k, v in sums.items() if k[0] is not None}
+    plans = plan(own, sum(sums.values()), wanted)
+    rows = [(*r, r[3] < own[r[0], r[1]]) for r in draws(plans, own, shards)]
+    schema = "source string, block int, copy int, take bigint, shard int, part boolean"
+    uses = spark.createDataFrame(rows, schema)
+    met = sizes.join(small(uses), ["source", "block"])
+    # only the one block of a source that is cut needs the running sum of its records
+    before = F.sum("n_tokens").over(Window.partitionBy("source", "block", "copy").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    part = met.filter("part").withColumn("before", F.coalesce(before, F.lit(0))).filter("before < take").drop("before")
+    columns = ["shard", F.xxhash64("place", "copy", F.lit(SEED)).alias("place"), "doc_id", "source", "copy", "n_tokens"]
+    return Mix(met.filter("not part").select(*columns).unionByName(part.select(*columns)), plans)
 
 
 def mix(documents: DataFrame, targets: DataFrame, shards: int = 16, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(shard, position, doc_id, source, copy, n_tokens): the mix; positions are hashes that order a shard at random."""
-    records, plans, blocks = planned(documents, targets, vocabulary)
-    rows = draws(plans, blocks, shards)
-    uses = documents.sparkSession.createDataFrame(rows or [("", -1, 0, 0.0, 0)], "source string, block int, copy int, part double, shard int")
-    drawn = records.join(small(uses), ["source", "block"]).filter(F.col("grain") < F.col("part") * GRAIN)
-    return drawn.select("shard", F.xxhash64("doc_id", "copy", F.lit(SEED)).alias("position"), "doc_id", "source", "copy", "n_tokens")
+    """(shard, position, doc_id, source, copy, n_tokens): the mix, each shard in one partition and there in random order."""
+    found = drawn(documents, targets, shards, vocabulary).records.withColumnRenamed("place", "position")
+    return found.repartition("shard").sortWithinPartitions("shard", "position")
 
 
-def shares(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(source, target_share, actual_share, n_tokens, n_records, most_uses, reachable) of the mix that was really drawn."""
-    records, plans, blocks = planned(documents, targets, vocabulary)
-    spark = documents.sparkSession
-    uses = spark.createDataFrame(draws(plans, blocks, 1) or [("", -1, 0, 0.0, 0)], "source string, block int, copy int, part double, shard int")
-    drawn = records.join(small(uses), ["source", "block"]).filter(F.col("grain") < F.col("part") * GRAIN)
-    got = drawn.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_records"), (F.max("copy") + 1).alias("most_uses"))
-    wanted = spark.createDataFrame([(p.source, p.share, p.reachable) for p in plans], "source string, target_share double, reachable boolean")
-    whole = F.sum(F.coalesce("n_tokens", F.lit(0))).over(_all())
-    joined = wanted.join(got, "source", "left")
-    return joined.select("source", "target_share", (F.coalesce("n_tokens", F.lit(0)) / whole).alias("actual_share"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), F.coalesce("n_records", F.lit(0)).alias("n_records"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"), "reachable")
+def write_mix(documents: DataFrame, targets: DataFrame, path: str, shards: int = 16, vocabulary: str = VOCABULARY) -> None:
+    """The mix with its texts, one folder per shard, records in their shuffled order."""
+    chosen = drawn(documents, targets, shards, vocabulary).records.withColumnRenamed("place", "position")
+    whole = chosen.join(documents.select("doc_id", "text"), "doc_id")
+    whole.repartition("shard").sortWithinPartitions("shard", "position").write.partitionBy("shard").parquet(path)
 
 
-def _all():
-    from pyspark.sql import Window
+def shares(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(source, target_share, actual_share, n_tokens, n_records, most_uses, reachable) of the mix that was really drawn.
 
-    return Window.partitionBy(F.lit(0))  # one row per source
+    A source is reachable if its draw falls short of its quota by less than its largest record.
+    """
+    made = drawn(documents, targets, 1, vocabulary)
+    spark = documents.sparkSession
+    got = made.records.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_records"), (F.max("copy") + 1).alias("most_uses"), F.max("n_tokens").alias("largest"))
+    wanted = spark.createDataFrame([(p.source, p.share, p.quota) for p in made.plans], "source string, target_share double, quota double")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    whole = F.sum(zero("n_tokens")).over(Window.partitionBy(F.lit(0)))  # one row per source
+    joined = wanted.join(got, "source", "left")
+    reachable = F.col("quota") - zero("n_tokens") <= zero("largest")
+    return joined.select("source", "target_share", (zero("n_tokens") / whole).alias("actual_share"), zero("n_tokens").alias("n_tokens"), zero("n_records").alias("n_records"), zero("most_uses").alias("most_uses"), reachable.alias("reachable"))
 
 
 def p9_found(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Sources, spelled as in the targets, that can't reach their share within their cap."""
-    plans, _ = planned_from(sized(documents, vocabulary), targets)
-    short = [p.source for p in plans if not p.reachable]
-    return targets.filter(source_key(F.col("source")).isin(short)).select("source").distinct()
+    """Sources, spelled as in the targets, whose draw falls short of their quota though it uses every record as often as it may."""
+    short = shares(documents, targets, vocabulary).filter("not reachable").select(F.col("source").alias("key"))
+    return targets.join(small(short), source_key(F.col("source")) == F.col("key"), "left_semi").select("source").distinct()

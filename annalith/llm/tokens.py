@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, types as T
 
 from ..session import map_arrow
@@ -62,10 +63,15 @@ def counter(path: str = VOCABULARY):
 
 def with_tokens(rows: DataFrame, text: str = "text", out: str = "n_tokens", vocabulary: str = VOCABULARY) -> DataFrame:
     """Replaces the text by its number of tokens; 0 for a null text."""
+    sc = rows.sparkSession.sparkContext
+    if vocabulary not in getattr(sc, "_annalith_files", ()):
+        sc.addFile(vocabulary)  # the workers read their own copy
+        sc._annalith_files = (*getattr(sc, "_annalith_files", ()), vocabulary)
+    name = os.path.basename(vocabulary)
     schema = T.StructType([*(f for f in rows.schema.fields if f.name not in (text, out)), T.StructField(out, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(vocabulary)
+        count = counter(SparkFiles.get(name))
         for b in batches:
             at = b.schema.get_field_index(text)
             n = [count(x.as_py()) if x.is_valid else 0 for x in b.column(at)]
