@@ -6,15 +6,16 @@ each a query. Block-max WAND retrieves all items at or above a threshold, and an
 follows. The threshold loses nothing: it is, per item, the least score of any of its runs of RUN words,
 so a passage that holds such a run reaches it.
 
-The index is small by nature (the held-out items) and shipped to the workers in blocks of at most
-INDEX_WORDS words of items, however many items there are; the corpus never leaves its partitions.
+The held-out items are indexed in blocks of at most INDEX_WORDS words, however many items there are and however
+long they are: a longer item is indexed in pieces that overlap by RUN - 1 words. A block is a handful of arrays,
+some 40 bytes a word, besides its vocabulary; each is built on the driver and shipped to the workers. The corpus
+never leaves its partitions; it is read once per block.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ PASSAGE, STRIDE = 45, 30
 """Words per passage and from one to the next: any run of RUN words lies in one passage."""
 BLOCK = 8
 """Postings per block of a list."""
-INDEX_WORDS = 2_000_000
+INDEX_WORDS = 4_000_000
 K1, B = 1.2, 0.75
 SLICE_CHARS = 1 << 20
 """Texts are worked on in slices of about so many characters; a longer text is one slice."""
@@ -44,55 +45,101 @@ def words_of(text: str) -> list[str]:
     return text.translate(ASCII_WORDS).split() if text.isascii() else WORD.findall(text.lower())
 
 
-def shingle_keys(ids: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each SHINGLE ids in a row."""
-    n = len(ids) - SHINGLE + 1
+def run_keys(ids: np.ndarray, length: int = SHINGLE) -> np.ndarray:
+    """A 64-bit key of each ``length`` ids in a row."""
+    n = len(ids) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     x = ids.astype(np.uint64)
     keys = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
+    for k in range(length):
         keys = (keys + x[k : k + n]) * MULTIPLIER
         keys ^= keys >> np.uint64(29)
     return keys
 
 
 class ItemIndex:
-    """Inverted index of items with block maxima and lossless per-item thresholds."""
+    """Inverted index of items with block maxima and lossless per-item thresholds, all in arrays.
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.item_ids, self.words = [], {}
-        ids_of = []
+    ``pointer`` has where the postings of each term begin, ``post_item`` and ``post_weight`` the postings by term and
+    item, ``block_pointer`` where the blocks of each term begin, ``block_last`` and ``block_best`` their last items and
+    largest weights. ``flat`` has the words of all items; ``run_key`` the keys of all runs of RUN words in order, and
+    ``run_at`` where they begin in ``flat``.
+    """
+
+    def __init__(self, items: list[tuple[int, str]] | list[tuple[int, list[str]]]):
+        self.words: dict[str, int] = {}
+        ids_of, own = [], []
         for item_id, text in items:
-            ids = np.array([self.words.setdefault(w, len(self.words) + 1) for w in words_of(text or "")], np.int64)
+            words = words_of(text or "") if not isinstance(text, list) else text
+            ids = np.array([self.words.setdefault(w, len(self.words) + 1) for w in words], np.int32)
             if len(ids) >= RUN:
-                self.item_ids.append(item_id)
+                own.append(item_id)
                 ids_of.append(ids)
-        per_item = [shingle_keys(ids) for ids in ids_of]
-        self.keys = np.unique(np.concatenate(per_item)) if per_item else np.zeros(0, np.uint64)
-        terms = [np.searchsorted(self.keys, k) for k in per_item]
-        postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        n, mean = len(terms), (sum(map(len, terms)) / len(terms) if terms else 1)
-        df = Counter(t for ts in terms for t in set(ts.tolist()))
+        self.item_ids = own
+        n = len(own)
+        per_item = [run_keys(ids) for ids in ids_of]
+        self.keys = np.unique(np.concatenate(per_item)) if n else np.zeros(0, np.uint64)
+        sizes = np.array([len(k) for k in per_item], np.int64)
+        term = np.searchsorted(self.keys, np.concatenate(per_item)) if n else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(n), sizes)
+        pairs, back, tf = np.unique(term * max(n, 1) + owner, return_inverse=True, return_counts=True)
+        terms, self.post_item = pairs // max(n, 1), (pairs % max(n, 1)).astype(np.int32)
+        df = np.bincount(terms, minlength=len(self.keys))
+        self.pointer = np.concatenate(([0], np.cumsum(df)))
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        length = sizes / (sizes.mean() if n else 1)
+        self.post_weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.post_item])) if n else np.zeros(0)
+        blocks = -(-df // BLOCK)
+        self.block_pointer = np.concatenate(([0], np.cumsum(blocks)))
+        inner = np.arange(int(blocks.sum())) - np.repeat(self.block_pointer[:-1], blocks)
+        begins = np.repeat(self.pointer[:-1], blocks) + inner * BLOCK
+        ends = np.minimum(begins + BLOCK, np.repeat(self.pointer[1:], blocks))
+        self.block_last = self.post_item[ends - 1]
+        self.block_best = np.maximum.reduceat(self.post_weight, begins) if len(begins) else np.zeros(0)
+        self.best = np.maximum.reduceat(self.block_best, self.block_pointer[:-1]) if n else np.zeros(0)
         self.threshold = np.zeros(n)
-        for i, ts in enumerate(terms):
-            weight = {}
-            for t, tf in Counter(ts.tolist()).items():
-                idf = math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
-                weight[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ts) / mean))
-                postings[t].append((i, weight[t]))
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        for i in range(n):
+            own_terms, weight = term[at[i] : at[i + 1]], self.post_weight[back[at[i] : at[i + 1]]]
+            # of a term that is there twice in a run only the first counts
+            order = np.argsort(own_terms, kind="stable")
+            earlier = np.full(len(own_terms), -1)
+            again = np.flatnonzero(own_terms[order][1:] == own_terms[order][:-1]) + 1
+            earlier[order[again]] = order[again - 1]
             width = RUN - SHINGLE + 1
-            self.threshold[i] = min(sum(weight[t] for t in set(ts[s : s + width].tolist())) for s in range(len(ts) - width + 1)) - 1e-9
-        self.lists = {t: ([i for i, _ in p], [w for _, w in p], [(p[min(k + BLOCK, len(p)) - 1][0], max(w for _, w in p[k : k + BLOCK])) for k in range(0, len(p), BLOCK)]) for t, p in postings.items()}
-        self.best = np.array([max(self.lists[t][1]) for t in range(len(self.keys))]) if n else np.zeros(0)
+            view = np.lib.stride_tricks.sliding_window_view
+            fresh = view(earlier, width) < np.arange(len(own_terms) - width + 1)[:, None]
+            self.threshold[i] = (view(weight, width) * fresh).sum(axis=1).min() - 1e-9
         self.least = float(self.threshold.min()) if n else math.inf
-        self.runs = [{tuple(ids[s : s + RUN].tolist()) for s in range(len(ids) - RUN + 1)} for ids in ids_of]
+        self.flat = np.concatenate(ids_of) if n else np.zeros(0, np.int32)
+        self.begins = np.concatenate(([0], np.cumsum([len(x) for x in ids_of]))).astype(np.int64)
+        runs = [run_keys(ids, RUN) for ids in ids_of]
+        where = np.concatenate([self.begins[i] + np.arange(len(r)) for i, r in enumerate(runs)]) if n else np.zeros(0, np.int64)
+        key = np.concatenate(runs) if n else np.zeros(0, np.uint64)
+        order = np.argsort(key, kind="stable")
+        self.run_key, self.run_at = key[order], where[order].astype(np.int32 if len(self.flat) < 1 << 31 else np.int64)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
+    def postings(self, t: int) -> tuple[list[int], list[float], list[tuple[int, float]]]:
+        """Items and weights of a term, and (last item, largest weight) of each block."""
+        own, blocks = slice(self.pointer[t], self.pointer[t + 1]), slice(self.block_pointer[t], self.block_pointer[t + 1])
+        return self.post_item[own].tolist(), self.post_weight[own].tolist(), list(zip(self.block_last[blocks].tolist(), self.block_best[blocks].tolist()))
+
+    def holds(self, item: int, window: np.ndarray) -> bool:
+        """Whether the words hold RUN consecutive ones of the item: looked up by key, then compared word by word."""
+        keys = run_keys(window, RUN)
+        low, high = np.searchsorted(self.run_key, keys), np.searchsorted(self.run_key, keys, side="right")
+        for k in np.flatnonzero(high > low):
+            for at in self.run_at[low[k] : high[k]]:
+                if self.begins[item] <= at < self.begins[item + 1] and (self.flat[at : at + RUN] == window[k : k + RUN]).all():
+                    return True
+        return False
+
     def search(self, terms: list[int]) -> list[int]:
         """Items whose score over the distinct terms reaches their threshold, by block-max WAND."""
-        cursors = [[0, self.lists[t], self.best[t]] for t in terms]
+        cursors = [[0, self.postings(t), self.best[t]] for t in terms]
         found = []
         while cursors:
             cursors.sort(key=lambda c: c[1][0][c[0]])
@@ -134,7 +181,7 @@ class ItemIndex:
         if not self.item_ids or not ids:
             return []
         flat = np.array(ids, np.int64)
-        keys = shingle_keys(flat)
+        keys = run_keys(flat)
         at = np.flatnonzero(self.maybe[(keys >> np.uint64(44)).astype(np.int64)])
         term = np.searchsorted(self.keys, keys[at])
         known = self.keys[np.minimum(term, len(self.keys) - 1)] == keys[at]
@@ -161,8 +208,7 @@ class ItemIndex:
             d, begin = int(owner[s]), int(bounds[owner[s]] + passage[s] * STRIDE)
             for item in self.search(sorted(set(term[index[s:e]].tolist()))):
                 if (d, self.item_ids[item]) not in out:
-                    window = ids[begin : min(begin + PASSAGE, int(bounds[d + 1]))]
-                    if any(tuple(window[k : k + RUN]) in self.runs[item] for k in range(len(window) - RUN + 1)):
+                    if self.holds(item, flat[begin : min(begin + PASSAGE, int(bounds[d + 1]))]):
                         out.add((d, self.item_ids[item]))
         return sorted(out)
 
@@ -193,19 +239,24 @@ def slices(batches: Iterator[pa.RecordBatch], chars: int = SLICE_CHARS) -> Itera
         yield keys, texts, more
 
 
-def item_blocks(items: DataFrame, words: int = INDEX_WORDS) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(items: DataFrame, words: int | None = None) -> Iterator[list[tuple[int, list[str]]]]:
+    """(item_id, words) of all items, in blocks of at most so many words; a longer item comes in pieces that share RUN - 1 words."""
+    limit = INDEX_WORDS if words is None else words
     block, size = [], 0
     for r in items.select("item_id", "text").filter("text is not null and item_id is not null").orderBy("item_id").toLocalIterator():
-        block.append((r[0], r[1]))
-        size += len(r[1]) // 4
-        if size >= words:
-            yield block
-            block, size = [], 0
+        own = words_of(r[1])
+        for a in range(0, max(1, len(own) - RUN + 1), max(1, limit - RUN + 1)):
+            piece = own[a : a + limit]
+            if block and size + len(piece) > limit:
+                yield block
+                block, size = [], 0
+            block.append((r[0], piece))
+            size += len(piece)
     yield block
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id): the document holds at least RUN consecutive words of the item; each pair once per document row.
+    """(doc_id, item_id): the document holds at least RUN consecutive words of the item; each pair once.
 
     Null and short texts hold none. Items of fewer than RUN words leak never.
     """
@@ -221,7 +272,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
 
         part = map_arrow(rows, run, "doc_id bigint, item_id bigint")
         found = part if found is None else found.unionByName(part)
-    return found
+    return found.distinct()
 
 
 def p8_found(documents: DataFrame, items: DataFrame) -> DataFrame:
