@@ -19,6 +19,7 @@ are written to the shared folder; the rest works on these.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,8 +37,10 @@ LIMIT_TEXTS, NEAR, SIGMAS = 5, 16, 6.0
 """A length is a limit if at least so many different texts have it, and more than is usual among so many lengths to either side by so many deviations."""
 EXCESS = 4.0
 """Times more often than inside texts that a shape must end texts to tell of cuts."""
-CLOSING_SHARE, CLOSING_LINES, CLOSING_LENGTH = 0.0005, 2, 60
-"""Share and number of texts that a closing line must end, and its greatest length."""
+CLOSING_SHARE, CLOSING_LINES = 0.0005, 2
+"""Share and number of texts that a closing line must end."""
+LINE_AS_WRITTEN = 60
+"""Longer lines are compared by a hash of 128 bits."""
 WORD_SHARE, WORD_TIMES = 0.0002, 2
 """A word is known if it occurs, but for ends of texts, so often per document and at least so many times."""
 
@@ -147,6 +150,10 @@ def lengths(text: str) -> list[int]:
     return [n, size, 2 * (n + astral), n + lines, size + lines, size + escaped, n + escaped + wide, n + marked, n + marked + 5 * quotes + 5 * text.count("'")]
 
 
+def line_key(line: str) -> str:
+    return line if len(line) <= LINE_AS_WRITTEN else "#" + hashlib.blake2b(line.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
 SCHEMA = "doc_id bigint, source string, text_hash bigint, lengths array<bigint>, shape string, word string, line string, what string, n bigint"
 
 
@@ -180,7 +187,7 @@ def scan(documents: DataFrame) -> DataFrame:
                 else:
                     form = shape(kind, line)
                 t = line.strip()
-                out.append((doc_id, source, text_hash, lengths(text), form, word, t if kind == "prose" and t and not t[-1].isalnum() and len(t) <= CLOSING_LENGTH else None, "text", 1))
+                out.append((doc_id, source, text_hash, lengths(text), form, word, line_key(t) if kind == "prose" and t and not t[-1].isalnum() else None, "text", 1))
             out += [(None, None, None, None, s, None, None, "shape", n) for s, n in inner.items()]
             out += [(None, None, None, None, None, w, None, "word", n) for w, n in words.items() if n > 0]
             out += [(None, None, None, None, None, w, None, "end", n) for w, n in last_words.items()]
@@ -247,7 +254,11 @@ def judged(documents: DataFrame) -> DataFrame:
     rates = finals.join(inner, "shape", "left").select("shape", F.coalesce("inner_n", F.lit(0)).alias("inner_n"), "final_n")
     limited = limits(texts).groupBy(F.col("source").alias("of")).agg(F.collect_list(F.struct("encoding", "at_length")).alias("limits"))
     joined = texts.withColumn("of", F.coalesce("source", F.lit(""))).join(small(limited), "of", "left").join(rates, "shape").join(known, "word", "left").join(closes, "line", "left")
-    at_limit = F.coalesce(F.exists("limits", lambda x: F.get("lengths", x["encoding"]) == x["at_length"]), F.lit(False))
+    # a limit in bytes may fall into a character, of which up to three bytes are then lost
+    wide = F.get("lengths", F.lit(ENCODINGS.index("characters"))) != F.get("lengths", F.lit(ENCODINGS.index("utf8")))
+    in_bytes = [ENCODINGS.index(e) for e in ("utf8", "utf8_crlf", "json")]
+    reaches = lambda x: F.get("lengths", x["encoding"]).between(x["at_length"] - F.when(wide & x["encoding"].isin(in_bytes), 3).otherwise(0), x["at_length"])
+    at_limit = F.coalesce(F.exists("limits", reaches), F.lit(False))
     whole = F.col("shape").isin("fence", "record", "empty")
     sentence = F.col("shape").isin("prose .", "prose !", "prose ?", "prose :")
     closing_line = F.coalesce("closes", F.lit(False)) & ~sentence

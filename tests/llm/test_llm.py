@@ -249,6 +249,23 @@ def test_all_limits_of_a_source_are_found(spark):
     assert truncation.distinct_limits([([(0, 9), (1, 9)], 8), ([(1, 9)], 3), ([(0, 9)], 6)], {(0, 9): 4, (1, 9): 4}) == [(0, 9)]
 
 
+def test_a_byte_limit_inside_a_character(spark):
+    """Texts cut at 400 bytes, some of them inside a character of which nothing is left."""
+    rng, made = random.Random(3), []
+    for i in range(60):
+        text = "".join(rng.choice("ab é€𝄞") for _ in range(300)).encode()[:400].decode("utf-8", "ignore")
+        made.append((i, text, "s"))
+    made += [(100 + i, "ab " * (i + 20), "s") for i in range(60)]
+    at = {r.doc_id for r in truncation.judged(docs(spark, *made)).filter("at_limit").collect()}
+    assert {len(t.encode()) for _, t, _ in made[:60]} >= {399, 400} and at >= set(range(60))
+
+
+def test_long_closing_lines_are_known(spark):
+    line = "This notebook was exported by the archive of the project and may be used by everyone who names its authors"
+    df = docs(spark, *((i, f"{'we ' * (i + 3)}use it\n\n{line}:)", "s") for i in range(6)))
+    assert {r.truncated for r in truncation.judged(df).collect()} == {False}
+
+
 def test_endings_of_odd_texts(spark):
     df = docs(spark, (1, None, "s"), (2, "", "s"), (3, "A whole sentence.", None), (4, "```python\nx = 1", "s"), (5, '{"cell": "code", "n": 1, "body": "x"}\n', "s"), (6, '{"cell": "code", "n": 1, "bo', "s"), (7, "word " * 50_000 + "end.", "s"))
     got = {r.doc_id: r.truncated for r in truncation.judged(df).collect()}
