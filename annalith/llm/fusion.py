@@ -60,24 +60,25 @@ def site_codes(sites: DataFrame) -> list[str]:
 
 
 def claims(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """(key, field_name, value, voters, best): per item and value the ids of the sources that claim it, in order, and the first of its rows by trust.
+    """(key, field, value, voters, best): per item and value the ids of the sources that claim it, in order, and the first of its rows by trust.
 
-    Values are compared trimmed and without case. Sources are numbered by name from 1; rows of unknown sources vote as source 0.
+    Values are compared trimmed and without case; ``field`` is the place in FIELDS. Sources are numbered by name
+    from 1; rows of unknown sources vote as source 0.
     """
     ids = rows.sparkSession.createDataFrame([(s, k + 1) for k, s in enumerate(site_codes(sites))], "site_code string, voter int")
-    stacked = ranked(rows.join(small(ids), "site_code", "left"), sites, "voter").select("key", F.coalesce("voter", F.lit(0)).alias("voter"), "best", F.inline(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("as_written")) for f in FIELDS))))
-    told = stacked.filter("as_written is not null").withColumn("value", F.lower("as_written"))
-    return told.groupBy("key", "field_name", "value").agg(F.array_sort(F.collect_set("voter")).alias("voters"), F.max(F.struct("best", "as_written")).alias("r")).select("key", "field_name", "value", "voters", "r.best", "r.as_written")
+    stacked = ranked(rows.join(small(ids), "site_code", "left"), sites, "voter").select("key", F.coalesce("voter", F.lit(0)).alias("voter"), "best", F.posexplode(F.array(*(F.lower(F.col(f)) for f in FIELDS))).alias("field", "value"))
+    return stacked.filter("value is not null").groupBy("key", F.col("field").cast("tinyint").alias("field"), "value").agg(F.array_sort(F.collect_set("voter")).alias("voters"), F.max("best").alias("best"))
 
 
-def patterns_of(voted: DataFrame) -> DataFrame:
-    """(key, field_name, pattern, n_values): the item's distinct voter sets, each with the number of its values.
+def items_of(claimed: DataFrame) -> DataFrame:
+    """(key, field, groups, pattern): the item's distinct voter sets in order, as (voters, n, best, value): how many values have them, the first row by trust and the least value; the pattern is (voters, n) alone.
 
     Values are counted per voter set first, so an item of any number of values has at most one entry per
     set of sources.
     """
-    sets = voted.groupBy("key", "field_name", "voters").agg(F.count("*").alias("n"))
-    return sets.groupBy("key", "field_name").agg(F.sort_array(F.collect_list(F.struct("voters", "n"))).alias("pattern"), F.sum("n").alias("n_values"))
+    sets = claimed.groupBy("key", "field", "voters").agg(F.count("*").alias("n"), F.max("best").alias("best"), F.min("value").alias("value"))
+    items = sets.groupBy("key", "field").agg(F.sort_array(F.collect_list(F.struct("voters", "n", "best", "value"))).alias("groups"))
+    return items.withColumn("pattern", F.transform("groups", lambda g: F.struct(g["voters"].alias("voters"), g["n"].alias("n"))))
 
 
 def _chance(log_odds: float) -> float:
@@ -171,7 +172,7 @@ def read_patterns(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[Pattern, in
 
 
 def estimated(items: DataFrame, n_sources: int) -> tuple[list[float], dict[tuple[int, int], float], DataFrame]:
-    """(accuracy, copies, (pattern, voters, posterior) of every pattern)."""
+    """(accuracy, copies, (pattern, posteriors) of every pattern, one for each of its voter sets)."""
     ship(items.sparkSession)
     patterns = cut(items.groupBy("pattern").agg(F.count("*").alias("n_items")))
 
@@ -186,18 +187,20 @@ def estimated(items: DataFrame, n_sources: int) -> tuple[list[float], dict[tuple
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [([{"voters": g, "n": k} for g, k in p], e[0], q) for p, _ in read_patterns([batch]) for e, q in zip(p, model.posterior(p))]
-            yield pd.DataFrame(made, columns=["pattern", "voters", "posterior"])
+            made = [([{"voters": g, "n": k} for g, k in p], model.posterior(p)) for p, _ in read_patterns([batch])]
+            yield pd.DataFrame(made, columns=["pattern", "posteriors"])
 
-    return accuracy, copies, patterns.mapInPandas(run, "pattern array<struct<voters:array<int>,n:bigint>>, voters array<int>, posterior double")
+    return accuracy, copies, patterns.mapInPandas(run, "pattern array<struct<voters:array<int>,n:bigint>>, posteriors array<double>")
 
 
 def judged(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """(key, field_name, value, as_written, best, posterior, n_values) of every claimed value."""
-    voted = cut(claims(rows, sites))  # it is read for the patterns and for the values
-    items = cut(patterns_of(voted))
+    """(key, field_name, n_values, groups) of every item, a group being (best, posterior, value) of the values of one voter set."""
+    items = cut(items_of(claims(rows, sites)))  # it is read for the patterns and for the posteriors
     _, _, scored = estimated(items, len(site_codes(sites)) + 1)
-    return voted.join(items, ["key", "field_name"]).join(small(scored), ["pattern", "voters"]).drop("pattern", "voters")
+    names = F.array(*(F.lit(f) for f in FIELDS))
+    joined = items.join(small(scored), "pattern")
+    groups = F.zip_with("groups", "posteriors", lambda g, p: F.struct(g["best"].alias("best"), p.alias("posterior"), g["value"].alias("value")))
+    return joined.select("key", F.get(names, F.col("field")).alias("field_name"), F.aggregate("pattern", F.lit(0).cast("bigint"), lambda n, g: n + g["n"]).alias("n_values"), groups.alias("groups"))
 
 
 def fuse(rows: DataFrame, sites: DataFrame) -> DataFrame:
@@ -205,19 +208,18 @@ def fuse(rows: DataFrame, sites: DataFrame) -> DataFrame:
 
     Items without any value have no row.
     """
-    best = F.min(F.struct((-F.col("posterior")).alias("p"), "value", "n_values")).alias("b")
-    return judged(rows, sites).groupBy(F.col("key").alias("key_hash"), "field_name").agg(best).select("key_hash", "field_name", F.col("b.value").alias("value"), (-F.col("b.p")).alias("posterior"), F.col("b.n_values").alias("n_values"))
+    top = F.array_min(F.transform("groups", lambda g: F.struct((-g["posterior"]).alias("p"), g["value"].alias("value"))))
+    return judged(rows, sites).withColumn("b", top).select(F.col("key").alias("key_hash"), "field_name", F.col("b.value").alias("value"), (-F.col("b.p")).alias("posterior"), "n_values")
 
 
 def survivors(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """(key_hash, field_name, row_id, value, posterior, n_values): the same under the order of trust as prior, for keys with two or more rows.
+    """(key_hash, field_name, row_id, posterior, n_values): the same under the order of trust as prior, for keys with two or more rows.
 
-    row_id is the row that supplies the value, as it is written there. A field that no row has is left out.
+    row_id is the row that supplies the value. A field that no row has is left out.
     """
-    first = F.max(F.struct("best", "posterior", "as_written", "n_values")).alias("b")
-    chosen = judged(rows, sites).groupBy("key", "field_name").agg(first)
+    chosen = judged(rows, sites).withColumn("b", F.array_max(F.transform("groups", lambda g: F.struct(g["best"].alias("best"), g["posterior"].alias("posterior")))))
     repeated = rows.select(folded(F.col("key_hash")).alias("key")).filter("key is not null").groupBy("key").agg(F.count("*").alias("n")).filter("n >= 2").select("key")
-    return chosen.join(repeated, "key", "left_semi").select(F.col("key").alias("key_hash"), "field_name", F.col("b.best.row_id").alias("row_id"), F.col("b.as_written").alias("value"), F.col("b.posterior").alias("posterior"), F.col("b.n_values").alias("n_values"))
+    return chosen.join(repeated, "key", "left_semi").select(F.col("key").alias("key_hash"), "field_name", F.col("b.best.row_id").alias("row_id"), F.col("b.posterior").alias("posterior"), "n_values")
 
 
 def p5_found(rows: DataFrame, sites: DataFrame) -> DataFrame:
@@ -227,7 +229,7 @@ def p5_found(rows: DataFrame, sites: DataFrame) -> DataFrame:
 def source_accuracy(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """(source, accuracy, copies_with, dependence): estimated accuracy, and the source it most likely shares copies with."""
     codes = site_codes(sites)
-    accuracy, copies, _ = estimated(patterns_of(claims(rows, sites)), len(codes) + 1)
+    accuracy, copies, _ = estimated(items_of(claims(rows, sites)), len(codes) + 1)
     names, out = ["(none)", *codes], []
     for k, name in enumerate(names):
         near = max(((q, b if a == k else a) for (a, b), q in copies.items() if k in (a, b)), default=(0.0, None))
