@@ -156,3 +156,106 @@ def running_distinct(df: DataFrame, by: Sequence[str], value: str, out: str) ->
     """Distinct non-null values per group on every row; they fold to one number per group before they meet the rows."""
     counts = df.groupBy(*by).agg(F.countDistinct(value).alias("__n"))
     return met(df, counts, by).select(*df.columns, F.col("__n").cast("bigint").alias(out))
+
+
+def hospital_events(stays: DataFrame, procedures: DataFrame, entity: str, tags: dict[str, str], primary: str = "ADT", secondary: str = "PROCEDURE") -> DataFrame:
+    """(entity, at, tag, type, source): admissions and discharges of stays, and procedures by the tag of their code, each once.
+
+    stays: entity, admit_ts, discharge_ts, type. procedures: entity, at, code; codes without a tag are left out.
+    """
+    side = lambda at, tag: stays.select(entity, F.col(at).alias("at"), F.lit(tag).alias("tag"), "type", F.lit(primary).alias("source")).dropna()
+    table = F.create_map(*(F.lit(x) for pair in tags.items() for x in pair))
+    other = procedures.select(entity, "at", F.element_at(table, F.col("code")).alias("tag"), F.col("code").alias("type"), F.lit(secondary).alias("source")).filter("tag is not null")
+    union = side("admit_ts", "initial hospital").unionByName(side("discharge_ts", "discharge")).unionByName(other)
+    return union.groupBy(entity, "at", "tag", "source").agg(F.min("type").alias("type")).select(entity, "at", "tag", "type", "source")
+
+
+#: Tags of events as the episode rules count them.
+EPISODE_TAGS = {"initial hospital": 1, "subsequent hospital": 0, "discharge": -1}
+
+
+def tagged(events: DataFrame) -> DataFrame:
+    """Events whose tag counts for episodes, with it as a number."""
+    table = F.create_map(*(F.lit(x) for pair in EPISODE_TAGS.items() for x in pair))
+    return events.withColumn("tag", F.element_at(table, F.col("tag"))).filter("tag is not null")
+
+
+def with_ages(cycles: DataFrame, births: DataFrame, entity: str) -> DataFrame:
+    """Cycles with the ages at start and end, in years of 365.25 days; births: entity, birth (a date)."""
+    age = lambda at: (F.datediff(F.timestamp_seconds(at).cast("date"), F.col("birth")) / 365.25).cast("int")
+    return cycles.join(small(births), entity, "left").withColumns({"start_age": age("start_ts"), "end_age": age("end_ts")}).drop("birth")
+
+
+#: Prediction types by the role of their second entity.
+DRUG_TYPES = ("Therapeutic", "Adverse_Event", "Potential_Adverse_Event")
+STAGE_TYPES = ("Disease_Stage",)
+MARKER_TYPES = ("Negative_For_Biomarker", "Positive_For_Biomarker")
+DISEASE_TYPES = ("Has_Disease",)
+
+
+def association_facets(sentences: DataFrame, notes: DataFrame, least_score: float = 0.8, least_sentences: int = 2, span: tuple[int, int] = (-2_209_008_070, 1_988_150_399)) -> DataFrame:
+    """(entity_id, at_ts, disease, sentiment, drug, drug_relation, stage, marker, marker_relation): diseases of an entity with what the same sentences say of drugs, stages and markers.
+
+    Of drug relations the second entity is the disease, else the first. Pairs need enough different sentences of high
+    score. The three facets meet in full joins on sentence and disease. Times outside the span are null, the others are
+    floored to the day, and take the first time that ``notes`` (entity_id, at_ts) has of that entity and day, if it has one.
+    """
+    kinds = [*DISEASE_TYPES, *DRUG_TYPES, *STAGE_TYPES, *MARKER_TYPES]
+    good = sentences.filter((F.col("score") > least_score) & F.col("prediction_type").isin(kinds))
+    pair = ["entity_id", "prediction_type", "entity_1", "entity_2"]
+    support = good.groupBy(*pair).agg(F.countDistinct("sentence_hash").alias("__n")).filter(F.col("__n") >= least_sentences).drop("__n")
+    kind = F.col("prediction_type")
+    ts = F.when((F.col("published_ts") > span[0]) & (F.col("published_ts") <= span[1]), F.col("published_ts"))
+    routed = met(good, support, pair).select("entity_id", (ts - F.pmod(ts, F.lit(86_400))).alias("day_ts"), "sentence_hash", kind, F.when(kind.isin(*DRUG_TYPES), F.col("entity_2")).otherwise(F.col("entity_1")).alias("disease"), F.when(kind.isin(*DRUG_TYPES), F.col("entity_1")).otherwise(F.col("entity_2")).alias("other"))
+    facet = lambda types, *columns: routed.filter(kind.isin(*types)).select("sentence_hash", "disease", *columns).distinct()
+    drugs = facet(DRUG_TYPES, F.col("other").alias("drug"), kind.alias("drug_relation"))
+    stages = facet(STAGE_TYPES, F.col("other").alias("stage"))
+    markers = facet(MARKER_TYPES, F.col("other").alias("marker"), F.when(kind == "Positive_For_Biomarker", "Positive").otherwise("Negative").alias("marker_relation"))
+    said = drugs.join(stages, ["sentence_hash", "disease"], "full").join(markers, ["sentence_hash", "disease"], "full")
+    diseases = routed.filter(kind.isin(*DISEASE_TYPES)).select("entity_id", "day_ts", "sentence_hash", "disease", kind.alias("sentiment")).distinct()
+    joined = diseases.join(said, ["sentence_hash", "disease"], "left").drop("sentence_hash").distinct()
+    first = notes.groupBy("entity_id", (F.col("at_ts") - F.pmod("at_ts", F.lit(86_400))).alias("day_ts")).agg(F.min("at_ts").alias("__at"))
+    timed = met(joined, first, ["entity_id", "day_ts"], "left")
+    return timed.select("entity_id", F.coalesce("__at", "day_ts").alias("at_ts"), "disease", "sentiment", "drug", "drug_relation", "stage", "marker", "marker_relation").distinct()
+
+
+def rule_mapping(entities: DataFrame, variables: DataFrame, derived_type: int, state: int = 4) -> DataFrame:
+    """Rules to join measures with: entities that aren't excluded, of variables of a derived type and state; the display name, else the variable's name."""
+    good = variables.filter((F.col("derived_type") == derived_type) & (F.col("state") == state))
+    joined = entities.filter(~F.coalesce("excluded", F.lit(False))).join(small(good), "variable_id")
+    return joined.withColumn("display_name", F.coalesce("display_name", "variable_name")).drop("excluded", "derived_type", "state")
+
+
+def panels(tests: dict[str, DataFrame], required: Sequence[str], name: str = "test_id") -> DataFrame:
+    """The results of all panels with their test id, each row once; rows without the required values are left out. Panels may lack columns."""
+    union = None
+    for test, df in tests.items():
+        one = df.withColumn(name, F.lit(test))
+        union = one if union is None else union.unionByName(one, allowMissingColumns=True)
+    return union.dropna(subset=list(required)).distinct()
+
+
+def signal_ids(known: DataFrame, seen: DataFrame, key: Sequence[str], id_col: str) -> DataFrame:
+    """(id, key...) of all signals ever seen: old ones keep their id, new ones go on after the greatest in order of the key."""
+    from .enrich import refreshed_concepts
+
+    return refreshed_concepts(known, seen.dropna(subset=list(key)), key, id_col)
+
+
+def with_specimen(facts: DataFrame, specimens: DataFrame, on: Sequence[str], described: Sequence[str]) -> DataFrame:
+    """Facts that have a fully described specimen, once for each of its rows."""
+    return facts.join(specimens.dropna(subset=[*on, *described]).select(*on), list(on))
+
+
+def once_by_others(df: DataFrame, payload: Sequence[str]) -> DataFrame:
+    """One row for every combination of all columns but the payload, which may be maps or structs that can't be compared; which payload stays is that of the least JSON text."""
+    rest = [c for c in df.columns if c not in payload]
+    chosen = df.groupBy(*rest).agg(F.min_by(F.struct(*payload), F.to_json(F.struct(*payload))).alias("__p"))
+    return chosen.select(*(c if c in rest else F.col(f"__p.{c}").alias(c) for c in df.columns))
+
+
+def deaths(people: DataFrame, entity: str, deceased: str, at: str, birth: str) -> DataFrame:
+    """(entity, age): the deceased, each once, with the age at the earliest time of death; null where none is known."""
+    from .normalize import age_years
+
+    return people.filter(deceased).groupBy(entity).agg(F.min(age_years(F.col(at), F.col(birth))).alias("age"))

@@ -37,6 +37,18 @@ def reconcile(a: DataFrame, b: DataFrame, bucket: str) -> DataFrame:
     return joined.withColumn("equal", F.col("a_rows") == F.col("b_rows"))
 
 
+def row_ids_complete(df: DataFrame, bucket: str, row_id: str) -> DataFrame:
+    """(bucket, n, max_row_id, equal): whether the greatest row id of a bucket is its number of rows."""
+    return df.groupBy(bucket).agg(F.count("*").alias("n"), F.max(row_id).cast("bigint").alias("max_row_id")).withColumn("equal", F.col("n") == F.col("max_row_id"))
+
+
+def columns_by_line(df: DataFrame, text: str, separator: str = "|") -> DataFrame:
+    """(n_columns, n_lines): how many lines of all texts have so many columns; lines fold to counts before the shuffle."""
+    lines = df.select(F.explode(F.split(text, "\n")).alias("line"))
+    n = F.length("line") - F.length(F.replace("line", F.lit(separator), F.lit(""))) + 1
+    return lines.groupBy(n.cast("bigint").alias("n_columns")).agg(F.count("*").alias("n_lines"))
+
+
 def value_counts(df: DataFrame, column: str, entity: str) -> DataFrame:
     """Rows and distinct entities per value."""
     return df.groupBy(F.col(column).alias("value")).agg(F.countDistinct(entity).alias("n_entities"), F.count("*").alias("n_rows"))
@@ -63,10 +75,11 @@ def day_strings(df: DataFrame, entity: str, day: Column) -> DataFrame:
 
 
 def nested_days(df: DataFrame, outer: str, inner: str, day: Column) -> DataFrame:
-    """(outer, JSON of inner -> day -> count), keys in order."""
+    """(outer, JSON of inner -> day -> count), keys in order. A row holds one entry per inner key and day, whatever the number of rows."""
     daily = df.groupBy(outer, inner, day.cast("string").alias("d")).agg(F.count("*").alias("c"))
     per = daily.groupBy(outer, inner).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("d", "c")))).alias("m"))
-    return per.groupBy(outer).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(inner), F.to_json("m").alias("j")))))).alias("raw"))
+    by_key = lambda a, b: F.when(a[inner] < b[inner], -1).when(a[inner] > b[inner], 1).otherwise(0)
+    return per.groupBy(outer).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(inner), "m")), by_key))).alias("raw"))
 
 
 def year_cohorts(df: DataFrame, entity: str, year: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedupe, derive, ids, quality, versioning
-from ..operators.keys import bucket_id, key_hash
+from ..operators.keys import bucket_id
 from ..session import cut, table
 from .registry import Plans
 
@@ -221,22 +221,6 @@ def row_id_continue(s, d):
     return versioning.continue_row_ids(b.filter("l_orderkey % 4 = 0"), last, "bucket", [F.col("l_orderkey"), F.col("l_linenumber")])
 
 
-@P.add("SELECT doc_id, lang AS tag FROM documents")
-def enrichment_join(s, d):
-    from ..operators.joins import null_safe_join
-
-    docs = table(s, d, "documents")
-    extra = docs.select("doc_id", F.col("lang").alias("tag"))
-    return null_safe_join(docs.select("doc_id"), dedupe.newest_rows(extra, ["doc_id"], ["tag"]), ["doc_id"])
-
-
-@P.add("SELECT doc_id, upper(coalesce(lang, '')) || 'X' AS tag FROM documents WHERE doc_id % 6 = 0")
-def enrichment_diff(s, d):
-    docs = table(s, d, "documents").select("doc_id", F.upper(F.coalesce("lang", F.lit(""))).alias("tag"))
-    new = docs.withColumn("tag", F.when(F.col("doc_id") % 6 == 0, F.concat("tag", F.lit("X"))).otherwise(F.col("tag")))
-    return versioning.changed_share(docs, new, "doc_id", ["tag"])
-
-
 @P.add("SELECT n_nationkey, coalesce(v.n_name, n.n_name) AS n_name, n_regionkey FROM nation n LEFT JOIN (VALUES (3, 'PATCHED'), (5, NULL), (99, 'NOWHERE')) v(n_nationkey, n_name) USING (n_nationkey)")
 def data_overrides(s, d):
     return versioning.patch(table(s, d, "nation"), s.createDataFrame([(3, "PATCHED"), (5, None), (99, "NOWHERE")], "n_nationkey int, n_name string"), "n_nationkey")
@@ -276,9 +260,3 @@ def bridge_accumulate(s, d):
     l = table(s, d, "lineitem")
     v = lambda where, n: l.filter(where).select("l_partkey", "l_suppkey", F.lit(n).cast("bigint").alias("version"))
     return derive.accumulated([v("l_orderkey % 2 = 0", 1), v("l_orderkey % 3 = 0", 2)], ["l_partkey", "l_suppkey"])
-
-
-@P.add("SELECT doc_id, sha256(concat_ws('|', doc_id::varchar, coalesce(source, ''))) AS original_hash FROM documents")
-def add_hash_lookup(s, d):
-    docs = table(s, d, "documents").select("doc_id", "source")
-    return docs.select("doc_id", key_hash(docs, ["doc_id", "source"]).alias("original_hash"))

@@ -14,28 +14,29 @@ from .registry import Plans
 P = Plans()
 QUERIES, SQL = P.queries, P.sql
 BUCKETS = 16
-KNOWN = "SELECT c_custkey, dense_rank() OVER (ORDER BY c_name) AS entity_id FROM customer WHERE c_custkey % 9 <> 0"
+KNOWN = "SELECT c_custkey, dense_rank() OVER (ORDER BY c_name) AS entity_id FROM customer"
 
 
 def identity(s, d):
     none = lambda schema: s.createDataFrame([], schema)
-    people = table(s, d, "customer").filter("c_custkey % 9 <> 0").select("c_custkey", "c_name", "c_acctbal")
+    people = table(s, d, "customer").select("c_custkey", "c_name", "c_acctbal")
     return pipelines.identities(people, none("entity_id bigint, c_name string"), none("key_id bigint, c_custkey bigint"), "c_custkey", "c_name", ["c_acctbal"], BUCKETS, 1)
 
 
-@P.add(f"""WITH p AS (SELECT c_custkey, c_name, dense_rank() OVER (ORDER BY c_name) AS entity_id, row_number() OVER (ORDER BY c_custkey) AS key_id FROM customer WHERE c_custkey % 9 <> 0), b AS (SELECT *, ((entity_id % {BUCKETS}) * 10000 + 1)::int AS bucket_id FROM p)
+@P.add(f"""WITH p AS (SELECT c_custkey, c_name, dense_rank() OVER (ORDER BY c_name) AS entity_id, row_number() OVER (ORDER BY c_custkey) AS key_id FROM customer), b AS (SELECT *, ((entity_id % {BUCKETS}) * 10000 + 1)::int AS bucket_id FROM p)
 SELECT *, row_number() OVER (PARTITION BY bucket_id ORDER BY entity_id, key_id) AS row_id, 1::bigint AS valid_from, 0::bigint AS superseded_by FROM b""")
 def identity_pipeline(s, d):
     return identity(s, d)
 
 
-RAW = f"""(WITH k AS ({KNOWN}), r AS (SELECT o_orderkey, o_custkey, o_orderpriority, coalesce(entity_id, 0) AS entity_id, (((coalesce(entity_id, 0)) % {BUCKETS}) * 10000 + 1)::int AS bucket_id, sha256(concat_ws('|', o_custkey::varchar, o_orderpriority)) AS key_hash FROM orders LEFT JOIN k ON o_custkey = c_custkey)
+RAW = f"""(WITH k AS (SELECT * FROM ({KNOWN}) WHERE c_custkey % 9 <> 0), r AS (SELECT o_orderkey, o_custkey, o_orderpriority, coalesce(entity_id, 0) AS entity_id, (((coalesce(entity_id, 0)) % {BUCKETS}) * 10000 + 1)::int AS bucket_id, sha256(concat_ws('|', o_custkey::varchar, o_orderpriority)) AS key_hash FROM orders LEFT JOIN k ON o_custkey = c_custkey)
 SELECT *, CASE WHEN row_number() OVER (PARTITION BY bucket_id, key_hash ORDER BY o_orderkey DESC) > 1 THEN 'RAW_DUPLICATE' WHEN entity_id = 0 THEN 'FACT_ONLY_PATIENT' ELSE 'RAW_RECORDS' END AS indicator FROM r)"""
 
 
 def preprocessed(s, d):
+    """Every ninth customer is unknown."""
     raw = table(s, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return pipelines.preprocess(raw, identity(s, d).withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", ["o_custkey", "o_orderpriority"], ["o_orderkey"], BUCKETS)
+    return pipelines.preprocess(raw, identity(s, d).filter("c_custkey % 9 <> 0").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", ["o_custkey", "o_orderpriority"], ["o_orderkey"], BUCKETS)
 
 
 @P.add(f"SELECT * FROM {RAW}")
@@ -73,9 +74,13 @@ def version_repair(s, d):
     return pipelines.repair_versions(data, _map(s, d).filter("k % 5 <> 0"), ["k"])
 
 
-@P.add(f"SELECT k, valid_from, 0::bigint AS superseded_by FROM {MAP}")
+@P.add(f"""WITH m AS (SELECT * FROM {MAP} UNION ALL SELECT o_orderkey, 0, 1 + o_orderkey % 3 FROM orders WHERE o_orderkey % 2 = 0), r AS (SELECT *, max((superseded_by = 0)::int) OVER (PARTITION BY k) AS has, row_number() OVER (PARTITION BY k ORDER BY superseded_by DESC, valid_from DESC) AS n FROM m)
+SELECT k, valid_from::bigint AS valid_from, (CASE WHEN has = 0 AND n = 1 THEN 0 ELSE superseded_by END)::bigint AS superseded_by FROM r""")
 def reactivated_facts(s, d):
-    return pipelines.reactivate(_map(s, d), "k")
+    """Half of the keys have two rows, of which only the one superseded last comes back."""
+    k = F.col("o_orderkey")
+    earlier = table(s, d, "orders").filter(k % 2 == 0).select(k.alias("k"), F.lit(0).cast("bigint").alias("valid_from"), (1 + k % 3).alias("superseded_by"))
+    return pipelines.reactivate(_map(s, d).unionByName(earlier), "k")
 
 
 @P.add(f"SELECT valid_from, count(*) AS n, count(*) FILTER (superseded_by = 0) AS n_active FROM {MAP} GROUP BY 1")

@@ -41,9 +41,7 @@ def day_count_strings(s, d):
 SELECT event_type, '{' || string_agg('"' || g || '":' || j, ',' ORDER BY g) || '}' AS days FROM i GROUP BY 1""")
 def nested_date_json(s, d):
     e = table(s, d, "events").withColumn("g", (F.col("user_id") % 5).cast("string"))
-    nested = quality.nested_days(e, "event_type", "g", F.col("ts").cast("date"))
-    flat = F.replace(F.replace(F.replace("raw", F.lit('\\"'), F.lit('"')), F.lit('"{'), F.lit("{")), F.lit('}"'), F.lit("}"))
-    return nested.select("event_type", flat.alias("days"))
+    return quality.nested_days(e, "event_type", "g", F.col("ts").cast("date")).withColumnRenamed("raw", "days")
 
 
 @P.add("SELECT o_orderpriority AS value, count(DISTINCT o_custkey) AS n_entities, count(*) AS n_rows FROM orders GROUP BY 1")
@@ -129,11 +127,6 @@ def dose_sequence(s, d):
     return sequences.doses(e, "user_id", "at_ts", "code", "name", "needed").withColumnRenamed("at", "at_ts")
 
 
-@P.add("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
-def death_filter(s, d):
-    return table(s, d, "customer").filter("c_acctbal < 0").select("c_custkey", "c_acctbal")
-
-
 CYCLES = f"""WITH RECURSIVE e AS (SELECT DISTINCT user_id, ({TS} - 1704067200) * 24 AS z, CASE WHEN event_type IN ('login', 'view') THEN 1 WHEN event_type IN ('purchase', 'logout') THEN -1 ELSE 0 END AS tag, CASE WHEN event_id % 3 = 0 THEN 'primary' ELSE 'other' END AS source FROM events),
 o AS (SELECT *, row_number() OVER w AS n, coalesce(z - lag(z) OVER w > 172800 OR lag(tag) OVER w = -1, true) AS b, coalesce(lead(z) OVER w - z > 172800 OR lead(tag) OVER w = 1, true) AS f FROM e WINDOW w AS (PARTITION BY user_id ORDER BY z, source, tag)),
 q AS (SELECT *, max(CASE WHEN b THEN z END) OVER (PARTITION BY user_id ORDER BY n) AS back, min(CASE WHEN f THEN z END) OVER (PARTITION BY user_id ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS forth FROM o),

@@ -59,6 +59,18 @@ l AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k, v ORDER BY load
 a AS (SELECT k, nx AS v, map_fact_id, fact_guid, u FROM l JOIN o USING (v) WHERE nx IS NOT NULL), n AS (SELECT k, v, map_fact_id, fact_guid, u FROM l WHERE v > (SELECT min(v) FROM o)),
 j AS (SELECT coalesce(a.k, n.k) AS k, coalesce(a.v, n.v) AS v, CASE WHEN a.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' WHEN (a.map_fact_id, a.fact_guid, a.u) IS DISTINCT FROM (n.map_fact_id, n.fact_guid, n.u) THEN 'changed' END AS change_kind FROM a FULL JOIN n ON a.k = n.k AND a.v = n.v)
 SELECT {_VERSION.format("v")} AS version, k AS key_hash, change_kind FROM j WHERE change_kind IS NOT NULL""",
+    "p4_changed_values": f"""WITH r AS (SELECT lower(trim(key_hash)) AS k, round(version::double * 1000)::bigint AS v, map_fact_id, fact_guid, coalesce(round(try_cast(trim(map_updated_by) AS double) * 1000)::bigint, 0) AS u, loaded_dtm FROM fact_map_snapshots WHERE trim(key_hash) <> ''),
+l AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k, v ORDER BY loaded_dtm DESC, map_fact_id DESC, fact_guid DESC, u DESC) = 1), o AS (SELECT v, lead(v) OVER (ORDER BY v) AS nx FROM (SELECT DISTINCT v FROM l))
+SELECT a.k AS key, n.v AS snapshot, a.v AS old_snapshot, a.map_fact_id AS old_map_fact_id, a.fact_guid AS old_fact_guid, a.u AS old_updated_milli, n.map_fact_id AS new_map_fact_id, n.fact_guid AS new_fact_guid, n.u AS new_updated_milli
+FROM l a JOIN o ON a.v = o.v JOIN l n ON n.k = a.k AND n.v = o.nx WHERE (a.map_fact_id, a.fact_guid, a.u) IS DISTINCT FROM (n.map_fact_id, n.fact_guid, n.u)""",
+    "p3_found": r"""WITH l AS (SELECT line_id, layout_code, CASE WHEN right(raw_line, 1) = chr(13) THEN raw_line[:-2] ELSE coalesce(raw_line, '') END AS t FROM fact_lines),
+q AS (SELECT *, regexp_full_match(t, '(?s)("([^"]|"")*"|[^"|][^|]*|)(\|("([^"]|"")*"|[^"|][^|]*|))*') AS sound FROM l),
+f AS (SELECT line_id, layout_code, sound, CASE WHEN sound THEN regexp_extract_all('|' || t, '(?s)\|("(?:[^"]|"")*"|[^|]*)', 1) END AS fields FROM q), w AS (SELECT layout_code, count(*) AS width FROM line_layout GROUP BY 1),
+c AS (SELECT f.*, coalesce(width, 0) AS width FROM f LEFT JOIN w USING (layout_code)), e AS (SELECT line_id, layout_code, unnest(fields) AS x, generate_subscripts(fields, 1) AS pos FROM c WHERE sound AND len(fields) = width),
+v AS (SELECT line_id, layout_code, pos, CASE WHEN x LIKE '"%' THEN replace(x[2:-2], '""', '"') ELSE x END AS x FROM e), p AS (SELECT layout_code, col_type, may_be_empty, row_number() OVER (PARTITION BY layout_code ORDER BY col_pos) AS pos FROM line_layout),
+b AS (SELECT DISTINCT line_id FROM v JOIN p USING (layout_code, pos) WHERE NOT CASE WHEN x = '' THEN coalesce(may_be_empty, false) WHEN col_type = 'int' THEN regexp_full_match(x, '-?[0-9]+') AND try_cast(x AS integer) IS NOT NULL WHEN col_type = 'double' THEN regexp_full_match(x, '-?[0-9]+(\.[0-9]+)?')
+ WHEN col_type = 'timestamp' THEN regexp_full_match(x, '[0-9]{4}-[0-9]{2}-[0-9]{2} ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]') AND try_cast(x AS timestamp) IS NOT NULL WHEN col_type = 'flag' THEN x IN ('Y', 'N') ELSE true END)
+SELECT line_id, CASE WHEN NOT sound THEN 'quoting' WHEN len(fields) <> width THEN 'columns' ELSE 'value' END AS reason FROM c WHERE NOT sound OR len(fields) <> width OR line_id IN (SELECT line_id FROM b)""",
     "p6_found": """WITH r AS (SELECT row_id, device_id, flowsheet_row_name_dk AS var, seq_nbr AS q, derived_value AS x, coalesce(x >= CASE WHEN NOT isnan(range_min) THEN range_min END, true) AND coalesce(x <= CASE WHEN NOT isnan(range_max) THEN range_max END, true) AS inside
  FROM fact_flowsheets LEFT JOIN rule_variables USING (flowsheet_row_name_dk) WHERE derived_value IS NOT NULL AND NOT isnan(derived_value)),
 s AS (SELECT device_id, var, q, min_by(x, row_id) AS x, min_by(inside, row_id) AS inside FROM r WHERE device_id IS NOT NULL AND var IS NOT NULL AND q IS NOT NULL GROUP BY 1, 2, 3),

@@ -61,22 +61,33 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructT
     return spark.read.csv(path, schema=schema, sep=sep, header=header, mode=mode, quote="", encoding=encoding)
 
 
-def read_header(path: str, sep: str = "|") -> tuple[list[str], list[str]]:
+def parse_header(said: str, sep: str = "|") -> tuple[list[str], list[str]]:
     """Names and type names of a two-line side-car, or the keys of a first JSON record (all STRING)."""
-    lines = Path(path).read_text().splitlines()
+    lines = said.splitlines()
     if lines[0].lstrip().startswith("{"):
         names = list(json.loads(lines[0]))
         return names, ["STRING"] * len(names)
     return lines[0].split(sep), lines[1].split(sep) if len(lines) > 1 else ["STRING"] * len(lines[0].split(sep))
 
 
+def read_header(path: str, sep: str = "|") -> tuple[list[str], list[str]]:
+    return parse_header(Path(path).read_text(), sep)
+
+
+def names_in(spark: SparkSession, path: str, sep: str = "|") -> list[str]:
+    """The column names in the first line of a delimited file."""
+    return spark.read.text(path).first()[0].split(sep)
+
+
 def read_sidecar(spark: SparkSession, path: str, header: str, sep: str = "|") -> DataFrame:
     names, types = read_header(header, sep)
     return read_delimited(spark, path, schema_of(names, types), sep)
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType, strict: bool = False) -> DataFrame:
-    return spark.read.schema(schema).json(path, mode="FAILFAST" if strict else "PERMISSIVE")
+def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType, strict: bool = False, casts: dict[str, str] | None = None) -> DataFrame:
+    """JSON lines; ``casts`` are made after reading, and a text that doesn't fit becomes null."""
+    df = spark.read.schema(schema).json(path, mode="FAILFAST" if strict else "PERMISSIVE")
+    return df.withColumns({c: F.col(c).try_cast(kind) for c, kind in (casts or {}).items()})
 
 
 def repaired_json(text: Column, schema: T.StructType, repairs: Sequence[tuple[str, str]] = ((r",\s*([}\]])", "$1"), (r"([{,]\s*)'([^']*)'\s*:", '$1"$2":'))) -> Column:

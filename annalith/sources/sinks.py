@@ -9,7 +9,6 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..operators.blocks import numbered
-from ..operators.versioning import BY, FROM
 
 
 def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), columns: Sequence[str] | None = None) -> int:
@@ -21,17 +20,6 @@ def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (), co
     return int(seen.get["n"])
 
 
-def publish(df: DataFrame, root: str, name: str, kind: str) -> int:
-    """A table under its kind (fact, dim, syn, meta), partitioned by its versions if it has any; checks the count of what is there."""
-    path = f"{root}/{kind.lower()}_tables/{name.lower()}"
-    versions = [c for c in (FROM, BY) if c in df.columns]
-    n = write_counted(df, path, versions)
-    found = df.sparkSession.read.parquet(path).count()
-    if found != n:
-        raise ValueError(f"{path}: wrote {n} rows, found {found}")
-    return n
-
-
 def blocks(df: DataFrame, bucket: str, order: Sequence[Column], out: str = "row_id") -> DataFrame:
     """One layout per bucket: rows numbered and sorted within it."""
     return numbered(df, [bucket], order, out).repartition(bucket).sortWithinPartitions(bucket, out)
@@ -42,11 +30,36 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", single: bool = Fal
     (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, sep=sep, header=header, emptyValue="")
 
 
-def write_header(df: DataFrame, path: str, sep: str = "|") -> None:
+def header_text(df: DataFrame, sep: str = "|") -> str:
     """The two-line side-car of names and type names."""
     from .readers import type_name
 
-    Path(path).write_text("\n".join(sep.join(x) for x in ([f.name for f in df.schema.fields], [type_name(f.dataType) for f in df.schema.fields])) + "\n")
+    return "\n".join(sep.join(x) for x in ([f.name for f in df.schema.fields], [type_name(f.dataType) for f in df.schema.fields])) + "\n"
+
+
+def write_header(df: DataFrame, path: str, sep: str = "|") -> None:
+    Path(path).write_text(header_text(df, sep))
+
+
+def bucket_files(df: DataFrame, path: str, bucket: str, sep: str = "|") -> list[str]:
+    """One headerless file per bucket, named by it (part_<bucket>.final); returns their paths. A bucket with more than one file is an error."""
+    from .readers import listing
+
+    spark = df.sparkSession
+    df.repartition(bucket).write.mode("overwrite").option("emptyValue", "").partitionBy(bucket).csv(path + ".parts", sep=sep)
+    out, fs_path = [], spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(path))
+    for folder in listing(spark, path + ".parts"):
+        if not folder.startswith(f"{bucket}="):
+            continue
+        files = [f for f in listing(spark, f"{path}.parts/{folder}") if f.startswith("part-")]
+        if len(files) != 1:
+            raise ValueError(f"{folder} has {len(files)} files")
+        out.append(f"{path}/part_{folder.split('=', 1)[1]}.final")
+        fs.rename(fs_path(f"{path}.parts/{folder}/{files[0]}"), fs_path(out[-1]))
+    fs.delete(fs_path(path + ".parts"), True)
+    return out
 
 
 def write_stats(stats: dict, path: str) -> None:

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F, types as T
 
 from annalith import session
 from annalith.operators import blocks, derive, ids, joins, keys, quality, sequences, versioning
-from annalith.plans import history, jobs, scalars, summaries, training
-from annalith.sources import readers, sinks
+from annalith.plans import composites, history, jobs, scalars, stores, summaries, training
+from annalith.sources import readers, sinks, store
 from annalith.streaming import events as streams
 
 from .oracle import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
-SQL = {n: (m.QUERIES[n], q) for m in (scalars, history, summaries, jobs, training) for n, q in m.SQL.items()}
+SQL = {n: (m.QUERIES[n], q) for m in (scalars, history, summaries, jobs, stores, composites, training) for n, q in m.SQL.items()}
 
 
 @pytest.fixture(scope="module")
@@ -224,8 +224,14 @@ def test_files_round_trip(spark, tmp_path):
     latin = readers.read_delimited(spark, str(tmp_path / "l"), T.StructType([T.StructField("k", T.IntegerType()), T.StructField("s", T.StringType())]), encoding="ISO-8859-1")
     assert latin.select("s", readers.file_number(F.input_file_name())).collect()[0][:] == ("é", 7)
     versioned = versioning.stamped(df, 1)
-    assert sinks.publish(versioned, str(tmp_path), "T", "FACT") == 2
-    assert readers.read_parquet(spark, str(tmp_path / "fact_tables" / "t")).filter("valid_from = 1").count() == 2
+    kept = store.Store(spark, str(tmp_path / "store"))
+    assert kept.publish(versioned, store.FACT, "T", 4001) == 2 and kept.read(store.FACT, "T").filter("valid_from = 1").count() == 2
+    assert kept.publish(versioned.limit(0), store.FACT, "E", 4001) == 0 and kept.read(store.FACT, "none") is None and kept.read_or_empty(store.FACT, "none", "k int").count() == 0
+    assert kept.backup(kept.path(4001, store.FACT, "T")).endswith(".bkup") and kept.latest(store.FACT, "T") is None
+    kept.copy(kept.path(4001, store.FACT, "T") + ".bkup", kept.path(4001, store.FACT, "T"))
+    assert kept.latest(store.FACT, "T") == 4001 and kept.first_run(store.FACT, "U") and not kept.source_changed(["T"], 4001)
+    with pytest.raises(ValueError):
+        kept.release(4002)
     assert readers.read_parquet(spark, str(tmp_path / "none")) is None
     assert sinks.blocks(df.withColumn("b", F.lit(1)), "b", [F.col("k")]).count() == 2
 
