@@ -35,7 +35,11 @@ def docs(spark, *given):
 
 def test_survivors_of_whole_table(spark):
     assert set(rows(queries.QUERIES["p5_found"](spark, SF))) == brute.p5(read("fact_lab_raw"), read("source_sites"))
-    assert compare(spark, "p5_found", queries.QUERIES["p5_found"], queries.SQL["p5_found"], SF, connect(SF)).startswith("ok")
+
+
+@pytest.mark.parametrize("name", queries.SQL)
+def test_query(spark, name):
+    assert compare(spark, name, queries.QUERIES[name], queries.SQL[name], SF, connect(SF)).startswith("ok")
 
 
 LAB = "row_id long, key_hash string, result_txt string, unit_of_measure_txt string, normal_range_txt string, specimen_txt string, site_code string, incr_counter int, received_dtm timestamp, best string"
