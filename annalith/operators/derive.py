@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import small
-from .blocks import blocked, met, running
+from .blocks import blocked, met, numbered, running
+from .ids import number_globally
 from .joins import null_safe_join
 from .normalize import apply_formula
 
@@ -259,3 +260,96 @@ def deaths(people: DataFrame, entity: str, deceased: str, at: str, birth: str) -
     from .normalize import age_years
 
     return people.filter(deceased).groupBy(entity).agg(F.min(age_years(F.col(at), F.col(birth))).alias("age"))
+
+
+def positive_summary(tests: DataFrame, stays: DataFrame, people: DataFrame, entity: str, kinds: dict[str, str], every_test: bool = False, left_out: str | None = None) -> DataFrame:
+    """(entity, flag, at, site, first_start, days, n_stays, days and has_ flag per kind, deceased): the first positive test of every entity, else its first negative, with the stays after it.
+
+    tests: entity, at, result, site. stays: entity, start_ts, end_ts, kind. people: entity, death_ts. What is missing
+    is 'N' or 0; deceased are those who died after their first stay began. ``every_test`` gives a row for each
+    test time instead (positive if any test of it is), without stays of the kind ``left_out``; deceased then are those who died after the test.
+    """
+    flagged = tests.withColumn("flag", positive_flag(F.col("result")))
+    best = F.struct(F.when(F.col("flag") == "Y", 0).otherwise(1).alias("o"), "at", "flag", "site")
+    by = [entity, "at"] if every_test else [entity]
+    first = flagged.groupBy(*by).agg(F.min(best).alias("b")).select(entity, "b.flag", "b.at", "b.site")
+    counted = stays.filter(F.col("kind") != left_out) if left_out else stays
+    found = stay_days(first.select(entity, "at"), counted, entity, "kind", kinds)
+    joined = first.join(found, [entity, "at"], "left").join(people.select(entity, "death_ts"), entity, "left")
+    zero = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("days", "n_stays", *kinds.values())}
+    flags = {f"has_{n}": F.when(F.coalesce(n, F.lit(0)) > 0, "Y").otherwise("N") for n in kinds.values()}
+    since = F.col("at") if every_test else F.col("first_start")
+    dead = F.when(F.col("death_ts") > since, "Y").otherwise("N")
+    return joined.withColumns(zero).withColumns(flags).withColumn("deceased", dead).drop("death_ts")
+
+
+def harmonised(families: dict[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+    """All families of harmonised measures with their name as ``family``; numbers are texts too, and columns a family lacks are null."""
+    union = None
+    for name, df in families.items():
+        one = df.withColumn("family", F.lit(name))
+        one = one.select("family", *((F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in columns))
+        union = one if union is None else union.unionByName(one)
+    return union
+
+
+def concept_meta(dim: DataFrame, facts: DataFrame, key: str, entity: str, descriptions: Sequence[str], others: Sequence[str], codes: str | None = None, vocabulary: str = "vocabulary", constants: dict[str, object] | None = None) -> DataFrame:
+    """(key, constants, codes, vocabulary, record_count, entity_count, meta): a lookup's rows as concepts, counted in the facts.
+
+    ``meta`` is a struct of two maps of columns. Comma-separated codes become a row each; without a code there is no
+    vocabulary. Rows that are equal but for the meta count once.
+    """
+    text = lambda columns: F.create_map(*(x for c in columns for x in (F.lit(c), F.col(c).cast("string"))))
+    rows = dim.withColumns({n: F.lit(v) for n, v in (constants or {}).items()}).withColumn("meta", F.struct(text(descriptions).alias("descriptions"), text(others).alias("other_fields")))
+    columns = [key, *(constants or {})]
+    if codes:
+        rows = rows.withColumn(vocabulary, F.when(F.col(codes).isNotNull(), F.col(vocabulary))).withColumn(codes, F.explode_outer(F.split(codes, r"\s*,\s*")))
+        columns += [codes, vocabulary]
+    once = once_by_others(rows.select(*columns, "meta"), ["meta"])
+    counts = facts.groupBy(key).agg(F.count("*").alias("record_count"), F.countDistinct(entity).alias("entity_count"))
+    return once.join(counts, key, "left").select(*columns, "record_count", "entity_count", "meta")
+
+
+def accumulate_counts(old: DataFrame, new: DataFrame, key: Sequence[str], counts: Sequence[str], id_col: str, first_id: int = 4_000_000_000) -> DataFrame:
+    """Concepts with ids and counts over versions: known ones keep their id and add up, new ones go on after the greatest id, from ``first_id`` on."""
+    from .enrich import refreshed_concepts
+
+    base = old.select(F.greatest(F.col(id_col), F.lit(first_id)).alias(id_col), *key)
+    ids = refreshed_concepts(base, new, key, id_col) if not old.isEmpty() else refreshed_concepts(base, new, key, id_col).withColumn(id_col, F.col(id_col) + F.lit(first_id))
+    union = old.select(*key, *counts).unionByName(new.select(*key, *counts))
+    return met(union.groupBy(*key).agg(*(F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in counts)), ids, key).select(id_col, *key, *counts)
+
+
+#: Prediction types by model.
+SENTIMENTS = ("Has_Disease", "May_Have_Disease", "Does_Not_Have_Disease", "Received_Medication", "Family_History_For_Disease", "No_Family_History_For_Disease", "Procedure_Performed")
+ASSOCIATIONS = ("Adverse_Event", "Disease_Stage", "Negative_For_Biomarker", "Positive_For_Biomarker", "Potential_Adverse_Event", "Therapeutic", "Associated_Disease_Location", "Associated_Diagnosis_Date", "Gene_Associated_With_Mutation")
+
+
+def text_associations(sentences: DataFrame, span: tuple[int, int] = (-2_209_008_070, 1_988_150_399)) -> DataFrame:
+    """Sentences with model type, sane time, meta as a map, ids of both entities, and whether they repeat an earlier one.
+
+    sentences: entity_id, sentence_index, prediction_type, entity_1, entity_2, published_ts, meta (JSON). Of sentences of
+    one entity, pair and index the earliest counts. Ids are dense in order of the names, over all names of a column.
+    """
+    kind, at = F.col("prediction_type"), F.col("published_ts")
+    model = F.when(kind.isin(*SENTIMENTS), "Sentiments").when(kind.isin(*ASSOCIATIONS), "Associations").otherwise("")
+    out = sentences.withColumns({"model_type": model, "at_ts": F.when((at > span[0]) & (at <= span[1]), at), "meta": F.from_json("meta", "map<string,string>")}).drop("published_ts")
+    for c in ("entity_1", "entity_2"):
+        ids = number_globally(sentences.filter(F.col(c).isNotNull()).select(c), c, f"{c}_id")
+        out = out.join(small(ids), c, "left")
+    out = numbered(out, ["entity_id", "entity_1", "entity_2", "sentence_index"], [F.col("at_ts").asc_nulls_first(), F.to_json("meta").asc()], "__n")
+    return out.withColumn("is_duplicate", F.col("__n") > 1).drop("__n")
+
+
+def note_sentences(notes: DataFrame, note: str, indexes: str) -> DataFrame:
+    """(note, sentence_indexes as numbers) from '|'-separated texts; what is no number is left out."""
+    return notes.select(note, F.filter(F.transform(F.split(indexes, r"\|"), lambda x: x.try_cast("bigint")), lambda x: x.isNotNull()).alias("sentence_indexes"))
+
+
+def catalogue_code(df: DataFrame, rules: Sequence[tuple[Column, Column, Column]], at: str, bad_time: int) -> DataFrame:
+    """Adds code and description by the first rule (applies, code, description) that applies, and a time where it is missing; rows without description are left out."""
+    code = description = F.lit(None).cast("string")
+    for applies, c, text in reversed(list(rules)):
+        code, description = F.when(applies, c).otherwise(code), F.when(applies, text).otherwise(description)
+    coded = df.withColumns({"code": code, "description": description}).filter("description is not null")
+    return coded.withColumn(at, F.coalesce(at, F.lit(bad_time)))

@@ -11,7 +11,7 @@ from ..session import small
 
 from .blocks import numbered
 from .dedupe import DROPPED, drop_indicator, indicator_stats, mark_duplicates, newest_rows, with_history
-from .ids import extend_dictionary
+from .ids import extend_dictionary, one_to_one
 from .joins import lookup_left
 from .keys import key_hash, with_bucket
 from .normalize import age_years, event_time
@@ -32,6 +32,15 @@ def identities(profiles: DataFrame, known_people: DataFrame, known_keys: DataFra
     return stamped(numbered(out, ["bucket_id"], [F.col("entity_id"), F.col("key_id")], "row_id"), version).select(source_key, natural_id, "entity_id", "key_id", "bucket_id", "row_id", FROM, BY)
 
 
+def identity_counters(old: DataFrame, new: DataFrame, source_key: str, natural_id: str) -> DataFrame:
+    """One row: source keys in all, new ones, those whose natural id changed, and keys or entities that aren't one to one."""
+    seen = old.select(source_key, F.col(natural_id).alias("__was")).distinct()
+    joined = new.select(source_key, natural_id, "entity_id", "key_id").join(seen, source_key, "left")
+    counted = joined.agg(F.count("*").alias("n"), F.count_if(F.col("__was").isNull()).alias("added"), F.count_if(F.col("__was") != F.col(natural_id)).alias("changed"))
+    faults = one_to_one(new, source_key, "key_id").unionByName(one_to_one(new, natural_id, "entity_id")).agg(F.count("*").alias("collisions"))
+    return counted.join(faults)  # one row each
+
+
 def expire_seen(old: DataFrame, new: DataFrame, key: str, version: int) -> DataFrame:
     """A versioned map in which every key that comes again supersedes its active row."""
     again = new.select(key).distinct().withColumn("__again", F.lit(True))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import derive, enrich, joins, pipelines, quality, sequences, versioning
 from ..operators.keys import bucket_id, key_hash
 from ..operators.normalize import seconds
-from ..session import table
+from ..session import cut, table
 from .jobs import BUCKETS, identity
 from .registry import Plans
 from .summaries import TS, events
@@ -261,3 +261,112 @@ def death_filter(s, d):
     """The deceased with their age at death, where its time is known."""
     c = table(s, d, "customer").select(F.col("c_custkey").alias("entity_id"), (F.col("c_acctbal") < 0).alias("deceased"), F.when(F.col("c_acctbal") < -500, 1_700_000_000).cast("bigint").alias("death_ts"), (F.col("c_custkey") % 20_000 * 86_400).alias("birth_ts"))
     return derive.deaths(c, "entity_id", "deceased", "death_ts", "birth_ts")
+
+
+EVENT_TEST = f"(SELECT user_id AS entity, {TS} AS z, CASE WHEN event_type = 'purchase' THEN 'Y' ELSE 'N' END AS flag, 's' || (event_id % 4) AS site FROM events)"
+EVENT_STAYS = f"(SELECT user_id AS entity, {TS} + 43200 AS a, {TS} + 43200 + (event_id % 5) * 86400 AS b, CASE WHEN event_id % 2 = 0 THEN 'icu' WHEN event_id % 3 = 0 THEN 'home' ELSE 'ward' END AS kind FROM events WHERE event_type IN ('login', 'view'))"
+
+
+def _summary_sql(first: str, stays: str, since: str) -> str:
+    return f"""WITH f AS ({first}), s AS (SELECT entity, z, greatest(z, a) AS g, b // 86400 - greatest(z, a) // 86400 AS days, kind FROM f JOIN {stays} s USING (entity) WHERE b > z AND a < b),
+g AS (SELECT entity, z, g, max(days) AS days, max(CASE WHEN kind = 'icu' THEN days ELSE 0 END) AS icu_days FROM s GROUP BY ALL), r AS (SELECT entity, z, min(g) AS first_start, count(*) AS n_stays, sum(days)::bigint AS days, sum(icu_days)::bigint AS icu_days FROM g GROUP BY ALL),
+p AS (SELECT DISTINCT user_id AS entity, 1704067200 + (user_id % 40) * 86400 AS death_ts FROM events WHERE user_id % 3 = 0)
+SELECT entity, flag, z AS at_ts, site, first_start, coalesce(n_stays, 0) AS n_stays, coalesce(days, 0)::bigint AS days, coalesce(icu_days, 0)::bigint AS icu_days, CASE WHEN coalesce(icu_days, 0) > 0 THEN 'Y' ELSE 'N' END AS has_icu_days, CASE WHEN death_ts > {since} THEN 'Y' ELSE 'N' END AS deceased FROM f LEFT JOIN r USING (entity, z) LEFT JOIN p USING (entity)"""
+
+
+def _summary(s, d, **how):
+    e = events(s, d)
+    tests = e.select(F.col("user_id").alias("entity"), F.col("t").alias("at"), F.when(F.col("event_type") == "purchase", "Detected").otherwise("negative").alias("result"), F.concat(F.lit("s"), (F.col("event_id") % 4).cast("string")).alias("site"))
+    k = F.col("event_id")
+    stays = e.filter("event_type in ('login', 'view')").select(F.col("user_id").alias("entity"), (F.col("t") + 43_200).alias("start_ts"), (F.col("t") + 43_200 + k % 5 * 86_400).alias("end_ts"), F.when(k % 2 == 0, "icu").when(k % 3 == 0, "home").otherwise("ward").alias("kind"))
+    people = e.filter("user_id % 3 = 0").select(F.col("user_id").alias("entity"), (F.lit(1_704_067_200) + F.col("user_id") % 40 * 86_400).alias("death_ts")).distinct()
+    return derive.positive_summary(tests, stays, people, "entity", {"icu": "icu_days"}, **how).withColumnRenamed("at", "at_ts")
+
+
+@P.add(_summary_sql(f"SELECT entity, min((flag = 'N', z, flag, site))[2] AS z, min((flag = 'N', z, flag, site))[3] AS flag, min((flag = 'N', z, flag, site))[4] AS site FROM {EVENT_TEST} GROUP BY 1", EVENT_STAYS, "first_start"))
+def positive_summary(s, d):
+    return _summary(s, d)
+
+
+@P.add(_summary_sql(f"SELECT entity, z, min((flag = 'N', flag, site))[2] AS flag, min((flag = 'N', flag, site))[3] AS site FROM {EVENT_TEST} GROUP BY 1, 2", f"(SELECT * FROM {EVENT_STAYS} WHERE kind <> 'home')", "z"))
+def positive_summary_every_test(s, d):
+    return _summary(s, d, every_test=True, left_out="home")
+
+
+@P.add("SELECT 'lab' AS family, o_orderkey::varchar AS row_id, o_orderstatus AS value, NULL::varchar AS unit FROM orders UNION ALL SELECT 'flow', c_custkey::varchar, c_mktsegment, 'u' FROM customer")
+def harmonised_union(s, d):
+    lab = table(s, d, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_orderstatus").alias("value"))
+    flow = table(s, d, "customer").select(F.col("c_custkey").alias("row_id"), F.col("c_mktsegment").alias("value"), F.lit("u").alias("unit"))
+    return derive.harmonised({"lab": lab, "flow": flow}, ["row_id", "value", "unit"])
+
+
+@P.add("""WITH d AS (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN NULL WHEN p_size % 3 = 1 THEN p_brand ELSE p_brand || ' , ' || p_type END AS code, p_name, p_type FROM part), x AS (SELECT p_partkey, 'PART' AS source_table, unnest(coalesce(string_split_regex(code, '\\s*,\\s*'), [NULL])) AS code, CASE WHEN code IS NOT NULL THEN 'ICD' END AS vocabulary, p_name, p_type FROM d)
+SELECT DISTINCT x.p_partkey, source_table, code, vocabulary, n AS record_count, e AS entity_count, '{"descriptions":{"p_name":"' || p_name || '"},"other_fields":{"p_type":"' || p_type || '"}}' AS meta FROM x LEFT JOIN (SELECT l_partkey, count(*) AS n, count(DISTINCT l_suppkey) AS e FROM lineitem GROUP BY 1) ON l_partkey = x.p_partkey""")
+def concept_meta(s, d):
+    """Parts as concepts, given twice, with up to two codes; counted in the line items."""
+    z = F.col("p_size")
+    p = table(s, d, "part").select("p_partkey", "p_name", "p_type", F.when(z % 3 == 1, F.col("p_brand")).when(z % 3 == 2, F.concat_ws(" , ", "p_brand", "p_type")).alias("code"), F.lit("ICD").alias("vocabulary"))
+    facts = table(s, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
+    return derive.concept_meta(p.unionByName(p), facts, "p_partkey", "l_suppkey", ["p_name"], ["p_type"], "code", constants={"source_table": "PART"}).withColumn("meta", F.to_json("meta"))
+
+
+@P.add("""WITH o AS (SELECT p_brand, p_type, count(*) AS n FROM part WHERE p_size <= 20 GROUP BY ALL), w AS (SELECT p_brand, p_type, count(*) AS n FROM part WHERE p_size > 20 GROUP BY ALL), i AS (SELECT p_brand, p_type, 4000000000 + row_number() OVER (ORDER BY p_brand, p_type) AS id FROM o),
+j AS (SELECT * FROM i UNION ALL SELECT p_brand, p_type, (SELECT max(id) FROM i) + row_number() OVER (ORDER BY p_brand, p_type) FROM w ANTI JOIN i USING (p_brand, p_type))
+SELECT id, p_brand, p_type, (coalesce(o.n, 0) + coalesce(w.n, 0))::bigint AS n FROM j LEFT JOIN o USING (p_brand, p_type) LEFT JOIN w USING (p_brand, p_type)""")
+def concept_accumulate(s, d):
+    counted = lambda where: table(s, d, "part").filter(where).groupBy("p_brand", "p_type").agg(F.count("*").alias("n"))
+    none = s.createDataFrame([], "id bigint, p_brand string, p_type string, n bigint")
+    first = derive.accumulate_counts(none, counted("p_size <= 20"), ["p_brand", "p_type"], ["n"], "id")
+    return derive.accumulate_counts(first, counted("p_size > 20"), ["p_brand", "p_type"], ["n"], "id")
+
+
+@P.add(f"""WITH x AS (SELECT event_id, user_id % 9 AS entity_id, event_id % 30 AS sentence_index, (['Has_Disease', 'Therapeutic', 'Other'])[event_id % 3 + 1] AS prediction_type, 'e' || (event_id % 5) AS entity_1, CASE WHEN event_id % 4 <> 0 THEN 'f' || (user_id % 7) END AS entity_2, CASE WHEN event_id % 11 = 0 THEN 1988150400 ELSE {TS} * 20 - 32500000000 + event_id END AS p, '{{"id":"' || event_id || '"}}' AS meta FROM events),
+t AS (SELECT *, CASE WHEN p > -2209008070 AND p <= 1988150399 THEN p END AS z FROM x)
+SELECT event_id, entity_id, sentence_index, prediction_type, entity_1, entity_2, meta, CASE prediction_type WHEN 'Has_Disease' THEN 'Sentiments' WHEN 'Therapeutic' THEN 'Associations' ELSE '' END AS model_type, z AS at_ts, dense_rank() OVER (ORDER BY entity_1) AS entity_1_id, CASE WHEN entity_2 IS NOT NULL THEN dense_rank() OVER (ORDER BY entity_2 NULLS LAST) END AS entity_2_id,
+ row_number() OVER (PARTITION BY entity_id, entity_1, entity_2, sentence_index ORDER BY z NULLS FIRST, meta) > 1 AS is_duplicate FROM t""")
+def text_associations(s, d):
+    e, text = events(s, d), lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    u, k = F.col("user_id"), F.col("event_id")
+    said = e.select("event_id", (u % 9).alias("entity_id"), (k % 30).alias("sentence_index"), F.get(F.array(*map(F.lit, ("Has_Disease", "Therapeutic", "Other"))), (k % 3).cast("int")).alias("prediction_type"), text("e", k % 5).alias("entity_1"), F.when(k % 4 != 0, text("f", u % 7)).alias("entity_2"), F.when(k % 11 == 0, 1_988_150_400).otherwise(F.col("t") * 20 - 32_500_000_000 + k).alias("published_ts"), F.concat(F.lit('{"id":"'), k.cast("string"), F.lit('"}')).alias("meta"))
+    return derive.text_associations(said).withColumn("meta", F.to_json("meta"))
+
+
+@P.add("SELECT o_orderkey, o_orderkey || '/' || o_custkey AS sentence_indexes FROM orders")
+def note_sentences(s, d):
+    notes = table(s, d, "orders").select("o_orderkey", F.concat_ws("|", "o_orderkey", F.lit("x"), "o_custkey").alias("indexes"))
+    return derive.note_sentences(notes, "o_orderkey", "indexes").withColumn("sentence_indexes", F.array_join(F.transform("sentence_indexes", lambda x: x.cast("string")), "/"))
+
+
+@P.add("""SELECT l_orderkey, l_linenumber, CASE WHEN l_shipmode LIKE '%AIR%' THEN 'air' WHEN l_returnflag = 'R' THEN l_shipmode ELSE l_linestatus END AS code, CASE WHEN l_shipmode LIKE '%AIR%' THEN 'by air' WHEN l_returnflag = 'R' THEN nullif(l_shipmode, 'RAIL') ELSE l_linestatus END AS description, coalesce(CASE WHEN l_linenumber <> 3 THEN l_orderkey END, -1) AS at_ts FROM (SELECT *, 'RAIL' AS l_shipmode FROM lineitem WHERE l_linenumber % 2 = 0 UNION ALL SELECT *, 'REG AIR' FROM lineitem WHERE l_linenumber % 2 = 1 AND l_linenumber <> 5 UNION ALL SELECT *, 'SHIP' FROM lineitem WHERE l_linenumber = 5) WHERE description IS NOT NULL""")
+def catalogue_codes(s, d):
+    n, mode = F.col("l_linenumber"), F.col("mode")
+    lines = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", F.when(n % 2 == 0, "RAIL").when(n == 5, "SHIP").otherwise("REG AIR").alias("mode"), F.when(n != 3, F.col("l_orderkey")).alias("at_ts"))
+    rules = [(mode.contains("AIR"), F.lit("air"), F.lit("by air")), (F.col("l_returnflag") == "R", mode, F.nullif(mode, F.lit("RAIL"))), (F.lit(True), F.col("l_linestatus"), F.col("l_linestatus"))]
+    return derive.catalogue_code(lines, rules, "at_ts", -1).select("l_orderkey", "l_linenumber", "code", "description", "at_ts")
+
+
+@P.add("SELECT count(*) AS n, count(*) FILTER (c_custkey % 4 = 0) AS added, count(*) FILTER (c_custkey % 4 <> 0 AND c_custkey % 11 = 0) AS changed, 0::bigint AS collisions FROM customer")
+def identity_counters(s, d):
+    new = identity(s, d)
+    old = table(s, d, "customer").filter("c_custkey % 4 <> 0").select("c_custkey", F.when(F.col("c_custkey") % 11 == 0, "was").otherwise(F.col("c_name")).alias("c_name"))
+    return pipelines.identity_counters(old, new, "c_custkey", "c_name")
+
+
+@P.add("""WITH v AS (SELECT sha256(o_orderkey::varchar) AS key_hash, o_custkey % 100 AS entity_id, o_custkey AS key_id, o_orderkey FROM orders), m AS (SELECT key_hash, entity_id, key_id, row_number() OVER (PARTITION BY entity_id ORDER BY key_hash) AS fact_id, row_number() OVER (PARTITION BY key_id ORDER BY key_hash) AS fact_key_id FROM v WHERE o_orderkey % 10 <> 3),
+d AS (SELECT v.key_hash, v.entity_id, v.key_id, m.fact_id AS f, m.fact_key_id AS k, coalesce((SELECT max(fact_id) FROM m x WHERE x.entity_id = v.entity_id), 0) AS tf, coalesce((SELECT max(fact_key_id) FROM m x WHERE x.key_id = v.key_id), 0) AS tk FROM v LEFT JOIN m ON m.key_hash = v.key_hash)
+SELECT key_hash, fact_id::bigint AS fact_id, fact_key_id::bigint AS fact_key_id, 1::bigint AS valid_from, 2::bigint AS superseded_by FROM m UNION ALL SELECT key_hash, coalesce(f, tf + row_number() OVER (PARTITION BY entity_id, f IS NULL ORDER BY key_hash)), coalesce(k, tk + row_number() OVER (PARTITION BY key_id, k IS NULL ORDER BY key_hash)), 2, 0 FROM d""")
+def fact_stamp_full(s, d):
+    """A full delivery: all old rows are superseded, whether they come again or not."""
+    rows = table(s, d, "orders").select(F.sha2(F.col("o_orderkey").cast("string"), 256).alias("key_hash"), (F.col("o_custkey") % 100).alias("entity_id"), F.col("o_custkey").alias("key_id"), "o_orderkey")
+    none = s.createDataFrame([], "key_hash string, entity_id bigint, key_id bigint, fact_id bigint, fact_key_id bigint, valid_from bigint, superseded_by bigint")
+    known = versioning.stamp_facts(rows.filter("o_orderkey % 10 <> 3").drop("o_orderkey"), none, none.select("key_id"), 1, 5).drop("guid")
+    return versioning.stamp_facts(rows.drop("o_orderkey"), cut(known), none.select("key_id"), 2, 5, full=True).select("key_hash", "fact_id", "fact_key_id", "valid_from", "superseded_by")
+
+
+@P.add("SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders")
+def global_order(s, d):
+    """A total order as a number: ranges are sorted by themselves and shifted."""
+    from ..operators.ids import number_globally
+
+    o = table(s, d, "orders").select("o_orderkey", F.struct((-F.col("o_totalprice")).alias("p"), "o_orderkey").alias("by"))
+    return number_globally(o, "by", "place").select("by.o_orderkey", "place")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F, types as T
 from ..operators import pipelines, versioning
 from ..operators.keys import bucket_id
 from ..session import checkpoint_dir, forget_at_end, table
-from ..sources import readers, sinks
-from ..sources.store import DIM, DROP, FACT, MAP, SYN, Store, aliased, front, keys_to_rows, provider, read_provider, transformed
+from ..sources import config, readers, sinks
+from ..sources.store import DIM, DROP, FACT, MAP, SYN, Store, aliased, front, keys_to_rows, provider, publish_dictionary, read_provider, release, transformed, write_enrichment
 from .registry import Plans
 
 P = Plans()
@@ -269,3 +269,63 @@ def configured_transforms(s, d):
 @P.add("SELECT * FROM (VALUES ('12', '100'), ('13', '250')) t(entity, event_ts)")
 def json_keys_to_rows(s, d):
     return keys_to_rows(s, {"12_100": {"is_valid": True}, "12_200": {"is_valid": False}, "13_250": {"is_valid": True}}, ["entity", "event_ts"])
+
+
+CONFIG = """{"part": {"raw": ["p_partkey", {"detail": {"p_name": "STRING", "p_size": "INTEGER"}}], "types": {"p_partkey": "LONG", "detail__p_size": "INTEGER"}, "unique": ["p_partkey"], "add_ons": ["tag"], "hashed": ["detail__p_name"], "big": true},
+ "nation": {"raw": ["n_nationkey"], "types": {"n_nationkey": "INTEGER"}}}"""
+
+
+@P.add("SELECT p_partkey AS P_PARTKEY, p_name AS DETAIL__P_NAME, p_size AS DETAIL__P_SIZE FROM part WHERE p_partkey IN (1, 5, 77)")
+def configured_read(s, d):
+    """A file read by its table's declaration, in a sample run of three entities."""
+    store, df = Store(s, folder(s, "config")), part(s, d).select("p_partkey", "p_name", "p_size")
+    store.write_text(f"{store.root}/tables.json", CONFIG)
+    tables = config.read_tables(store.read_text(f"{store.root}/tables.json"))
+    run = config.bootstrap('{"version": 4001, "base": 4001, "buckets": 8}', '{"sample_entities": [1, 5, 77]}')
+    sinks.write_delimited(df, f"{store.root}/part")
+    declared = tables["PART"]
+    if not run.sample or config.hash_fields(tables) != {"PART": {"source_id": 0, "field_ids": {"detail__p_name": 0}}} or declared.final_columns()[-3:] != ["TAG", *config.VERSIONED]:
+        raise ValueError("the declaration was misread")
+    return config.typed(run.restricted(readers.read_delimited(s, f"{store.root}/part", declared.raw_schema()), "P_PARTKEY"), {"DETAIL__P_SIZE": "INTEGER"})
+
+
+@P.add("SELECT p_brand, min((p_type, p_size))[1] AS p_type, min((p_type, p_size))[2] AS p_size FROM part GROUP BY 1")
+def dim_preprocess(s, d):
+    path = folder(s, "dim")
+    sinks.write_counted(config.dim_rows(table(s, d, "part"), ["p_brand", "p_type", "p_size"], ["p_brand"]).coalesce(1), path)
+    return s.read.parquet(path)
+
+
+@P.add("""SELECT o_orderkey AS row_key, o_orderstatus AS status, o_orderstatus AS legacy, 4001::bigint AS valid_from, (CASE WHEN o_orderkey % 5 = 3 THEN 4002 ELSE 0 END)::bigint AS superseded_by FROM orders WHERE o_orderkey % 10 <> 3
+ UNION ALL SELECT o_orderkey, o_orderstatus, o_orderstatus, 4002, 0 FROM orders WHERE o_orderkey % 5 = 3""")
+def release_table(s, d):
+    """A fact table published anew at the version of its last drop, with a renamed column and its legacy alias."""
+    store, o = Store(s, folder(s, "store")), table(s, d, "orders").select(F.col("o_orderkey").alias("row_key"), "o_orderstatus")
+    store.publish(versioning.stamped(o.filter("row_key % 10 <> 3"), 4001), FACT, "T", 4001)
+    drop = o.filter("row_key % 5 = 3")
+    store.publish(drop, DROP, "T", 4002)
+    store.publish(versioning.stamped(drop.select("row_key"), 4002), MAP, "T", 4002)
+    release(store, FACT, "T", 4002, ["row_key", "status", "legacy"], {"legacy": "status"}, {"o_orderstatus": "status"})
+    return store.table(FACT, "T", 4002)
+
+
+@P.add("SELECT c_custkey, upper(c_mktsegment) AS tag, 'meta' AS kind FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, NULL, 'map' FROM customer WHERE c_custkey % 2 = 0")
+def enrichment_write(s, d):
+    """An enrichment written with its tag, found again under it, and the map of rows it changed."""
+    store, c = Store(s, folder(s, "store")), table(s, d, "customer").filter("c_custkey % 2 = 0")
+    df = c.select("c_custkey", F.upper("c_mktsegment").alias("tag"), F.lit(1).alias("row_id"), F.col("c_custkey").alias("guid"), "c_name")
+    write_enrichment(store, df, "T", 4002, ["c_custkey", "tag"], "t1", ("c_custkey", "row_id", "guid"))
+    return store.located("T", "t1", [4003, 4002]).withColumn("kind", F.lit("meta")).unionByName(store.table(MAP, "T", 4002).select("c_custkey", F.lit(None).cast("string").alias("tag"), F.lit("map").alias("kind")))
+
+
+@P.add("SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_type) AS id, event_type FROM (SELECT DISTINCT user_id, event_type FROM events)")
+def dictionary_publish(s, d):
+    from ..operators.ids import extend_per_entity
+
+    store = Store(s, folder(s, "store"))
+    made = extend_per_entity(s.createDataFrame([], "user_id bigint, id bigint, event_type string"), table(s, d, "events"), "user_id", "event_type", "id")
+    store.write_text(f"{store.root}/interim/x.txt", "x")
+    publish_dictionary(store, made, "T", 4001, "user_id", "id", "event_type", [f"{store.root}/interim"])
+    if store.exists(f"{store.root}/interim"):
+        raise ValueError("the interim folder is still there")
+    return store.table(MAP, "T", 4001)

@@ -70,12 +70,6 @@ def concept_dim(s, d):
     return extend_dictionary(s.createDataFrame([], "concept_id bigint, concept string"), rows, "concept", "concept_id")
 
 
-@P.add("SELECT p_brand, count(*) AS record_count, '{' || string_agg(DISTINCT p_type, ',' ORDER BY p_type) || '}' AS meta FROM part GROUP BY 1")
-def concept_meta(s, d):
-    meta = F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_set("p_type")), ","), F.lit("}"))
-    return table(s, d, "part").groupBy("p_brand").agg(F.count("*").alias("record_count"), meta.alias("meta"))
-
-
 @P.add("SELECT user_id || '/' || ts::date AS user_day, CASE WHEN count(DISTINCT event_type) > 1 THEN 'MULTI-' || string_agg(DISTINCT event_type, '|' ORDER BY event_type) ELSE any_value(event_type) END AS event_type FROM events GROUP BY 1")
 def multi_category_merge(s, d):
     day = F.concat_ws("/", F.col("user_id").cast("string"), F.col("ts").cast("date").cast("string"))

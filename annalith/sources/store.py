@@ -349,3 +349,35 @@ def front(df: DataFrame, first: Sequence[str]) -> DataFrame:
 def aliased(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """Columns under their legacy names too, unless these exist."""
     return df.withColumns({new: F.col(old) for new, old in aliases.items() if new not in df.columns and old in df.columns})
+
+
+def release(store: Store, kind: str, name: str, version: int, columns: Sequence[str] = (), aliases: dict[str, str] | None = None, renames: dict[str, str] | None = None) -> int:
+    """Publishes a table of all versions anew: read with its history, columns repaired and put in order, written as the version's."""
+    df = store.read_replayed(name, "row_key", version, latest_only=False) if kind == FACT and store.versions(DROP, name, version) else store.read(kind, name, version, latest_only=False)
+    if df is None:
+        raise ValueError(f"no {kind} table {name}")
+    df = aliased(df.withColumnsRenamed(renames or {}), aliases or {})
+    kept = [*columns, *(c for c in (FROM, BY) if c in df.columns and c not in columns)] if columns else df.columns
+    return store.publish(df.select(*kept), kind, name, version)
+
+
+def write_enrichment(store: Store, df: DataFrame, name: str, version: int, columns: Sequence[str], tag: str, diff: tuple[str, str, str] | None = None) -> dict:
+    """Writes an enrichment's declared columns with its tag and counts; with ``diff`` (entity, row id, guid) also the map of rows it changed."""
+    n = store.publish(df.select(*columns), META, name, version)
+    stats = {"tag": tag, "rows": n, "version": text(version)}
+    if diff:
+        stats["map_rows"] = store.publish(df.select(*diff), MAP, name, version)
+    store.write_stats(stats, META, name, version)
+    return stats
+
+
+def publish_dictionary(store: Store, dictionary: DataFrame, name: str, version: int, entity: str, id_col: str, value: str, interim: Sequence[str] = ()) -> int:
+    """Publishes a dictionary per entity after a check that ids and values are one to one in each; interim folders go."""
+    per = dictionary.groupBy(entity).agg(F.count("*").alias("n"), F.countDistinct(id_col).alias("ids"), F.countDistinct(value).alias("vals")).filter("n <> ids or n <> vals")
+    if not per.isEmpty():
+        raise ValueError(f"{name}: ids and values collide for {entity} {per.first()[0]}")
+    n = store.publish(dictionary, MAP, name, version)
+    for path in interim:
+        fs, where = store._fs(path)
+        fs.delete(where, True)
+    return n

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from annalith import session
-from annalith.operators import blocks, derive, ids, joins, keys, quality, sequences, versioning
+from annalith.operators import blocks, derive, enrich, ids, joins, keys, pipelines, quality, sequences, versioning
 from annalith.plans import composites, history, jobs, scalars, stores, summaries, training
-from annalith.sources import readers, sinks, store
+from annalith.sources import config, readers, sinks, store
 from annalith.streaming import events as streams
 
 from .oracle import compare, connect
@@ -247,3 +247,59 @@ def test_stream_upserts(spark, tmp_path):
 def test_braced_sets(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "c"), (3, None)], "k int, x string")
     assert {r[0]: r[1] for r in df.groupBy("k").agg(derive.braced_set(F.col("x"))).collect()} == {1: "{a|b}", 2: "c", 3: None}
+
+
+def test_table_lists():
+    tables, big = ["LAB", "ORDERS", "NOTES", "FLOW"], ["ORDERS", "FLOW"]
+    lists = lambda word, **how: store.resolve(word, tables, big, ["NOTES"], **how)
+    assert lists("ALL") == ["LAB", "NOTES", "ORDERS", "FLOW"] and lists("big") == big and lists("NotBig") == ["LAB", "NOTES"] and lists("ENRICHED") == ["NOTES"]
+    assert lists("~lab,~flow") == ["NOTES", "ORDERS"] and lists("flow, lab") == ["FLOW", "LAB"] and lists("ALL", skipped=["NOTES"]) == ["LAB", "ORDERS", "FLOW"] and lists("x") == ["X"]
+
+
+def test_jobs_and_providers(spark):
+    done = []
+    job = store.TableJob(lambda: spark.range(3), lambda df: df.filter("id > 0"), lambda df: df.count(), done.append)
+    assert job.run() == 2 and done == [2] and store.TableJob(lambda: None, None, None).run() is None
+    with pytest.raises(ValueError, match="no reader"):
+        store.read_provider("nobody")
+    assert store.milli("4.010") == 4010 and store.milli("4") == 4000 and store.text(4003) == "4.003" and versioning.is_refresh(4004, 4000) and not versioning.is_refresh(4000, 4000)
+
+
+def test_gates_and_guards(spark, tmp_path):
+    s = store.Store(spark, str(tmp_path / "s"))
+    with pytest.raises(ValueError, match="no enrichment"):
+        s.located("T", "t", [4001])
+    store.write_enrichment(s, spark.createDataFrame([(1, "x")], "k int, tag string"), "T", 4001, ["k"], "t1")
+    with pytest.raises(ValueError, match="has tag t1"):
+        s.located("T", "t2", [4001])
+    with pytest.raises(ValueError, match="collide"):
+        store.publish_dictionary(s, spark.createDataFrame([(1, 1, "a"), (1, 1, "b")], "e int, id int, v string"), "D", 4001, "e", "id", "v")
+    with pytest.raises(ValueError, match="were expected"):
+        enrich.within_expected(spark.createDataFrame([(10, 9, 90.0)], "n int, changed int, percent double"), 50.0)
+    with pytest.raises(ValueError, match="above"):
+        pipelines.check_preprocessed({"INPUT": {"RAW_TOTAL": 10, "RAW_DUPLICATE": 9, "FACT_ONLY_PATIENT": 0}, "OUTPUT": {"TOTAL": 1}}, 80)
+    with pytest.raises(ValueError, match="repeated"):
+        pipelines.derived_table(None, spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), ["k"], ["v"], 1)
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError, match="repeated keys"):
+        joins.guarded_left(one, one.union(one).withColumnRenamed("v", "w"), ["k"])
+
+
+def test_settings():
+    tables = config.read_tables('{"t": {"raw": ["a", {"b": {"c": "LONG"}}], "types": {"B__C": "LONG"}, "hashed": ["a"], "add_ons": ["x"]}}')
+    assert tables["T"].raw_columns() == ["A", "B__C"] and [f.dataType for f in tables["T"].raw_schema()] == [T.StringType(), T.LongType()] and "X" in tables["T"].final_columns() and "GUID" in tables["T"].map_columns()
+    with pytest.raises(TypeError):
+        config.read_tables('{"t": {"odd": 1}}')
+    assert not config.bootstrap('{"version": 1, "base": 1}').sample and config.bootstrap('{"version": 1, "base": 1}', '{"sample_rows": 5}').sample
+
+
+def test_no_rows(spark):
+    """Composite operators on empty tables give empty ones, and nulls in keys don't stop them."""
+    none = lambda schema: spark.createDataFrame([], schema)
+    assert derive.hospital_events(none("e int, admit_ts bigint, discharge_ts bigint, type string"), none("e int, at bigint, code string"), "e", {"a": "b"}).count() == 0
+    assert derive.association_facets(none("entity_id int, prediction_type string, entity_1 string, entity_2 string, score double, sentence_hash string, published_ts bigint"), none("entity_id int, at_ts bigint")).count() == 0
+    assert enrich.enriched(none("k int"), none("k int, x string"), ["k"], ["x"]).count() == 0
+    assert {r.check for r in pipelines.map_faults(none("key_hash string, key_id int, entity_id int, fact_id int, guid bigint, superseded_by int"), none("entity_id int")).collect() if r.n == 0} >= {"empty_ids", "key_active"}
+    assert derive.signal_ids(none("id bigint, k int"), spark.createDataFrame([(None,), (3,)], "k int"), ["k"], "id").count() == 1
+    nearest = joins.nearest(spark.createDataFrame([(None, 1), (1, None), (1, 5)], "e int, t bigint"), none("e int, rt bigint, x int"), "e", "t", "rt", ["x"])
+    assert [tuple(r)[2:] for r in nearest.collect()] == [(None, None)] * 3
