@@ -13,9 +13,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..session import cut, small
+from ..session import cut, is_table, scanned, small
 
-HOT_ROWS = 1 << 15
+HOT_ROWS = 1 << 16
 QUANTILES = 1000
 """Blocks that a group can have at most."""
 BLOCK = "__block"
@@ -28,8 +28,11 @@ def met(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner")
 
 
 def hot_groups(df: DataFrame, by: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
-    """(by..., __n) of the groups above ``hot_rows`` rows, null keys included; None if there are none."""
-    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > (HOT_ROWS if hot_rows is None else hot_rows))
+    """(by..., __n) of the groups above ``hot_rows`` rows, null keys included; None if there are none, as where the whole table has no more rows."""
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    if is_table(df) and df.count() <= limit:  # footers tell
+        return None
+    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
     found = cut(counted)
     return None if found.isEmpty() else found
 
@@ -41,6 +44,7 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str
     shifted by the rows of its group in the ranges before.
     """
     plain = lambda d: d.withColumn(out, F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint"))
+    df = scanned(df)
     hot = hot_groups(df, by, hot_rows)
     if hot is None:
         return plain(df)
@@ -59,6 +63,7 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str
 def blocked(df: DataFrame, by: Sequence[str], at: str, hot_rows: int | None = None) -> DataFrame:
     """Adds the block: 0 in groups that aren't hot, else 1 and more along ``at``, which is a number. A null ``at`` is in the first block."""
     limit = HOT_ROWS if hot_rows is None else hot_rows
+    df = scanned(df)
     hot = hot_groups(df, by, hot_rows)
     if hot is None:
         return df.withColumn(BLOCK, F.lit(0))

@@ -139,7 +139,7 @@ def smoothed(blocks: Sequence[int], medians: Sequence[float], counts: Sequence[f
 Unit = tuple[str, float, float]
 
 
-def emissions(values: np.ndarray, units: Sequence[Unit], level: float, spread: float) -> np.ndarray:
+def emissions(values: np.ndarray, units: Sequence[Unit], level: np.ndarray | float, spread: float) -> np.ndarray:
     """Log-likelihoods (values, units) of bare numbers. units: (code, pre_add, factor)."""
     x = np.asarray(values, float)
     logs = np.empty((len(x), len(units)))
@@ -161,26 +161,34 @@ def decode(values: Sequence[float], told: Sequence[str | None], units: Sequence[
     return [units[j][0] for j in path]
 
 
-def grouped(key: list[str], one: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """``one`` over every group of batches that are sorted by ``key``."""
+def starts_of(batch: pd.DataFrame, key: list[str]) -> np.ndarray:
+    """Where the groups of a frame that is sorted by ``key`` begin, and its end."""
+    turns = np.logical_or.reduce([batch[c].to_numpy()[1:] != batch[c].to_numpy()[:-1] for c in key])
+    return np.concatenate(([0], np.flatnonzero(turns) + 1, [len(batch)]))
+
+
+def grouped(key: list[str], many: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """``many`` over frames of whole groups, from batches that are sorted by ``key``; a group that goes over batches is put together once."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None  # the last group of a batch may go on in the next
+        rest: list[pd.DataFrame] = []
         for batch in batches:
             if not len(batch):
                 continue
-            starts = [0, *(np.flatnonzero((batch[key] != batch[key].shift()).any(axis=1).to_numpy()[1:]) + 1), len(batch)]
-            groups = [batch.iloc[a:b] for a, b in zip(starts, starts[1:])]
-            if rest is not None and tuple(rest[0][key].iloc[0]) != tuple(groups[0][key].iloc[0]):
-                yield one(pd.concat(rest, ignore_index=True))
-                rest = None
-            rest = (rest or []) + [groups.pop(0)]
-            if groups:
-                yield one(pd.concat(rest, ignore_index=True))
-                rest = [groups.pop()]
-                yield from map(one, groups)
-        if rest is not None:
-            yield one(pd.concat(rest, ignore_index=True))
+            if rest and tuple(rest[0][key].iloc[0]) != tuple(batch[key].iloc[0]):
+                yield many(pd.concat(rest, ignore_index=True))
+                rest = []
+            starts, begin = starts_of(batch, key), 0
+            if len(starts) > 2 and rest:
+                begin = int(starts[1])
+                yield many(pd.concat([*rest, batch.iloc[:begin]], ignore_index=True))
+                rest = []
+            last = int(starts[-2])
+            if begin < last:
+                yield many(batch.iloc[begin:last])
+            rest.append(batch.iloc[last:])
+        if rest:
+            yield many(pd.concat(rest, ignore_index=True))
 
     return run
 
@@ -221,12 +229,21 @@ def decoded_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sit
     spread = told.join(small(level), key).groupBy("variable").agg((F.expr("percentile_approx(x - level, 0.84) - percentile_approx(x - level, 0.16)") / 2).alias("spread"))
     work = read.drop("pre_add", "factor").join(small(level), key).join(small(spread), "variable", "left").fillna(LEAST_SPREAD, ["spread"])
 
-    def seen(pdf: pd.DataFrame) -> tuple[list[Unit], np.ndarray, np.ndarray]:
-        units = options[pdf["variable"].iat[0]]
-        return units, emissions(pdf["amount"].to_numpy(), units, pdf["level"].iat[0], pdf["spread"].iat[0]), told_states(pdf["unit"], units)
+    def seen(pdf: pd.DataFrame) -> Iterator[tuple[int, int, list[Unit], np.ndarray, np.ndarray]]:
+        """(begin, end, units, log-likelihoods, told states) of every block; what a variable's blocks have in common is computed at once."""
+        blocks, runs = starts_of(pdf, key), starts_of(pdf, ["variable"])
+        for a, b in zip(runs, runs[1:]):
+            part = pdf.iloc[a:b]
+            units = options[part["variable"].iat[0]]
+            logs = emissions(part["amount"].to_numpy(), units, part["level"].to_numpy(), float(part["spread"].iat[0]))
+            told = part["unit"].map({u[0]: j for j, u in enumerate(units)}).fillna(-1).to_numpy().astype(int)
+            inner = blocks[(blocks >= a) & (blocks <= b)]
+            for c, d in zip(inner, inner[1:]):
+                yield c, d, units, logs[c - a : d - a], told[c - a : d - a]
 
     def matrix(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[key].head(1).assign(scores=[transfer(*seen(pdf)[1:]).ravel()])
+        scores = [transfer(logs, told).ravel() for _, _, _, logs, told in seen(pdf)]
+        return pdf[key].iloc[starts_of(pdf, key)[:-1]].assign(scores=scores)
 
     def bounds(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
@@ -235,12 +252,15 @@ def decoded_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sit
         return pdf[key].assign(before=[-1 if b is None else b for b, _ in found], last=[x for _, x in found])
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        units, logs, certain = seen(pdf)
-        before = int(pdf["before"].iat[0])
-        path = decoded_path(logs, certain, STAY, None if before < 0 else before, int(pdf["last"].iat[0]))
-        pre, factor = (np.array([u[k] for u in units], float)[path] for k in (1, 2))
+        path, pre, factor, sure = np.empty(len(pdf), int), np.empty(len(pdf)), np.empty(len(pdf)), np.empty(len(pdf), bool)
+        name = np.empty(len(pdf), object)
+        before, last = pdf["before"].to_numpy(), pdf["last"].to_numpy()
+        for a, b, units, logs, told in seen(pdf):
+            path[a:b] = decoded_path(logs, told, STAY, None if before[a] < 0 else int(before[a]), int(last[a]))
+            sure[a:b] = told >= 0
+            name[a:b], pre[a:b], factor[a:b] = (np.array([u[k] for u in units])[path[a:b]] for k in range(3))
         milli = np.rint((pdf["amount"].to_numpy() + pre) * factor * 1000).astype(np.int64)
-        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "told": certain >= 0, "unit": [units[j][0] for j in path], "common_milli": milli})
+        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "told": sure, "unit": name, "common_milli": milli})
 
     in_order = lambda df: df.repartition(*key).sortWithinPartitions(*key, "received_dtm", "row_id")
     matrices = in_order(work).mapInPandas(grouped(key, matrix), f"{fields}, scores array<double>")

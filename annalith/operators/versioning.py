@@ -92,13 +92,13 @@ def stamp_facts(data: DataFrame, known: DataFrame, obsolete_keys: DataFrame, ver
     met = cut(data.select("key_hash", F.struct("entity_id", "key_id").alias("d")).join(active, "key_hash", "full"))
     came = met.filter("d is not null").select("key_hash", "d.*", F.when(F.col("o.entity_id") == F.col("d.entity_id"), F.col("o.fact_id")).alias("fact_id"), F.when(F.col("o.key_id") == F.col("d.key_id"), F.col("o.fact_key_id")).alias("fact_key_id"))
 
-    def with_numbers(rows: DataFrame, group: str, number: str) -> DataFrame:
+    def given(group: str, number: str) -> DataFrame:
         top = known.groupBy(group).agg(F.max(number).alias("__top"))
-        fresh = numbered(rows.filter(F.col(number).isNull()).select(group, "key_hash").distinct(), [group], [F.col("key_hash")], "__n")
-        given = fresh.join(top, group, "left").select(group, "key_hash", (F.coalesce("__top", F.lit(0)) + F.col("__n")).alias("__new"))
-        return rows.join(given, [group, "key_hash"], "left").withColumn(number, F.coalesce(number, "__new").cast("bigint")).drop("__new")
+        fresh = numbered(came.filter(F.col(number).isNull()).select(group, "key_hash").distinct(), [group], [F.col("key_hash")], "__n")
+        return fresh.join(top, group, "left").select(group, "key_hash", (F.coalesce("__top", F.lit(0)) + F.col("__n")).cast("bigint").alias(f"new_{number}"))
 
-    new = with_numbers(with_numbers(came, "entity_id", "fact_id"), "key_id", "fact_key_id")
+    new = came.join(given("entity_id", "fact_id"), ["entity_id", "key_hash"], "left").join(given("key_id", "fact_key_id"), ["key_id", "key_hash"], "left")
+    new = new.withColumns({n: F.coalesce(n, f"new_{n}").cast("bigint") for n in ("fact_id", "fact_key_id")})
     old = met.filter("o is not null").select("key_hash", "o.*", F.col("d").isNotNull().alias("again")).distinct()
     ended = old.join(dead, F.col("key_id") == F.col("__dead"), "left")
     ended = ended.withColumn(BY, F.when(F.lit(full) | F.col("again") | F.col("__dead").isNotNull(), version).otherwise(0).cast("bigint"))

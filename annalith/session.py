@@ -54,9 +54,20 @@ SHRINKING = {"LogicalRelation", "LocalRelation", "OneRowRelation", "Project", "F
 """Plan nodes whose result Catalyst's bound covers; joins, generators and Python stages may give more."""
 
 
-def _bounded(plan) -> bool:
+def _only(plan, names: set[str]) -> bool:
     inner = plan.children()
-    return plan.nodeName() in SHRINKING and all(_bounded(inner.apply(i)) for i in range(inner.size()))
+    return plan.nodeName() in names and all(_only(inner.apply(i), names) for i in range(inner.size()))
+
+
+def is_table(df: DataFrame) -> bool:
+    """Whether a frame is a stored table, or columns of it."""
+    plan = df._jdf.queryExecution().analyzed()
+    return _only(plan, {"LogicalRelation", "Project", "SubqueryAlias"})
+
+
+def scanned(df: DataFrame) -> DataFrame:
+    """The frame, if it is computed row by row from a stored table; else written once, for those who look at it more than once."""
+    return df if _only(df._jdf.queryExecution().analyzed(), {"LogicalRelation", "LocalRelation", "Project", "Filter", "SubqueryAlias", "Union"}) else cut(df)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -64,7 +75,7 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
 
     Where Catalyst's bound doesn't show it, the side is written once, measured, and read from there, so nothing is computed twice.
     """
-    if bytes_of(df) > limit or not _bounded(df._jdf.queryExecution().optimizedPlan()):
+    if bytes_of(df) > limit or not _only(df._jdf.queryExecution().optimizedPlan(), SHRINKING):
         df = cut(df)
     return F.broadcast(df) if bytes_of(df) <= limit else df
 
