@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import clean, folded
-from ..session import cut, ship, small
+from ..session import BROADCAST_BYTES, bytes_of, cut, ship, small
 
 FIELDS = ("result_txt", "unit_of_measure_txt", "normal_range_txt", "specimen_txt")
 #: Stand-ins for "no value", lower case.
@@ -32,6 +32,8 @@ START = 0.9
 """Accuracy that every source starts with."""
 FALSE_VALUES, COPY_RATE, PRIOR = 20, 0.8, 0.1
 """False values that an item can have, the share of values that a copier copies, and the chance that two sources are dependent."""
+SETTLED = 1e-6
+"""Change of accuracies and dependences below which the estimation is done."""
 Voters = tuple[int, ...]
 Pattern = tuple[tuple[Voters, int], ...]
 
@@ -148,6 +150,7 @@ def estimate(tallied: Callable[[Model | None], Sums], n_sources: int, rounds: in
     for _ in range(rounds):
         model = Model(accuracy, copies)
         sums = tallied(model)
+        last = accuracy, copies
         votes = [sums.get((s, s), (0.0, 0.0, 0.0)) for s in range(n_sources)]
         accuracy, copies = [float(min(0.99, max(0.05, (1 + v[1]) / (1.25 + v[0])))) for v in votes], {}
         for (a, b), (shared, true, n) in sums.items():
@@ -162,6 +165,8 @@ def estimate(tallied: Callable[[Model | None], Sums], n_sources: int, rounds: in
             log_odds = true * math.log((c * z + (1 - c) * same_true) / same_true) + false * math.log((c * (1 - z) + (1 - c) * same_false) / same_false) + other * math.log(max(1e-9, (1 - c) * apart) / apart)
             log_odds += math.log(PRIOR / (1 - PRIOR))
             copies[a, b] = _chance(log_odds)
+        if max((abs(x - y) for x, y in zip(accuracy, last[0])), default=0.0) < SETTLED and max((abs(q - last[1].get(k, 0.0)) for k, q in copies.items()), default=0.0) < SETTLED:
+            break
     return accuracy, copies, model
 
 
@@ -175,12 +180,16 @@ def estimated(items: DataFrame, n_sources: int) -> tuple[list[float], dict[tuple
     """(accuracy, copies, (pattern, posteriors) of every pattern, one for each of its voter sets)."""
     ship(items.sparkSession)
     patterns = cut(items.groupBy("pattern").agg(F.count("*").alias("n_items")))
+    few = bytes_of(patterns) <= BROADCAST_BYTES
+    if few:  # patterns are far fewer than items: mostly one task is enough, and nothing is to be merged
+        patterns = patterns.coalesce(1)
 
     def tallied(model: Model | None) -> Sums:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame([(*pair, *s) for pair, s in tally(read_patterns(batches), model).items()], columns=["a", "b", "shared", "true", "both"])
 
-        found = patterns.mapInPandas(run, "a int, b int, shared double, true double, both double").groupBy("a", "b").agg(*(F.sum(c) for c in ("shared", "true", "both")))
+        found = patterns.mapInPandas(run, "a int, b int, shared double, true double, both double")
+        found = found if few else found.groupBy("a", "b").agg(*(F.sum(c) for c in ("shared", "true", "both")))
         return {(r[0], r[1]): [r[2], r[3], r[4]] for r in found.collect()}  # a row per pair of sources
 
     accuracy, copies, model = estimate(tallied, n_sources)
