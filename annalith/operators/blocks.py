@@ -33,8 +33,7 @@ def hot_groups(df: DataFrame, by: Sequence[str], hot_rows: int | None = None) ->
     if is_table(df) and df.count() <= limit:  # footers tell
         return None
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-    found = cut(counted)
-    return None if found.isEmpty() else found
+    return None if counted.isEmpty() else cut(counted)
 
 
 def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str = "n", hot_rows: int | None = None) -> DataFrame:

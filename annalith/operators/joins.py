@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..session import small
+from ..session import scanned, small
 from .blocks import blocked, running
 
 
@@ -92,7 +92,7 @@ def within(points: DataFrame, spans: DataFrame, by: str, at: str, start: str, en
     yields and not the product of its rows.
     """
     length = (F.col(end) - F.col(start)).cast("double")
-    leveled = spans.filter(F.col(start) < F.col(end)).withColumn("__level", F.floor(F.log2(length) / 2).cast("int"))
+    leveled = scanned(spans.filter(F.col(start) < F.col(end)).withColumn("__level", F.floor(F.log2(length) / 2).cast("int")))
     width = F.expr("shiftleft(1L, 2 * __level)")
     cell = lambda c: F.floor(c / width).cast("bigint")
     placed = leveled.withColumn("__cell", F.explode(F.sequence(cell(F.col(start)), cell(F.col(end)))))
