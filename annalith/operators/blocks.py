@@ -36,18 +36,19 @@ def hot_groups(df: DataFrame, by: Sequence[str], hot_rows: int | None = None) ->
     return None if counted.isEmpty() else cut(counted)
 
 
-def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str = "n", hot_rows: int | None = None) -> DataFrame:
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str = "n", hot_rows: int | None = None, bound: DataFrame | None = None) -> DataFrame:
     """Row numbers from 1 within every group, in an order of any kind; rows that tie are numbered one after the other.
 
     Hot groups are sorted over all tasks by ranges of (group, order); each range is numbered by itself and
-    shifted by the rows of its group in the ranges before.
+    shifted by the rows of its group in the ranges before. ``bound`` is a stored frame whose groups are known to have
+    no fewer rows, if there is one to look for hot groups in.
     """
     plain = lambda d: d.withColumn(out, F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint"))
-    df = scanned(df)
-    hot = hot_groups(df, by, hot_rows)
+    df = scanned(df) if bound is None else df
+    hot = hot_groups(df if bound is None else bound, by, hot_rows)
     if hot is None:
         return plain(df)
-    hot = small(hot.select(*by))
+    hot, df = small(hot.select(*by)), scanned(df)
     own, tie = df.columns, F.monotonically_increasing_id().alias("__tie")
     mine = met(df, hot, by, "left_semi").select("*", tie)
     parted = cut(mine.repartitionByRange(*by, *order, "__tie").withColumn("__part", F.spark_partition_id()))

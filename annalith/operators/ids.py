@@ -37,7 +37,7 @@ def extend_per_entity(known: DataFrame, values: DataFrame, entity: str, value: s
     """The same within every entity."""
     fresh = values.select(entity, value).filter(F.col(value).isNotNull()).distinct().join(known.select(entity, value), [entity, value], "left_anti")
     top = known.groupBy(entity).agg(F.max(id_col).cast("bigint").alias("__top"))
-    new = numbered(fresh, [entity], [F.col(value)], "__n").join(top, entity, "left").select(entity, (F.col("__n") + F.coalesce("__top", F.lit(0))).cast("bigint").alias(id_col), value)
+    new = numbered(fresh, [entity], [F.col(value)], "__n", bound=values).join(top, entity, "left").select(entity, (F.col("__n") + F.coalesce("__top", F.lit(0))).cast("bigint").alias(id_col), value)
     return known.select(entity, F.col(id_col).cast("bigint").alias(id_col), value).unionByName(new)
 
 

@@ -7,7 +7,8 @@ finds the likeliest units of the whole chain in time order. The level follows th
 is told, in common units: medians of blocks, smoothed over neighbouring blocks and drawn to the source's
 level, and that to the variable's, where few are told. Charted rows name no device, so their source is the site.
 
-A source may hold a third of all rows, so no task holds a chain, only a block of BLOCK_DAYS days of one.
+A source may hold a third of all rows, so no task holds a chain, only a block of BLOCK_DAYS days of one, and of
+a chain with very many rows a part of such a block.
 The first pass reduces every block to a max-plus matrix: the best score of a path through it by the state
 before it and its last state. These are scanned over the blocks of a chain, which fixes the states at all
 boundaries, and the second pass decodes every block between its own. That is exact. Between two told units a
@@ -25,11 +26,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut, ship, small
+from .blocks import BLOCK, blocked
 from .units import amounts, conversions
 
 STAY = 0.98
 """Chance that the unit of the next reading is the same."""
 BLOCK_DAYS = 30
+PARTS = 1 << 10
+"""Parts that a block of a hot chain may have; they go on counting along the chain."""
 UNTIMED_ROWS = 1 << 16
 """Readings without a time come before the others, in blocks of so many row ids."""
 LEVEL_REACH, LEVEL_PRIOR = 2.0, 5.0
@@ -210,17 +214,18 @@ def decoded_units(rows: DataFrame, variables: DataFrame, factors: DataFrame, sit
     kept = rows.filter("derived_value is null and flowsheet_result_txt is not null").select("row_id", "site_code", F.coalesce(device, F.lit("")).alias("device"), F.col("flowsheet_row_name_dk").alias("variable"), "received_dtm", "flowsheet_result_txt", "flowsheet_unit_of_measure_txt")
     kept = kept.join(small(known.select("variable").distinct()), "variable", "left_semi")
     block = F.floor(F.unix_micros(F.col("received_dtm").cast("timestamp")) / (BLOCK_DAYS * 86_400_000_000))
-    untimed = F.lit(-(1 << 62)) + F.floor(F.col("row_id") / UNTIMED_ROWS)
+    untimed = F.lit(-(1 << 50)) + F.floor(F.col("row_id") / UNTIMED_ROWS)
     read = amounts(kept.join(small(marks), "site_code", "left")).select("row_id", F.coalesce("site_code", F.lit("")).alias("site"), "device", "variable", F.coalesce(block, untimed).alias("block"), "received_dtm", "amount", "unit")
     read = read.join(small(known), ["variable", "unit"], "left").filter("unit is null or factor is not null")
-    read = cut(read)  # it is read for the levels, the blocks' matrices and their decoding
+    read = cut(read.withColumn("at", F.unix_micros(F.col("received_dtm").cast("timestamp"))))  # it is read for the levels, the blocks' matrices and their decoding
+    read = blocked(read, chain, "at").withColumn("block", F.col("block") * PARTS + F.col(BLOCK)).drop(BLOCK, "at")
     told = read.select(*key, F.log((F.col("amount") + F.col("pre_add")) * F.col("factor")).alias("x")).filter("x is not null and not isnan(x)")
     usual = told.groupBy("variable").agg(F.expr("percentile_approx(x, 0.5)").alias("usual"))
     medians = told.groupBy(*key).agg(F.expr("percentile_approx(x, 0.5)").alias("median"), F.count("*").alias("n"))
 
     def level_of(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
-        return pdf[key].assign(level=smoothed(pdf["block"], pdf["median"], pdf["n"], pdf["usual"].iloc[0]))
+        return pdf[key].assign(level=smoothed(pdf["block"] // PARTS, pdf["median"], pdf["n"], pdf["usual"].iloc[0]))
 
     ship(rows.sparkSession)
     fields = f"site string, device string, variable {dict(read.dtypes)['variable']}, block bigint"

@@ -94,7 +94,7 @@ def stamp_facts(data: DataFrame, known: DataFrame, obsolete_keys: DataFrame, ver
 
     def given(group: str, number: str) -> DataFrame:
         top = known.groupBy(group).agg(F.max(number).alias("__top"))
-        fresh = numbered(came.filter(F.col(number).isNull()).select(group, "key_hash").distinct(), [group], [F.col("key_hash")], "__n")
+        fresh = numbered(came.filter(F.col(number).isNull()).select(group, "key_hash").distinct(), [group], [F.col("key_hash")], "__n", bound=came)
         return fresh.join(top, group, "left").select(group, "key_hash", (F.coalesce("__top", F.lit(0)) + F.col("__n")).cast("bigint").alias(f"new_{number}"))
 
     new = came.join(given("entity_id", "fact_id"), ["entity_id", "key_hash"], "left").join(given("key_id", "fact_key_id"), ["key_id", "key_hash"], "left")

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from annalith.functions.fsm import tokenize
-from annalith.operators import instants, ledger, rawlines, readings, snapshots, unit_switches
+from annalith.operators import blocks, instants, ledger, rawlines, readings, snapshots, unit_switches
 from annalith.plans import training
 
 from . import brute_general as brute
@@ -317,7 +317,7 @@ def test_blocks_decode_as_the_whole_chain(seed):
             assert (got == unit_switches.viterbi(sure)).all()
 
 
-def test_unit_is_kept_over_block_ends_and_levels_are_the_sources(spark):
+def test_unit_is_kept_over_block_ends_and_levels_are_the_sources(spark, monkeypatch):
     """One told reading in January, then a reading without a unit in each later month that alone would be kg; and a source far from its variable's level."""
     variables = spark.createDataFrame([("v", "V"), ("v", "W")], "variable_id string, flowsheet_row_name_dk string")
     factors = spark.createDataFrame([("v", "kg", 0.0, 1.0), ("v", "lb", 0.0, 0.45359237)], "variable_id string, unit_code string, pre_add double, factor double")
@@ -335,4 +335,8 @@ def test_unit_is_kept_over_block_ends_and_levels_are_the_sources(spark):
     got = {r.row_id: (r.unit, r.common_milli) for r in unit_switches.inferred_units(df, variables, factors, site).collect()}
     assert {i: u for i, (u, _) in got.items() if 1000 < i < 1100} == {1000 + m: "lb" for m in range(2, 13)}
     assert got[1002][1] == round(47_000 * 0.45359237) and got[3000] == ("kg", 101_000) and 1100 in got
+    whole = rows(unit_switches.decoded_units(df, variables, factors, site))
+    monkeypatch.setattr(blocks, "HOT_ROWS", 20)  # now the chains fall into parts, of which levels have their own medians
+    parted = {r.row_id: r.unit for r in unit_switches.decoded_units(df, variables, factors, site).collect()}
+    assert {r[0]: r[2] for r in whole} == parted
     assert unit_switches.smoothed([0, 1, 50], [1.0, np.nan, 3.0], [100, 0, 100], 0.0) == pytest.approx([1.04, 1.1, 2.95], abs=0.1)
