@@ -26,9 +26,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import cut, map_arrow, ship, small
+from ..session import bytes_of, cut, is_table, map_arrow, ship
 from .leaks import slices
 from .mixing import source_key
 
@@ -52,6 +52,10 @@ IMAGE = re.compile(r"[A-Za-z0-9+/]{40,}")
 LETTERS = re.compile(r"[^\W\d_]+")
 LAST_WORD = re.compile(r"[^\W\d_]+$")
 NUMBER = re.compile(r"\d+(\.\d+)?$")
+LENGTH_BLOCK = 4096
+"""Lengths of a source and encoding are looked through in blocks of so many."""
+BESIDE_BYTES = 512 << 10
+"""Stored size up to which a side is broadcast; in the driver's heap it may be a hundred times as large."""
 SHORT_WORD = 3
 """Words up to this length are known only if they also end an inner block: names in code are often so short."""
 
@@ -213,20 +217,39 @@ def distinct_limits(sets: list[tuple[list[tuple[int, int]], int]], least: dict[t
         sets = [(given, n) for given, n in sets if best not in given]
 
 
+def beside(df: DataFrame) -> DataFrame:
+    """The side of a join, written once: broadcast if that is small, else merged. Spark's own threshold would broadcast up to 10 MB of files or of compressed shuffle."""
+    df = df if is_table(df) else cut(df)
+    return df.hint("broadcast" if bytes_of(df) <= BESIDE_BYTES else "merge")
+
+
+def surrounded(counts: DataFrame) -> DataFrame:
+    """The counts with ``near``: the texts of up to NEAR lengths to either side, without the greatest of these, which may be a limit too.
+
+    Lengths near the edge of a block are in the next one as well, so each row meets all its neighbours in its own block.
+    """
+    place = F.expr(f"at_length div if(encoding = {ENCODINGS.index('utf16')}, 2, 1)")  # in utf16 odd lengths don't occur
+    block = lambda at: F.floor(at / LENGTH_BLOCK)
+    spread = counts.withColumn("place", place).withColumn("block", F.explode(F.sequence(block(F.col("place") - NEAR), block(F.col("place") + NEAR))))
+    by_length = Window.partitionBy("source", "encoding", "block").orderBy("place")
+    sides = by_length.rangeBetween(-NEAR, -1), by_length.rangeBetween(1, NEAR)
+    n = F.lit(0)
+    for side in sides:
+        n += F.coalesce(F.sum("n_texts").over(side), F.lit(0))
+    near = n - F.coalesce(F.greatest(*(F.max("n_texts").over(side) for side in sides)), F.lit(0))
+    return spread.withColumn("near", near).filter(F.col("block") == block(F.col("place"))).drop("block")
+
+
 def limits(texts: DataFrame) -> DataFrame:
     """(source, encoding, at_length, n_texts): the hidden limits of each source, each in the encoding that shows it best; texts of no source are one source, ''."""
     ship(texts.sparkSession)
     place = ["source", "encoding", "at_length"]
     flat = texts.select(F.coalesce("source", F.lit("")).alias("source"), "text_hash", F.posexplode("lengths").alias("encoding", "at_length"))
-    counts = cut(flat.groupBy(*place).agg(F.countDistinct("text_hash").alias("n_texts")))
-    shared = counts.filter(F.col("n_texts") >= LIMIT_TEXTS)
-    step = F.when(F.col("encoding") == ENCODINGS.index("utf16"), 2).otherwise(1)  # there odd lengths don't occur
-    around = shared.select("source", "encoding", F.col("at_length").alias("of"), F.explode(F.array(*(F.col("at_length") + step * d for d in range(-NEAR, NEAR + 1) if d))).alias("at_length"))
-    near = around.join(counts, place).groupBy("source", "encoding", F.col("of").alias("at_length")).agg((F.sum("n_texts") - F.max("n_texts")).alias("near"))  # without the greatest, which may be a limit too
-    usual = F.coalesce("near", F.lit(0)) / (NEAR - 1 + F.least(F.lit(NEAR), F.col("at_length") / step))
+    counts = flat.groupBy(*place).agg(F.countDistinct("text_hash").alias("n_texts"))
+    usual = F.col("near") / (NEAR - 1 + F.least(F.lit(NEAR), F.col("place")))
     least = F.greatest(F.lit(LIMIT_TEXTS - 1), usual + SIGMAS * F.sqrt(usual) + LIMIT_TEXTS - 1)
-    spikes = cut(shared.join(near, place, "left").withColumn("least", least).filter("n_texts > least").select(*place, "n_texts", "least"))
-    by_text = flat.join(small(spikes), place).groupBy("source", "text_hash").agg(F.sort_array(F.collect_set(F.struct("encoding", "at_length", "least"))).alias("given"))
+    spikes = cut(surrounded(counts).filter(F.col("n_texts") >= LIMIT_TEXTS).withColumn("least", least).filter("n_texts > least").select(*place, "n_texts", "least"))
+    by_text = flat.join(beside(spikes), place).groupBy("source", "text_hash").agg(F.sort_array(F.collect_set(F.struct("encoding", "at_length", "least"))).alias("given"))
     sets = by_text.groupBy("source", "given").agg(F.count("*").alias("n"))
 
     def chosen(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -234,7 +257,7 @@ def limits(texts: DataFrame) -> DataFrame:
         found = distinct_limits([([(e["encoding"], e["at_length"]) for e in given], n) for given, n in zip(pdf["given"], pdf["n"])], least)
         return pd.DataFrame([(pdf["source"].iat[0], *c) for c in found], columns=place)
 
-    return spikes.drop("least").join(sets.groupBy("source").applyInPandas(chosen, "source string, encoding int, at_length bigint"), place)
+    return spikes.drop("least").join(sets.groupBy("source").applyInPandas(chosen, "source string, encoding int, at_length bigint").hint("merge"), place)
 
 
 def judged(documents: DataFrame) -> DataFrame:
@@ -248,12 +271,12 @@ def judged(documents: DataFrame) -> DataFrame:
     totals = texts.agg(F.count("*").alias("docs")).collect()[0][0], scanned.filter("what = 'shape'").agg(F.sum("n")).collect()[0][0] or 1
     n_docs, n_inner = totals
     ending_words = scanned.filter("what = 'end'").select("word").distinct().withColumn("ends", F.lit(True))
-    usual = words.filter(F.col("word_n") >= max(WORD_TIMES, WORD_SHARE * n_docs)).join(ending_words, "word", "left")
+    usual = words.filter(F.col("word_n") >= max(WORD_TIMES, WORD_SHARE * n_docs)).join(ending_words.hint("merge"), "word", "left")
     known = usual.filter((F.length("word") > SHORT_WORD) | F.col("ends")).select("word", F.lit(True).alias("known"))
     closes = closing.filter(F.col("line_n") >= max(CLOSING_LINES, CLOSING_SHARE * n_docs)).select("line", F.lit(True).alias("closes"))
-    rates = finals.join(inner, "shape", "left").select("shape", F.coalesce("inner_n", F.lit(0)).alias("inner_n"), "final_n")
+    rates = finals.join(inner.hint("merge"), "shape", "left").select("shape", F.coalesce("inner_n", F.lit(0)).alias("inner_n"), "final_n")
     limited = limits(texts).groupBy(F.col("source").alias("of")).agg(F.collect_list(F.struct("encoding", "at_length")).alias("limits"))
-    joined = texts.withColumn("of", F.coalesce("source", F.lit(""))).join(small(limited), "of", "left").join(rates, "shape").join(known, "word", "left").join(closes, "line", "left")
+    joined = texts.withColumn("of", F.coalesce("source", F.lit(""))).join(beside(limited), "of", "left").join(beside(rates), "shape").join(beside(known), "word", "left").join(beside(closes), "line", "left")
     # a limit in bytes may fall into a character, of which up to three bytes are then lost
     wide = F.get("lengths", F.lit(ENCODINGS.index("characters"))) != F.get("lengths", F.lit(ENCODINGS.index("utf8")))
     in_bytes = [ENCODINGS.index(e) for e in ("utf8", "utf8_crlf", "json")]

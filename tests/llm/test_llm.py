@@ -280,3 +280,35 @@ def test_endings_of_odd_texts(spark):
 def test_long_last_words_are_known(spark):
     df = docs(spark, *((i, f"{'we ' * i}use RandomForestClassifier\n\nthen import RandomForestClassifier", "s") for i in range(4)), (9, "we use it\n\nthen import RandomForestClassifie", "s"))
     assert {r.doc_id: r.truncated for r in truncation.judged(df).collect()} == {0: False, 1: False, 2: False, 3: False, 9: True}
+
+
+def plans(spark, since=-1):
+    """Ids and plans, as they ran, of the queries after the given one."""
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    ran = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return {e.executionId(): e.physicalPlanDescription() for e in (ran.apply(k) for k in range(ran.size())) if e.executionId() > since}
+
+
+def test_sides_that_grow_with_the_corpus_are_not_broadcast(spark, monkeypatch):
+    """Of the compressed sizes that Spark broadcasts by itself a driver's heap may hold too few."""
+    rng = random.Random(11)
+    df = docs(spark, *((i, "".join(rng.choice("abé \n") for _ in range(rng.choice((50, 90, rng.randrange(20, 400))))) + rng.choice((".", " word", "\n\n- a list\n")), rng.choice("st")) for i in range(600)))
+    whole = rows(truncation.judged(df))
+    monkeypatch.setattr(truncation, "BESIDE_BYTES", 0, raising=False)
+    last = max(plans(spark))
+    assert rows(truncation.judged(df)) == whole and any(r[3] for r in whole)
+    ran = plans(spark, last)
+    assert ran and not [p for p in ran.values() if "BroadcastExchange" in p]
+
+
+@pytest.mark.parametrize("block", [16, 40, 4096])
+def test_neighbours_of_lengths_over_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(truncation, "LENGTH_BLOCK", block)
+    rng, utf16 = random.Random(block), truncation.ENCODINGS.index("utf16")
+    counts = {(s, e, n * (1 + (e == utf16))): rng.randrange(1, 9) for s in "st" for e in (0, utf16) for n in rng.sample(range(300), 150)}
+    want = []
+    for (s, e, at), n in counts.items():
+        near = [counts.get((s, e, at + d * (1 + (e == utf16))), 0) for d in range(-truncation.NEAR, truncation.NEAR + 1) if d]
+        want.append((s, e, at, n, sum(near) - max(near)))
+    df = spark.createDataFrame([(*k, n) for k, n in counts.items()], "source string, encoding int, at_length long, n_texts long")
+    assert rows(truncation.surrounded(df).drop("place")) == sorted(want)
